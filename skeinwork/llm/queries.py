@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grouping, splitting, survivors
+from . import grouping, spans, splitting, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +41,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_pieces, p1_found, p2_groups, p2_found, p4_records, p4_found)
 }
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return spans.SharedSpans(_table(spark, d, "documents")).pairs()
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return spans.SharedSpans(_table(spark, d, "documents")).shares()
+
+
+QUERIES |= {f.__name__: f for f in (p8_found, p8_shares)}

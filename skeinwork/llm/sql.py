@@ -83,3 +83,20 @@ P4_RECORDS = _P4 + "SELECT name_a, name_b, group_id, n_rows, time_period, time_p
 P4_FOUND = _P4 + "SELECT group_id, time_period_id AS time_period_edge_id, context_id AS context_edge_id, relationship_id AS relationship_edge_id FROM g WHERE n_rows > 1"
 
 SQL = {"p1_found": P1_FOUND, "p2_groups": P2_GROUPS, "p2_found": P2_FOUND, "p4_records": P4_RECORDS, "p4_found": P4_FOUND}
+
+_P8 = """
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 400),
+w AS (SELECT doc_id, s, md5(substr(text, s, 400)) AS h FROM (SELECT doc_id, text, unnest(range(1, n - 400 + 2)) AS s FROM d)),
+r AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) < max(doc_id)),
+m AS (SELECT doc_id, s, h FROM w WHERE h IN (SELECT h FROM r))
+"""
+SQL["p8_found"] = _P8 + "SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM m a JOIN m b ON a.h = b.h AND a.doc_id < b.doc_id"
+SQL["p8_shares"] = _P8 + """,
+g AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS p FROM m),
+o AS (SELECT doc_id, sum(CASE WHEN p IS NULL OR s > p + 400 THEN 1 ELSE 0 END) AS n_stretches,
+  sum(CASE WHEN p IS NULL OR s > p + 400 THEN 400 ELSE s - p END) AS shared_chars FROM g GROUP BY doc_id)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(coalesce(n_stretches, 0) AS BIGINT) AS n_stretches,
+  CAST(coalesce(shared_chars, 0) AS BIGINT) AS shared_chars,
+  CASE WHEN length(text) > 0 THEN round(coalesce(shared_chars, 0) / length(text), 6) ELSE 0.0 END AS share
+FROM documents LEFT JOIN o USING (doc_id) WHERE text IS NOT NULL
+"""
