@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grouping, spans, splitting, survivors
+from . import grouping, leakage, mixing, spans, splitting, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +52,37 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p8_found, p8_shares)}
+
+
+def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
+    return mixing.Mixture(_table(spark, d, "documents"), _table(spark, d, "source_targets"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.unreachable(_mixture(spark, d).report())
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d).report()
+
+
+def p7_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d).sample()
+
+
+QUERIES |= {f.__name__: f for f in (p7_found, p7_shares, p7_mixture)}
+
+
+def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.exact_leaks(_table(spark, d, "documents"), _table(spark, d, "eval_items"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_leaks(spark, d).select("doc_id", "item_id")
+
+
+def p6_paraphrases(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.paraphrases(_table(spark, d, "documents"), _table(spark, d, "eval_items"))
+
+
+QUERIES |= {f.__name__: f for f in (p6_found, p6_leaks, p6_paraphrases)}

@@ -100,3 +100,18 @@ SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(coalesce(n_stretche
   CASE WHEN length(text) > 0 THEN round(coalesce(shared_chars, 0) / length(text), 6) ELSE 0.0 END AS share
 FROM documents LEFT JOIN o USING (doc_id) WHERE text IS NOT NULL
 """
+
+# tokens are out of SQL's reach; the margins of the table hold for characters as well
+SQL["p7_found"] = """
+WITH s AS (SELECT source, sum(length(text)) AS n FROM documents GROUP BY source), t AS (SELECT sum(length(text)) AS n FROM documents),
+g AS (SELECT source, sum(target_share) AS target_share, max(max_repeats) AS max_repeats FROM source_targets GROUP BY source)
+SELECT g.source FROM g LEFT JOIN s USING (source), t WHERE g.target_share * t.n > g.max_repeats * coalesce(s.n, 0)
+"""
+
+SQL["p6_found"] = """
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(nfc_normalize(text)), '[\\p{L}\\p{N}]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(lower(nfc_normalize(text)), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+dg AS (SELECT doc_id, hash(array_to_string(w[s : s + 11], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS s FROM dw)),
+ig AS (SELECT item_id, hash(array_to_string(w[s : s + 11], ' ')) AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS s FROM iw))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
+"""
