@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grouping, leakage, mixing, spans, splitting, survivors
+from . import grouping, leakage, mixing, resolution, spans, splitting, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,3 +86,14 @@ def p6_paraphrases(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p6_found, p6_leaks, p6_paraphrases)}
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return resolution.resolve(_table(spark, d, "extracted"), _table(spark, d, "generic_names"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return resolution.linked_pairs(p5_groups(spark, d))
+
+
+QUERIES |= {f.__name__: f for f in (p5_found, p5_groups)}

@@ -140,7 +140,7 @@ class SharedSpans:
         counts = hits.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("h", "n")
         # one row per text: repeated rows of one id would otherwise multiply
         used = s.save(_only(texts, hits.select("doc_id").distinct()).dropDuplicates(["doc_id"]))
-        few = hits.join(counts.filter(F.col("n") <= hot), "h", "left_semi")
+        few = hits.join(counts.filter(F.col("n") <= hot), "h", "left_semi").select("h", "doc_id", "pos")
         pairs = (
             few.toDF("h", "doc_a", "pa").join(few.toDF("h", "doc_b", "pb"), "h").filter("doc_a < doc_b")
             .select("doc_a", "doc_b", (F.col("pa") - F.col("pb")).alias("shift")).distinct()
