@@ -40,8 +40,8 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, max_words: int =
 
     Columns: id_col, piece_no (from 1), n_pieces, start_word (offset of the first new word), new_words, overlap_words
     (leading words repeated from the piece before), n_words (both), boundary (what the piece ends with: paragraph,
-    sentence, word, or end), paragraph_no (where the first new word stands) and paragraph_words (length of that
-    paragraph), text. The new parts of all pieces, joined, are the text up to trailing whitespace of pieces.
+    sentence, word, or end), paragraph_no (where the first new word stands), starts_paragraph (whether it is the first of
+    it) and paragraph_words (length of that paragraph), text. The new parts of all pieces, joined, are the text up to trailing whitespace of pieces.
 
     Null, empty and blank texts give no row. Rows are handled one by one: repeated ids or rows give repeated pieces.
     Other columns of df are ignored, whatever their names. A single word is never cut, however long it is.
@@ -54,7 +54,7 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, max_words: int =
     whole = rows.filter(fits & F.col("_text").rlike(r"(?U)\S")).select(
         F.col("_id").alias(id_col), F.lit(1).alias("piece_no"), F.lit(1).alias("n_pieces"), F.lit(0).alias("start_word"),
         word_count(F.col("_text")).alias("new_words"), F.lit(0).alias("overlap_words"),
-        word_count(F.col("_text")).alias("n_words"), F.lit("end").alias("boundary"), F.lit(1).alias("paragraph_no"),
+        word_count(F.col("_text")).alias("n_words"), F.lit("end").alias("boundary"), F.lit(1).alias("paragraph_no"), F.lit(True).alias("starts_paragraph"),
         word_count(F.split(F.regexp_replace("_text", r"(?U)^\s+", ""), _PARAGRAPH, 2)[0]).alias("paragraph_words"),
         F.regexp_replace("_text", r"(?U)\s+$", "").alias("text"),
     )
@@ -71,13 +71,14 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, max_words: int =
         .withColumn("start_word", F.expr("aggregate(slice(_sizes, 1, _at), 0, (a, x) -> a + x)"))
         .withColumn("overlap_words", F.least(F.lit(overlap_words), "start_word"))
         .withColumn("paragraph_no", F.regexp_count(F.substring("_marks", F.lit(1), F.col("start_word")), F.lit("p")) + 1)
+        .withColumn("starts_paragraph", F.expr("start_word = 0 OR substring(_marks, start_word, 1) = 'p'"))
         .withColumn("_end", F.expr("substring(_marks, start_word + new_words, 1)"))
     )
     cut = pieces.select(
         F.col("_id").alias(id_col), (F.col("_at") + 1).alias("piece_no"), F.size("_sizes").alias("n_pieces"), "start_word",
         "new_words", "overlap_words", (F.col("new_words") + F.col("overlap_words")).alias("n_words"),
         F.when(F.col("_at") + 1 == F.size("_sizes"), "end").when(F.col("_end") == "p", "paragraph").when(F.col("_end") == "s", "sentence").otherwise("word").alias("boundary"),
-        "paragraph_no", F.element_at("_paragraphs", F.col("paragraph_no")).alias("paragraph_words"),
+        "paragraph_no", "starts_paragraph", F.element_at("_paragraphs", F.col("paragraph_no")).alias("paragraph_words"),
         F.regexp_replace(F.array_join(F.expr("slice(_words, start_word - overlap_words + 1, overlap_words + new_words)"), ""), r"(?U)\s+$", "").alias("text"),
     )
     return whole.unionByName(cut)
@@ -88,8 +89,8 @@ def oversized_found(pieces: DataFrame, id_col: str, max_words: int = 2500) -> Da
 
     Such a paragraph always starts a piece: the cut before it is at a paragraph's end, which beats every other.
     """
-    rows = pieces.filter("n_pieces > 1")
-    return (
-        rows.filter("piece_no = 1").select(id_col, F.lit(0).alias("paragraph_no"))
-        .unionByName(rows.filter(F.col("paragraph_words") > max_words).select(id_col, "paragraph_no").distinct())
+    found = F.array(
+        F.when(F.col("piece_no") == 1, F.lit(0)),
+        F.when(F.col("starts_paragraph") & (F.col("paragraph_words") > max_words), F.col("paragraph_no")),
     )
+    return pieces.filter("n_pieces > 1").select(id_col, F.explode(F.filter(found, lambda k: k.isNotNull())).alias("paragraph_no"))
