@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grouping, leakage, mixing, resolution, spans, splitting, survivors
+from ..scratch import Scratch
+from . import canonical, grouping, leakage, mixing, resolution, spans, splitting, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,3 +98,15 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p5_found, p5_groups)}
+
+
+def p3_mapping(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.map_values(_table(spark, d, "extracted"), _table(spark, d, "type_list"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    mapping = Scratch(spark, "types").save(p3_mapping(spark, d))
+    return canonical.attach(_table(spark, d, "extracted"), mapping, "mention_id", "type", "loaded_at")
+
+
+QUERIES |= {f.__name__: f for f in (p3_found, p3_mapping)}
