@@ -19,9 +19,9 @@ def fold_name(c: Column) -> Column:
     return F.lower(squeeze(c))
 
 
-def strip_space(c: Column) -> Column:
+def strip_space(c: Column | str) -> Column:
     """Unicode whitespace removed at both ends only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"(?U)^\s+|\s+$", "")
 
 
 def is_absent(c: Column) -> Column:
