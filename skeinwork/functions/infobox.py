@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -88,7 +89,7 @@ def infobox_text(html: str | None) -> str:
     return "\n".join(lines)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def infobox(html: pd.Series) -> pd.Series:
     """Column form of infobox_text; the HTML parser is Python, so pages go over in Arrow batches."""
     return html.map(infobox_text)

@@ -60,14 +60,13 @@ def distances(edges: DataFrame, start: str, max_depth: int = 1000) -> DataFrame:
     scratch = Scratch(spark, "distances")
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
     kind = near.schema["v"].dataType.simpleString()
-    seen = scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))
-    frontier = seen
+    frontier = seen = scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))
     for depth in range(1, max_depth + 1):
         reached = frontier.select("v").join(near, "v").select(F.col("w").cast(kind).alias("v")).distinct()
         frontier = scratch.save(reached.join(seen, "v", "left_anti").withColumn("distance", F.lit(depth)))
         if frontier.isEmpty():
             break
-        seen = scratch.save(seen.unionByName(frontier))
+        seen = scratch.read_all(seen, frontier)
     return seen
 
 

@@ -11,6 +11,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.records import COUNTRY_ANSWER, coerce_country
 from ..functions.text import lead, strip_fence
@@ -58,7 +59,7 @@ def call_model(rows: DataFrame, prompt: str, make_client: Callable[[], Client],
     """Adds `answer`, null where no try succeeded. One client a task; `parallel` tasks bound the calls at a time."""
     if parallel:
         rows = rows.repartition(parallel)
-    schema = rows.schema.add("answer", "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("answer", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()

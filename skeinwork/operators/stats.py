@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def importance(df: DataFrame, group: str, metrics: list[str]) -> DataFrame:
@@ -36,14 +37,13 @@ def alliance_share_interval(signed: DataFrame, types: DataFrame, replicates: int
     """
     rows = signed.join(types, "v", "left").withColumn("type", F.coalesce("type", F.lit("unknown"))).filter("total > 0")
     cells = rows.groupBy("type", "d_pos", "d_neg").agg(F.count(F.lit(1)).alias("k"))
+    enough = cells.groupBy("type").agg(F.sum("k").alias("n")).filter(F.col("n") >= least).select("type")
+    cells = cells.join(enough, "type", "left_semi")
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         n, kind = int(pdf["k"].sum()), pdf["type"].iloc[0]
-        if n < least:
-            return pd.DataFrame({"type": [], "n": [], "ci_lo": [], "ci_hi": []})
         pdf = pdf.sort_values(["d_pos", "d_neg"])
         rng = np.random.default_rng([seed, zlib.crc32(kind.encode())])
-        pos = neg = np.zeros(replicates)
         drawn = rng.multinomial(n, pdf["k"].to_numpy() / n, size=replicates)
         pos, neg = drawn @ pdf["d_pos"].to_numpy(), drawn @ pdf["d_neg"].to_numpy()
         share = np.where(pos + neg > 0, pos / np.maximum(pos + neg, 1), np.nan)
@@ -83,7 +83,7 @@ def normal_interval(mean: Column, se: Column) -> tuple[Column, Column]:
     return F.round(mean - 1.96 * se, 6), F.round(mean + 1.96 * se, 6)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """Two-sided probability of a standard normal beyond z."""
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)))

@@ -1 +1,130 @@
-QUERIES, SQL = {}, {}
+"""Queries of counts, shares, coverage, top lists and the viewer."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.names import fold_name, strip_space
+from ..functions.text import display_label
+from ..operators import census as C
+from ..operators.entities import strings
+from ..operators.graph import layers as L
+from .common import EDGES, Registry, both, degree, fold, layer, signed, table, vertex_types, TYPES
+
+_r = Registry()
+
+
+@_r.query("SELECT coalesce(type, 'none') AS type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM global_network_nodes GROUP BY 1")
+def type_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return C.histogram(table(spark, d, "global_network_nodes"), F.coalesce("type", F.lit("none")), "type")
+
+
+@_r.query("SELECT coalesce(relationship, 'none') AS relationship, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM global_network_edges GROUP BY 1")
+def relationship_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return C.histogram(table(spark, d, "global_network_edges"), F.coalesce("relationship", F.lit("none")), "relationship")
+
+
+@_r.query("SELECT detail, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM global_network_edges WHERE detail IS NOT NULL GROUP BY 1")
+def detail_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return C.histogram(table(spark, d, "global_network_edges").filter("detail is not null"), F.col("detail"), "detail")
+
+
+_ENDS = f"SELECT n AS name FROM (SELECT {fold('source')} AS n FROM global_network_edges UNION ALL SELECT {fold('target')} FROM global_network_edges) WHERE n <> ''"
+
+
+def _ends(spark: SparkSession, d: str) -> DataFrame:
+    return C.endpoint_degree(table(spark, d, "global_network_edges"), fold_name(F.col("source")), fold_name(F.col("target")))
+
+
+@_r.query(f"SELECT name, count(*) AS n FROM ({_ENDS}) GROUP BY 1")
+def endpoint_degree(spark: SparkSession, d: str) -> DataFrame:
+    return _ends(spark, d)
+
+
+@_r.query(f"SELECT name, count(*) AS n FROM ({_ENDS}) GROUP BY 1 ORDER BY n DESC, name LIMIT 10")
+def top_connected(spark: SparkSession, d: str) -> DataFrame:
+    return C.top(_ends(spark, d), 10, F.desc("n"), F.asc("name"))
+
+
+@_r.query("SELECT node_id, standard_name, len(source_articles) AS n FROM global_network_nodes WHERE source_articles IS NOT NULL ORDER BY n DESC, node_id LIMIT 10")
+def top_mentions(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "global_network_nodes").filter("source_articles is not null").select("node_id", "standard_name", F.size("source_articles").cast("bigint").alias("n"))
+    return C.top(n, 10, F.desc("n"), F.asc("node_id"))
+
+
+@_r.query("SELECT count(*) AS n, count(*) FILTER (k > 0) AS n_with, round(avg(CAST(k > 0 AS INTEGER)), 6) AS coverage, min(k) AS min_size, max(k) AS max_size, round(avg(k), 6) AS mean_size FROM (SELECT len(coalesce(wikipedia_urls, [])) AS k FROM global_network_nodes)")
+def coverage_stats(spark: SparkSession, d: str) -> DataFrame:
+    return C.array_sizes(table(spark, d, "global_network_nodes"), "wikipedia_urls")
+
+
+@_r.query("SELECT coalesce(evidence, 'none') AS kind, count(*) AS n, round(avg(CAST(coalesce(context, '') = '' OR contains(lower(context), 'infobox') AS INTEGER)), 6) AS infobox_share, round(avg(CAST(len(coalesce(wikipedia_urls, [])) >= 2 AS INTEGER)), 6) AS multi_source_share FROM global_network_edges GROUP BY 1")
+def edge_type_share(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "global_network_edges")
+    texts = F.when(F.coalesce("context", F.lit("")) != "", F.array("context")).otherwise(F.array().cast("array<string>"))
+    return C.edge_shares(e.select(F.coalesce("evidence", F.lit("none")).alias("kind"), texts.alias("descriptions"), strings(F.col("wikipedia_urls")).alias("sources")), "kind")
+
+
+@_r.query("SELECT value, count(*) AS n FROM (SELECT unnest(source_articles) AS value FROM global_network_nodes) GROUP BY 1")
+def exploded_counts(spark: SparkSession, d: str) -> DataFrame:
+    return C.exploded_counts(table(spark, d, "global_network_nodes"), "source_articles")
+
+
+@_r.query("SELECT type, rank, node_id, n FROM (SELECT type, node_id, len(coalesce(source_articles, [])) AS n, row_number() OVER (PARTITION BY type ORDER BY len(coalesce(source_articles, [])) DESC, node_id) AS rank FROM global_network_nodes) WHERE rank <= 5")
+def top_per_type(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "global_network_nodes").select("type", "node_id", F.size(strings(F.col("source_articles"))).cast("bigint").alias("n"))
+    return C.top_per_group(n, "type", 5, F.desc("n"), F.asc("node_id"))
+
+
+@_r.query("SELECT edge_id, source, target FROM global_network_edges ORDER BY lower(strip(source)) NULLS FIRST, lower(strip(target)) NULLS FIRST, edge_id")
+def edges_sorted(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "global_network_edges").select("edge_id", "source", "target")
+    return e.orderBy(F.lower(strip_space("source")), F.lower(strip_space("target")), "edge_id")
+
+
+@_r.query("SELECT DISTINCT type, array_to_string(list_transform(string_split(replace(type, '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS label FROM type_list")
+def display_labels(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "type_list").select("type", display_label(F.col("type")).alias("label")).distinct()
+
+
+# ---- the viewer
+
+
+@_r.query(f"WITH {EDGES} SELECT edge_id, s AS source, t AS target FROM e WHERE rel = 'alliance'")
+def viewer_layer(spark: SparkSession, d: str) -> DataFrame:
+    return signed(spark, d).filter("relationship = 'alliance' and source <> '' and target <> '' and source <> target").select("edge_id", "source", "target")
+
+
+_SEARCH = "gang"
+
+
+@_r.query(f"WITH {EDGES}, {layer('l', None)}, {both('bw', 'l')}, {degree('dg', 'bw')}, {TYPES} SELECT v AS name, type, coalesce(neighbours, 0) AS neighbours FROM ty LEFT JOIN dg USING (v) WHERE contains(v, '{_SEARCH}') ORDER BY neighbours DESC, name")
+def viewer_search(spark: SparkSession, d: str) -> DataFrame:
+    """Names that hold a text, by connections; the published viewer ranks by stored betweenness, a column choice."""
+    deg = L.degrees(L.layer(signed(spark, d))).select("v", "neighbours")
+    rows = vertex_types(spark, d).filter(F.contains("v", F.lit(_SEARCH))).join(deg, "v", "left")
+    return rows.select(F.col("v").alias("name"), "type", F.coalesce("neighbours", F.lit(0)).alias("neighbours")).orderBy(F.desc("neighbours"), "name")
+
+
+_TOP = "(SELECT v FROM dg ORDER BY neighbours DESC, v LIMIT 1)"
+
+
+@_r.query(f"WITH {EDGES}, {layer('l', None)}, {both('bw', 'l')}, {degree('dg', 'bw')}, nb AS (SELECT w FROM bw WHERE v = {_TOP} UNION SELECT v FROM {_TOP}) SELECT a, b, m FROM l WHERE a IN (SELECT w FROM nb) AND b IN (SELECT w FROM nb)")
+def ego_network(spark: SparkSession, d: str) -> DataFrame:
+    edges = L.layer(signed(spark, d))
+    top = L.degrees(edges).orderBy(F.desc("neighbours"), "v").first()
+    return L.ego(edges, top["v"] if top else "")
+
+
+@_r.query(f"""WITH {EDGES}, {TYPES}, o AS (SELECT s AS v, edge_id, rel FROM e UNION ALL SELECT t, edge_id, rel FROM e)
+SELECT v AS name, type, count(edge_id) AS n_edges, coalesce(string_agg(edge_id || ':' || rel, '|' ORDER BY edge_id), '') AS evidence FROM ty LEFT JOIN o USING (v) GROUP BY 1, 2""")
+def entity_details(spark: SparkSession, d: str) -> DataFrame:
+    """The panel of every organisation: its record, and its edges in order."""
+    e = signed(spark, d).filter("source <> '' and target <> '' and source <> target")
+    ends = e.select(F.explode(F.array("source", "target")).alias("v"), "edge_id", "relationship")
+    listed = ends.groupBy("v").agg(F.count(F.lit(1)).alias("n_edges"), F.array_sort(F.collect_list(F.struct("edge_id", "relationship"))).alias("x"))
+    text = F.array_join(F.transform("x", lambda s: F.concat(s["edge_id"].cast("string"), F.lit(":"), s["relationship"])), "|")
+    return vertex_types(spark, d).join(listed, "v", "left").select(F.col("v").alias("name"), "type", F.coalesce("n_edges", F.lit(0)).alias("n_edges"), F.coalesce(text, F.lit("")).alias("evidence"))
+
+
+QUERIES, SQL = _r.queries, _r.sql

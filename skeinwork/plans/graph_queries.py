@@ -1 +1,347 @@
-QUERIES, SQL = {}, {}
+"""Queries of network analytics on the alliance and rivalry layers of the edge table."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import census as C
+from ..operators import stats as S
+from ..operators.graph import centrality as Z
+from ..operators.graph import clustering as K
+from ..operators.graph import layers as L
+from ..operators.graph import traversal as T
+from .common import EDGES, TYPES, Registry, both, degree, layer, signed, vertex_types
+
+_r = Registry()
+_A = f"WITH RECURSIVE {EDGES}, {layer('l', 'alliance')}, {both('bw', 'l')}, {degree('dg', 'bw')}"
+_AR = f"WITH RECURSIVE {EDGES}, {layer('la', 'alliance')}, {both('ba', 'la')}, {degree('da', 'ba')}, {layer('lr', 'rivalry')}, {both('br', 'lr')}, {degree('dr', 'br')}"
+_SIGNED = f"""{_AR}, sg AS (SELECT coalesce(da.v, dr.v) AS v, coalesce(da.neighbours, 0) AS d_pos, coalesce(dr.neighbours, 0) AS d_neg FROM da FULL JOIN dr ON da.v = dr.v),
+sd AS (SELECT *, d_pos + d_neg AS total, d_pos - d_neg AS difference, d_pos * d_neg AS product FROM sg)"""
+
+
+def _layer(spark: SparkSession, d: str, name: str | None = "alliance") -> DataFrame:
+    return L.layer(signed(spark, d), name)
+
+
+def _signed(spark: SparkSession, d: str) -> DataFrame:
+    return L.signed_degrees(_layer(spark, d), _layer(spark, d, "rivalry"))
+
+
+def _vertices(spark: SparkSession, d: str) -> DataFrame:
+    """All organisations: nodes, and ends of edges that are no node."""
+    ends = L.both_ways(_layer(spark, d, None)).select("v")
+    return vertex_types(spark, d).select("v").union(ends).distinct()
+
+
+@_r.query(f"{_A} SELECT a, b, m FROM l")
+def layer_edges(spark: SparkSession, d: str) -> DataFrame:
+    return _layer(spark, d)
+
+
+@_r.query(f"{_A} SELECT v, degree, neighbours FROM dg")
+def layer_degree(spark: SparkSession, d: str) -> DataFrame:
+    return L.degrees(_layer(spark, d))
+
+
+@_r.query(f"{_A}, {TYPES}, u AS (SELECT v FROM ty UNION SELECT s FROM e UNION SELECT t FROM e) SELECT v FROM u WHERE v NOT IN (SELECT v FROM dg)")
+def layer_isolates(spark: SparkSession, d: str) -> DataFrame:
+    return L.isolates(_vertices(spark, d), _layer(spark, d))
+
+
+@_r.query(f"{_A} SELECT count(*) AS n_nodes, CAST(sum(degree) / 2 AS BIGINT) AS n_edges, round(sum(degree) / (count(*) * (count(*) - 1)), 6) AS density, round(avg(degree), 6) AS mean_degree, median(degree) AS median_degree, max(degree) AS max_degree FROM dg")
+def layer_density(spark: SparkSession, d: str) -> DataFrame:
+    return L.degree_summary(_layer(spark, d))
+
+
+_TRI = "tr AS (SELECT x.v, count(*) AS n FROM bw x JOIN bw y ON x.v = y.v AND x.w < y.w JOIN bw z ON z.v = x.w AND z.w = y.w GROUP BY 1), lc AS (SELECT dg.v, neighbours, coalesce(n, 0) AS triangles FROM dg LEFT JOIN tr USING (v) WHERE neighbours >= 2)"
+
+
+@_r.query(f"{_A}, {_TRI} SELECT v, neighbours, triangles, round(2 * triangles / (neighbours * (neighbours - 1)), 6) AS clustering FROM lc")
+def local_clustering(spark: SparkSession, d: str) -> DataFrame:
+    return K.local_clustering(_layer(spark, d))
+
+
+@_r.query(f"{_A}, {_TRI} SELECT round(sum(triangles) / sum(neighbours * (neighbours - 1) / 2), 6) AS transitivity, round(avg(triangles / (neighbours * (neighbours - 1) / 2)), 6) AS mean_local_clustering FROM lc")
+def transitivity(spark: SparkSession, d: str) -> DataFrame:
+    return K.clustering_summary(_layer(spark, d))
+
+
+@_r.query(f"{_A} SELECT round(corr(x.degree, y.degree), 6) AS degree_assortativity FROM (SELECT v, w, unnest(range(m)) FROM bw) b JOIN dg x ON b.v = x.v JOIN dg y ON b.w = y.v")
+def degree_assortativity(spark: SparkSession, d: str) -> DataFrame:
+    return K.degree_assortativity(_layer(spark, d))
+
+
+_MIX = "mx AS (SELECT coalesce(x.type, 'unknown') AS type_a, coalesce(y.type, 'unknown') AS type_b, CAST(sum(m) AS BIGINT) AS n FROM bw LEFT JOIN ty x ON bw.v = x.v LEFT JOIN ty y ON bw.w = y.v GROUP BY 1, 2)"
+
+
+@_r.query(f"{_A}, {TYPES}, {_MIX} SELECT type_a, type_b, n, round(n / (SELECT sum(n) FROM mx), 6) AS share FROM mx")
+def type_mixing_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return K.mixing(_layer(spark, d), vertex_types(spark, d))
+
+
+@_r.query(f"{_A}, {TYPES}, {_MIX}, rw AS (SELECT type_a, sum(n) AS s FROM mx GROUP BY 1), x AS (SELECT sum(s) AS n, sum(CAST(s AS DOUBLE) * s) AS q FROM rw), o AS (SELECT sum(n) FILTER (type_a = type_b) AS own FROM mx) SELECT round((own / n - q / (n * n)) / (1 - q / (n * n)), 6) AS type_assortativity FROM x, o")
+def type_assortativity(spark: SparkSession, d: str) -> DataFrame:
+    return K.type_assortativity(_layer(spark, d), vertex_types(spark, d))
+
+
+_CC = "rc AS (SELECT v, v AS r FROM dg UNION SELECT bw.w, rc.r FROM rc JOIN bw ON bw.v = rc.v), cc AS (SELECT v, min(r) AS component FROM rc GROUP BY 1)"
+_SIZES = "cz AS (SELECT component, count(*) AS n_nodes FROM cc GROUP BY 1), ce AS (SELECT component, CAST(sum(m) AS BIGINT) AS n_edges FROM l JOIN cc ON a = v GROUP BY 1), big AS (SELECT component FROM cz ORDER BY n_nodes DESC, component LIMIT 1)"
+
+
+@_r.query(f"{_A}, {_CC} SELECT v, component FROM cc")
+def connected_components(spark: SparkSession, d: str) -> DataFrame:
+    return T.components(_layer(spark, d))
+
+
+@_r.query(f"{_A}, {_CC}, {_SIZES} SELECT component, n_nodes, n_edges, round(2 * n_edges / (n_nodes * (n_nodes - 1)), 6) AS density FROM cz JOIN ce USING (component)")
+def component_sizes(spark: SparkSession, d: str) -> DataFrame:
+    edges = _layer(spark, d)
+    return T.component_sizes(edges, T.components(edges))
+
+
+@_r.query(f"{_A}, {_CC}, {_SIZES} SELECT a, b, m FROM l JOIN cc ON a = v WHERE component IN (SELECT component FROM big)")
+def largest_component(spark: SparkSession, d: str) -> DataFrame:
+    edges = _layer(spark, d)
+    return T.largest_component(edges, T.components(edges))
+
+
+def _hub(edges: DataFrame) -> str:
+    row = L.degrees(edges).orderBy(F.desc("neighbours"), "v").first()
+    return row["v"] if row else ""
+
+
+@_r.query(f"{_A}, bf AS (SELECT v, 0 AS distance FROM (SELECT v FROM dg ORDER BY neighbours DESC, v LIMIT 1) UNION SELECT bw.w, distance + 1 FROM bf JOIN bw USING (v) WHERE distance < 40) SELECT v, min(distance) AS distance FROM bf GROUP BY 1")
+def bfs_levels(spark: SparkSession, d: str) -> DataFrame:
+    edges = _layer(spark, d)
+    return T.distances(edges, _hub(edges))
+
+
+@_r.query()
+def pseudo_diameter(spark: SparkSession, d: str) -> DataFrame:
+    edges = _layer(spark, d)
+    far = T.pseudo_diameter(edges, _hub(edges))
+    return spark.createDataFrame([("alliance", far)], "layer string, pseudo_diameter int")
+
+
+def _kcore_sql(rounds: int = 30) -> str:
+    steps = ["c0 AS MATERIALIZED (SELECT v, neighbours AS core FROM dg)"]
+    for k in range(1, rounds + 1):
+        steps.append(f"c{k} AS MATERIALIZED (SELECT v, max(least(x, n)) AS core FROM (SELECT bw.v, c{k - 1}.core AS x, row_number() OVER (PARTITION BY bw.v ORDER BY c{k - 1}.core DESC) AS n FROM bw JOIN c{k - 1} ON bw.w = c{k - 1}.v) GROUP BY 1)")
+    return f"{_A}, {', '.join(steps)}, core AS (SELECT v, CAST(core AS BIGINT) AS core FROM c{rounds})"
+
+
+@_r.query(_kcore_sql() + " SELECT v, core FROM core")
+def kcore(spark: SparkSession, d: str) -> DataFrame:
+    return T.core_numbers(_layer(spark, d))
+
+
+@_r.query(_kcore_sql().replace(", c0 AS", f", {TYPES}, c0 AS", 1) + ", q AS (SELECT core, coalesce(type, 'unknown') AS type, count(*) AS n FROM core LEFT JOIN ty USING (v) GROUP BY 1, 2), p AS (SELECT *, n / sum(n) OVER (PARTITION BY core) AS part FROM q) SELECT core, type, n, round(part, 6) AS share, round(coalesce(sum(part) OVER (PARTITION BY core ORDER BY type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS \"offset\" FROM p")
+def kcore_composition(spark: SparkSession, d: str) -> DataFrame:
+    return T.core_composition(T.core_numbers(_layer(spark, d)), vertex_types(spark, d))
+
+
+@_r.query(_kcore_sql() + " SELECT core.v, core, degree FROM core JOIN dg USING (v) WHERE core = (SELECT max(core) FROM core) ORDER BY degree DESC, v")
+def innermost_core(spark: SparkSession, d: str) -> DataFrame:
+    edges = _layer(spark, d)
+    cores = T.core_numbers(edges)
+    most = cores.agg(F.max("core").alias("core"))  # one row
+    return cores.join(F.broadcast(most), "core", "left_semi").join(L.degrees(edges), "v").select("v", "core", "degree").orderBy(F.desc("degree"), "v")
+
+
+def _pagerank_sql(vertices: str, rounds: int = 20) -> str:
+    steps = [f"nm AS MATERIALIZED ({vertices})", "r0 AS MATERIALIZED (SELECT v, 1.0::DOUBLE / (SELECT count(*) FROM nm) AS r FROM nm)"]
+    for k in range(1, rounds + 1):
+        p = f"r{k - 1}"
+        steps.append(
+            f"r{k} AS MATERIALIZED (SELECT nm.v, 0.15 / (SELECT count(*) FROM nm) + 0.85 * (coalesce(g.got, 0) + (SELECT coalesce(sum(r), 0) FROM {p} WHERE v NOT IN (SELECT v FROM dg)) / (SELECT count(*) FROM nm)) AS r "
+            f"FROM nm LEFT JOIN (SELECT bw.w AS v, sum({p}.r * bw.m / dg.degree) AS got FROM bw JOIN {p} ON bw.v = {p}.v JOIN dg ON dg.v = bw.v GROUP BY 1) g ON nm.v = g.v)"
+        )
+    return f"{', '.join(steps)}"
+
+
+@_r.query(f"{_A}, {_pagerank_sql('SELECT v FROM dg')} SELECT v, round(r, 8) AS pagerank FROM r20")
+def pagerank(spark: SparkSession, d: str) -> DataFrame:
+    return Z.pagerank(_layer(spark, d)).select("v", F.round("pagerank", 8).alias("pagerank"))
+
+
+@_r.query(f"{_A}, {TYPES}, {_pagerank_sql('SELECT v FROM ty UNION SELECT s FROM e UNION SELECT t FROM e')} SELECT v, round(r, 8) AS pagerank FROM r20 WHERE v IN (SELECT v FROM dg)")
+def pagerank_with_isolates(spark: SparkSession, d: str) -> DataFrame:
+    """On all organisations, those without an edge left out afterwards: the ranks differ, as their number is larger."""
+    edges = _layer(spark, d)
+    ranks = Z.pagerank(edges, _vertices(spark, d))
+    return ranks.join(L.degrees(edges).select("v"), "v", "left_semi").select("v", F.round("pagerank", 8).alias("pagerank"))
+
+
+@_r.query()
+def betweenness(spark: SparkSession, d: str) -> DataFrame:
+    """On the simple graph of each layer and of both, 0 where an organisation has no edge in it."""
+    names = _vertices(spark, d)
+    out = names
+    for name, rel in (("alliance", "alliance"), ("rivalry", "rivalry"), ("combined", None)):
+        edges = L.layer(signed(spark, d).filter("relationship <> 'other'"), rel)
+        b = Z.betweenness(edges).select("v", F.bround("betweenness", 6).alias(f"betweenness_{name}"))
+        out = out.join(b, "v", "left")
+    return out.select("v", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in out.columns[1:]])
+
+
+@_r.query()
+def betweenness_multigraph(spark: SparkSession, d: str) -> DataFrame:
+    """Parallel edges as paths of their own, on the layer without isolates."""
+    return Z.betweenness(_layer(spark, d), collapse_parallel=False).select("v", F.bround("betweenness", 6).alias("betweenness"))
+
+
+def _metrics(spark: SparkSession, d: str, name: str = "alliance") -> DataFrame:
+    """(v, type, degree, betweenness, pagerank, core) of a layer."""
+    edges = _layer(spark, d, name)
+    rows = L.degrees(edges).select("v", "degree").join(Z.betweenness(edges, collapse_parallel=False), "v").join(Z.pagerank(edges), "v").join(T.core_numbers(edges), "v")
+    return rows.join(vertex_types(spark, d), "v", "left").select("v", F.coalesce("type", F.lit("unknown")).alias("type"), "degree", F.round("betweenness", 6).alias("betweenness"), F.round("pagerank", 8).alias("pagerank"), "core")
+
+
+@_r.query()
+def master_frame(spark: SparkSession, d: str) -> DataFrame:
+    """One row per organisation with its metrics in both layers, 0 where it is not in one."""
+    out = _vertices(spark, d).join(vertex_types(spark, d), "v", "left").withColumn("type", F.coalesce("type", F.lit("unknown")))
+    for name in ("alliance", "rivalry"):
+        m = _metrics(spark, d, name).drop("type")
+        out = out.join(m.toDF("v", *[f"{c}_{name}" for c in m.columns[1:]]), "v", "left")
+    return out.select("v", "type", *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns[2:]])
+
+
+@_r.query()
+def layer_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The table of metrics of both layers, a row per layer and metric."""
+    out = None
+    for name in ("alliance", "rivalry"):
+        edges = _layer(spark, d, name)
+        labels = T.components(edges)
+        sizes = T.component_sizes(edges, labels)
+        parts = sizes.agg(F.count(F.lit(1)).alias("components"), F.max_by(F.struct("n_nodes", "n_edges", "density"), F.col("n_nodes")).alias("g")).select("components", F.col("g.n_nodes").alias("lcc_nodes"), F.col("g.n_edges").alias("lcc_edges"), F.col("g.density").alias("lcc_density"))
+        giant = T.largest_component(edges, labels)
+        most = _metrics(spark, d, name).agg(F.max("betweenness").alias("max_betweenness"), F.max("pagerank").alias("max_pagerank"), F.max("core").alias("max_core"))
+        rows = L.degree_summary(edges).crossJoin(parts).crossJoin(K.clustering_summary(edges)).crossJoin(K.degree_assortativity(edges)).crossJoin(most).withColumn("pseudo_diameter", F.lit(T.pseudo_diameter(giant, _hub(giant))))  # one row each
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in rows.columns])).alias("x")
+        part = rows.select(F.lit(name).alias("layer"), cells).select("layer", "x.metric", "x.value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@_r.query()
+def type_importance(spark: SparkSession, d: str) -> DataFrame:
+    return S.importance(_metrics(spark, d), "type", ["degree", "betweenness", "pagerank"])
+
+
+@_r.query(f"{_A}, {TYPES} SELECT coalesce(type, 'unknown') AS type, count(*) AS n, round(avg(degree), 6) AS degree_mean, round(stddev_samp(degree), 6) AS degree_std, round(stddev_samp(degree) / sqrt(count(*)), 6) AS degree_se, CAST(sum(degree) AS BIGINT) AS degree_sum FROM dg LEFT JOIN ty USING (v) GROUP BY 1")
+def type_degree_importance(spark: SparkSession, d: str) -> DataFrame:
+    rows = L.degrees(_layer(spark, d)).join(vertex_types(spark, d), "v", "left").withColumn("type", F.coalesce("type", F.lit("unknown")))
+    return S.importance(rows, "type", ["degree"])
+
+
+@_r.query()
+def combined_rank(spark: SparkSession, d: str) -> DataFrame:
+    """The eleven organisations with the least sum of their ranks by PageRank and betweenness."""
+    ranked = L.positions(_metrics(spark, d), {"pagerank": "rank_p", "betweenness": "rank_b"})
+    return ranked.select("v", "rank_p", "rank_b", (F.col("rank_p") + F.col("rank_b")).alias("combined")).orderBy("combined", "v").limit(11)
+
+
+@_r.query(f"{_A} SELECT v, degree, round(1.0 + 10.0 * (degree - (SELECT min(degree) FROM dg)) / ((SELECT max(degree) - min(degree) FROM dg) + 1), 6) AS size FROM dg")
+def display_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return C.scaled(L.degrees(_layer(spark, d)).select("v", "degree"), "degree")
+
+
+@_r.query(f"{_A} SELECT v, degree FROM dg ORDER BY degree DESC, v LIMIT 10")
+def top_degree(spark: SparkSession, d: str) -> DataFrame:
+    return C.top(L.degrees(_layer(spark, d)).select("v", "degree"), 10, F.desc("degree"), F.asc("v"))
+
+
+@_r.query(f"{_SIGNED} SELECT v, d_pos, d_neg, total, difference, product FROM sd")
+def signed_degree(spark: SparkSession, d: str) -> DataFrame:
+    return _signed(spark, d)
+
+
+@_r.query(f"{_SIGNED} SELECT v, d_pos, d_neg, product FROM sd ORDER BY product DESC, v LIMIT 15")
+def controversy_topk(spark: SparkSession, d: str) -> DataFrame:
+    return C.top(_signed(spark, d).select("v", "d_pos", "d_neg", "product"), 15, F.desc("product"), F.asc("v"))
+
+
+@_r.query(f"{_AR} SELECT a, b FROM la INTERSECT SELECT a, b FROM lr")
+def contradictory_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return L.contradictory(_layer(spark, d), _layer(spark, d, "rivalry"))
+
+
+@_r.query(f"{_AR} SELECT a, b FROM la INTERSECT SELECT a, b FROM lr ORDER BY a, b LIMIT 20")
+def contradictory_first(spark: SparkSession, d: str) -> DataFrame:
+    return C.top(L.contradictory(_layer(spark, d), _layer(spark, d, "rivalry")), 20, F.asc("a"), F.asc("b"))
+
+
+@_r.query(f"{_AR} SELECT v FROM da UNION SELECT v FROM dr")
+def signed_vertices(spark: SparkSession, d: str) -> DataFrame:
+    return L.both_layers(_layer(spark, d), _layer(spark, d, "rivalry"))
+
+
+@_r.query(f"{_SIGNED} SELECT v, d_pos, d_neg, CASE WHEN d_neg = 0 THEN 'cooperator' ELSE 'antagonist' END AS role FROM sd WHERE (d_neg = 0 AND d_pos >= 5) OR (d_pos = 0 AND d_neg >= 5)")
+def pure_roles(spark: SparkSession, d: str) -> DataFrame:
+    s = _signed(spark, d)
+    role: Column = F.when((F.col("d_neg") == 0) & (F.col("d_pos") >= 5), "cooperator").when((F.col("d_pos") == 0) & (F.col("d_neg") >= 5), "antagonist")
+    return s.select("v", "d_pos", "d_neg", role.alias("role")).filter("role is not null")
+
+
+_RANKS = f"""{_AR}, bo AS (SELECT v, da.degree AS m1, dr.degree AS m2 FROM da JOIN dr USING (v) WHERE da.degree > 0 OR dr.degree > 0),
+rk AS (SELECT v, row_number() OVER (ORDER BY m1 DESC, v) AS rank_1, row_number() OVER (ORDER BY m2 DESC, v) AS rank_2 FROM bo)"""
+
+
+def _ranks(spark: SparkSession, d: str) -> DataFrame:
+    return L.rank_changes(L.degrees(_layer(spark, d)), L.degrees(_layer(spark, d, "rivalry")), "degree")
+
+
+@_r.query(f"{_RANKS} SELECT v, rank_1, rank_2, rank_2 - rank_1 AS delta, greatest(rank_1, rank_2) AS max_rank FROM rk")
+def role_rank_delta(spark: SparkSession, d: str) -> DataFrame:
+    return _ranks(spark, d)
+
+
+@_r.query(f"{_RANKS} SELECT v, rank_1, rank_2, abs(rank_2 - rank_1) AS delta, greatest(rank_1, rank_2) AS max_rank FROM rk ORDER BY max_rank, delta, v LIMIT 15")
+def persistence_rank(spark: SparkSession, d: str) -> DataFrame:
+    return _ranks(spark, d).withColumn("delta", F.abs("delta")).orderBy("max_rank", "delta", "v").limit(15)
+
+
+@_r.query()
+def role_rank_betweenness(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks by betweenness in the two layers, of organisations in both that are between others in one."""
+    first, second = (Z.betweenness(_layer(spark, d, n)) for n in ("alliance", "rivalry"))
+    return L.rank_changes(first, second, "betweenness")
+
+
+@_r.query(f"{_SIGNED}, {TYPES} SELECT coalesce(type, 'unknown') AS type, count(*) AS n, CAST(sum(d_pos) AS BIGINT) AS d_pos, CAST(sum(d_neg) AS BIGINT) AS d_neg, round(sum(d_pos) / sum(total), 6) AS share FROM sd LEFT JOIN ty USING (v) WHERE total > 0 GROUP BY 1")
+def alliance_share(spark: SparkSession, d: str) -> DataFrame:
+    return S.alliance_share(_signed(spark, d), vertex_types(spark, d))
+
+
+@_r.query()
+def alliance_share_ci(spark: SparkSession, d: str) -> DataFrame:
+    s, t = _signed(spark, d), vertex_types(spark, d)
+    return S.alliance_share(s, t).join(S.alliance_share_interval(s, t).drop("n"), "type")
+
+
+def _cells(spark: SparkSession, d: str) -> DataFrame:
+    """The types at the ends of each edge, counted per layer."""
+    t = vertex_types(spark, d)
+    e = signed(spark, d).filter("relationship <> 'other' and source <> '' and target <> '' and source <> target")
+    x = F.coalesce("tx", F.lit("unknown"))
+    y = F.coalesce("ty", F.lit("unknown"))
+    rows = e.join(t.toDF("source", "tx"), "source", "left").join(t.toDF("target", "ty"), "target", "left")
+    return rows.groupBy(F.col("relationship").alias("layer"), F.least(x, y).alias("type_a"), F.greatest(x, y).alias("type_b")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_r.query()
+def assortativity_bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    b = S.bootstrap_assortativity(_cells(spark, d))
+    lo, hi = S.normal_interval(F.col("mean"), F.col("se"))
+    return b.select("layer", "mean", "se", lo.alias("ci_lo"), hi.alias("ci_hi"))
+
+
+@_r.query()
+def assortativity_test(spark: SparkSession, d: str) -> DataFrame:
+    return S.z_test(S.bootstrap_assortativity(_cells(spark, d)), "alliance", "rivalry")
+
+
+QUERIES, SQL = _r.queries, _r.sql

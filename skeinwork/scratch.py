@@ -52,9 +52,16 @@ class Scratch:
         out._skein_path = path
         return out
 
+    def read_all(self, *tables: DataFrame) -> DataFrame:
+        """One frame over saved tables of one schema: a single scan of their folders, however many they are."""
+        paths = [p for t in tables for p in vars(t).get("_skein_paths") or [vars(t)["_skein_path"]]]
+        out = self.spark.read.schema(tables[0].schema).parquet(*paths)
+        out._skein_paths = paths
+        return out
+
     def drop(self, df: DataFrame | None = None) -> None:
         """Delete one table that nothing reads any more, or the whole folder."""
-        target = self.root if df is None else getattr(df, "_skein_path", None)
+        target = self.root if df is None else vars(df).get("_skein_path")
         if not target or self.spark.sparkContext._jsc is None:
             return
         try:

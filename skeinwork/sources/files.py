@@ -8,6 +8,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.infobox import infobox_text
 from ..functions.urls import language, revision
@@ -97,7 +98,7 @@ class Wiki(Protocol):
 
 def resolve_revisions(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1) -> DataFrame:
     """Adds oldid and reason to rows with lang and title; parallel bounds the calls at a time."""
-    schema = rows.schema.add("oldid", "long").add("reason", "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("oldid", T.LongType()), T.StructField("reason", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
@@ -111,7 +112,7 @@ def resolve_revisions(rows: DataFrame, make_client: Callable[[], Wiki], parallel
 def fetch_articles(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1) -> DataFrame:
     """Adds content, infobox and error to rows with a versioned url. The text must come, the infobox may be empty."""
     rows = rows.withColumn("_lang", language(F.col("url"))).withColumn("_id", revision(F.col("url")))
-    schema = rows.schema.add("content", "string").add("infobox", "string").add("error", "string")
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.StringType()) for c in ("content", "infobox", "error"))])
 
     def one(client: Wiki, lang: str, oldid) -> tuple[str | None, str, str | None]:
         if pd.isna(oldid):

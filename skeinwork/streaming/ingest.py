@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
-def new_records(spark: SparkSession, path: str, schema: str, form: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
-    """A stream of the files of a directory, for runs that take what is new and stop."""
-    return spark.readStream.schema(schema).format(form).option("maxFilesPerTrigger", files_per_batch).load(path)
+def new_records(spark: SparkSession, path: str, schema: StructType, form: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
+    """A stream of the files of a directory, or of one file, for runs that take what is new and stop."""
+    reader = spark.readStream.schema(schema).format(form).option("maxFilesPerTrigger", files_per_batch)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():  # the source wants a directory
+        return reader.option("pathGlobFilter", p.getName()).load(p.getParent().toString())
+    return reader.load(path)
 
 
 def ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
