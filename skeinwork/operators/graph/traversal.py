@@ -55,19 +55,23 @@ def largest_component(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def distances(edges: DataFrame, start: str, max_depth: int = 1000) -> DataFrame:
-    """(v, distance) of everything reachable from a vertex, the frontier alone being joined in each round."""
+    """(v, distance) of everything reachable from a vertex.
+
+    The frontier alone is joined in each round, and what it reaches is compared with the last two levels only: the
+    neighbours of a level are in it, in the one before, or new.
+    """
     spark = edges.sparkSession
     scratch = Scratch(spark, "distances")
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
-    kind = near.schema["v"].dataType.simpleString()
-    frontier = seen = scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))
+    levels = [scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))]
     for depth in range(1, max_depth + 1):
-        reached = frontier.select("v").join(near, "v").select(F.col("w").cast(kind).alias("v")).distinct()
-        frontier = scratch.save(reached.join(seen, "v", "left_anti").withColumn("distance", F.lit(depth)))
-        if frontier.isEmpty():
+        reached = levels[-1].select("v").join(near, "v").select(F.col("w").alias("v")).distinct()
+        known = levels[-1].select("v") if depth == 1 else levels[-1].select("v").union(levels[-2].select("v"))
+        fresh = scratch.save(reached.join(known, "v", "left_anti").withColumn("distance", F.lit(depth)))
+        if fresh.isEmpty():
             break
-        seen = scratch.read_all(seen, frontier)
-    return seen
+        levels.append(fresh)
+    return scratch.read_all(*levels)
 
 
 def pseudo_diameter(edges: DataFrame, start: str, max_sweeps: int = 10) -> int:
