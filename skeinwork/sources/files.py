@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.infobox import infobox_text
+from ..functions.names import strip_space
 from ..functions.urls import language, revision
 from ..operators.models import EDGE, NODE
 
@@ -38,13 +39,13 @@ def _folder() -> F.Column:
 
 
 def _texts(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).option("wholetext", True).text(root).select(_folder().alias("folder_name"), "value")
+    return spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name).select(_folder().alias("folder_name"), "value")
 
 
 def article_texts(spark: SparkSession, root: str) -> DataFrame:
     """(folder_name, content, url) of a directory of article folders; url is null where its file is missing."""
     texts = _texts(spark, root, "content.txt").withColumnRenamed("value", "content")
-    return texts.join(_texts(spark, root, "url.txt").select("folder_name", F.trim("value").alias("url")), "folder_name", "left")
+    return texts.join(_texts(spark, root, "url.txt").select("folder_name", strip_space("value").alias("url")), "folder_name", "left")
 
 
 def extraction_records(spark: SparkSession, root: str, name: str = "extracted.json") -> tuple[DataFrame, DataFrame]:
@@ -53,7 +54,7 @@ def extraction_records(spark: SparkSession, root: str, name: str = "extracted.js
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).option("multiLine", True)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(RECORD).json(root).withColumn("folder_name", _folder())
     )
-    return rows.filter("_corrupt is null").drop("_corrupt"), rows.filter("_corrupt is not null").select("folder_name", F.col("_corrupt").alias("text"))
+    return rows.filter("_corrupt is null").drop("_corrupt"), rows.filter("_corrupt is not null and nodes is null").select("folder_name", F.col("_corrupt").alias("text"))
 
 
 def tagged(records: DataFrame, urls: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
