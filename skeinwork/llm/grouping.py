@@ -36,8 +36,8 @@ def shared_key_edges(keys: DataFrame, salts: int = _SALTS) -> DataFrame:
     return inner.unionByName(outer).filter("a <> b")
 
 
-def _head_start(vertex: str, level: int, beta: float):
-    u = (F.pmod(F.xxhash64(F.col(vertex), F.lit(level)), F.lit(2**31 - 1)) + 1) / F.lit(float(2**31))
+def _head_start(vertex: str, level: str, beta: float):
+    u = (F.shiftrightunsigned(F.xxhash64(vertex, level), 11) + 1) / F.lit(float(2**53))
     return -F.log(u) / F.lit(beta)
 
 
@@ -46,65 +46,56 @@ def low_diameter_groups(edges: DataFrame, beta: float = 0.4, steps: int = 3, max
 
     Repeated edges, either orientation, and self pairs are allowed; a null end drops the edge. An empty table gives an
     empty result. Other columns are ignored. Each level is written to the shared folder, and what it replaces is deleted.
+    Numbers as ids keep every aggregation in hash tables; other types sort.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "groups")
     a, b = F.least("a", "b"), F.greatest("a", "b")
-    level_edges = scratch.save(edges.select(a.alias("a"), b.alias("b")).filter("a is not null and b is not null and a <> b").distinct())
-    all_vertices = level_edges.select(F.col("a").alias("id")).union(level_edges.select("b")).distinct()
-    first, levels = level_edges, []
-    for level in range(max_levels):
-        # symmetric, pre-aggregated degrees tell the hot vertices: few by construction, at most 2E / threshold
-        both = level_edges.union(level_edges.select("b", "a")).toDF("v", "w")
+    level_edges = scratch.save(edges.select(a.alias("a"), b.alias("b"), F.lit(0).alias("level")).filter("a is not null and b is not null and a <> b").distinct())
+    levels: list[DataFrame] = []
+    for _ in range(max_levels):
         n = level_edges.count()
         if n == 0:
             break
-        labels = both.select(F.col("v").alias("v")).distinct().withColumn("best", F.struct(_head_start("v", level, beta).alias("t"), F.col("v").alias("c")))
-        labels = scratch.save(labels)
+        # the number of the level is a column, so the code of every level is the same and compiled once
+        both = level_edges.union(level_edges.select("b", "a", "level")).toDF("v", "w", "level")
+        # hot vertices have more than a thousandth of the edges: 2,000 at most, and none in a small table
         threshold = max(10_000, n // 1_000)
-        hot = [r.v for r in both.groupBy("v").count().filter(F.col("count") > threshold).select("v").collect()]  # at most 2 n / threshold <= 2,000 ids
-        for _ in range(steps):
-            sent = _along(both, labels, hot)
-            grown = (
-                labels.unionByName(sent.groupBy("v").agg(F.max("best").alias("best")))
-                .groupBy("v").agg(F.max("best").alias("best"))
-            )
-            grown = scratch.save(grown)
-            scratch.drop(labels)
+        hot = [r.v for r in both.groupBy("v").count().filter(F.col("count") > threshold).select("v").collect()] if n > threshold else []
+        labels = both.select("v", "level").distinct().select("v", _head_start("v", "level", beta).alias("t"), F.col("v").alias("c"))
+        for step in range(steps):
+            # written step by step: the plans stay small and alike, so their code is compiled once
+            grown = scratch.save(labels.unionByName(_along(both, labels, hot)).groupBy("v").agg(F.max_by("c", "t").alias("c"), F.max("t").alias("t")))
+            if step:
+                scratch.drop(labels)
             labels = grown
-        assigned = scratch.save(labels.select(F.col("v").alias("id"), F.col("best.c").alias("up")))
-        scratch.drop(labels)
+        assigned = labels.select(F.col("v").alias("id"), F.col("c").alias("up"))
         levels.append(assigned)
         left = level_edges.join(assigned.toDF("a", "x"), "a").join(assigned.toDF("b", "y"), "b").filter("x <> y")
-        contracted = scratch.save(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        if level_edges is not first:
-            scratch.drop(level_edges)
+        contracted = scratch.save(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("level") + 1).alias("level")).distinct())
+        scratch.drop(level_edges)
         level_edges = contracted
     else:
         raise RuntimeError(f"edges are left after {max_levels} levels")
+    if not levels:
+        return level_edges.select(F.col("a").alias("id"), F.col("a").alias("group_id"))
     # compose from the top: a centre that is no vertex of the next level is a root
-    up = None
-    for assigned in reversed(levels):
-        if up is None:
-            up = assigned
-        else:
-            deeper = up.toDF("up", "root")
-            up = scratch.save(assigned.join(deeper, "up", "left").select("id", F.coalesce("root", "up").alias("up")))
-    if up is None:
-        return all_vertices.withColumn("group_id", F.col("id"))
+    up = levels.pop()
+    while levels:
+        up = levels.pop().join(up.toDF("up", "root"), "up", "left").select("id", F.coalesce("root", "up").alias("up"))
     smallest = up.groupBy("up").agg(F.min("id").alias("group_id"))
     return up.join(smallest, "up").select("id", "group_id")
 
 
 def _along(both: DataFrame, labels: DataFrame, hot: list) -> DataFrame:
-    """What every vertex w sends to its neighbours v: its label, one step later. Edges of hot senders are salted."""
-    later = F.struct((F.col("best.t") - 1).alias("t"), F.col("best.c").alias("c")).alias("best")
+    """(v, t, c): what every vertex w sends to its neighbours v, its label one step later. Edges of hot senders are salted."""
+    sender = labels.select(F.col("v").alias("w"), (F.col("t") - 1).alias("t"), "c")
     if not hot:
-        return both.join(labels.toDF("w", "best"), "w").select("v", later)
+        return both.join(sender, "w").select("v", "t", "c")
     is_hot = F.col("w").isin(hot)
     salted = both.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("v"), F.lit(_SALTS))).otherwise(F.lit(0)))
-    copies = labels.toDF("w", "best").withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    return salted.join(copies.withColumn("salt", F.col("salt").cast("bigint")), ["w", "salt"]).select("v", later)
+    copies = sender.withColumn("salt", F.explode(F.when(is_hot, F.expr(f"sequence(0L, {_SALTS - 1}L)")).otherwise(F.expr("array(0L)"))))
+    return salted.join(copies, ["w", "salt"]).select("v", "t", "c")
 
 
 def node_links(nodes: DataFrame, matches: DataFrame, generic: DataFrame) -> DataFrame:
