@@ -15,16 +15,19 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import fold_name, is_absent, squeeze
 from ..scratch import Scratch
 from . import spellings as S
 from .grouping import low_diameter_groups, shared_key_edges
 
-_PARSED = "struct<core:string,kind:string,which:string,cores:array<string>,words:array<string>,initials:string>"
+_PARSED = T.StructType([T.StructField(c, T.ArrayType(T.StringType()) if c in ("cores", "words") else T.StringType()) for c in ("core", "kind", "which", "cores", "words", "initials")])
 #: Own names of at least so many letters may differ in two, and with attested initials in three, edits.
 TWO_EDITS, THREE_EDITS = 6, 10
 
@@ -39,21 +42,23 @@ def _parse(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["core", "kind", "which", "cores", "words", "initials"])
 
 
-@F.pandas_udf("array<string>")
-def _deletes(cores: pd.Series) -> pd.Series:
-    def keys(found: list[str]) -> list[str]:
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _deletes(cores: pd.Series, which: pd.Series) -> pd.Series:
+    """64-bit names of what is left of the own name after up to two deletions, together with what tells its bearer apart."""
+
+    def keys(found: list[str], apart: str) -> np.ndarray:
         out = set()
         for c in found:
             most = 2 if len(c) >= TWO_EDITS else 1 if len(c) >= 4 else 0
             for k in range(most + 1):
                 for gone in combinations(range(len(c)), k):
                     out.add("".join(x for i, x in enumerate(c) if i not in gone))
-        return sorted(out)
+        return np.fromiter((xxhash.xxh64_intdigest(f"{x}\t{apart}") for x in out), dtype=np.uint64, count=len(out)).view(np.int64)
 
-    return cores.map(lambda found: keys(list(found)))
+    return pd.Series([keys(list(c), w) for c, w in zip(cores, which)])
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     def least(xs: list[str], ys: list[str]) -> int:
         best = 4
@@ -81,7 +86,7 @@ def _mentions(extracted: DataFrame, generic: DataFrame) -> DataFrame:
 
 
 def resolve(extracted: DataFrame, generic: DataFrame, max_rounds: int = 20) -> DataFrame:
-    """(name, group_id) for every folded spelling of standard_name; group_id is one spelling of the organisation.
+    """(name, group_id) for every folded spelling of standard_name; group_id is one of the organisation's spellings.
 
     Null and blank standard names and absent values give no row, in original names and aliases they say nothing, as do
     generic names (a generic standard name is a group of its own). Null, empty and repeated aliases, repeated records and
@@ -92,44 +97,47 @@ def resolve(extracted: DataFrame, generic: DataFrame, max_rounds: int = 20) -> D
     mentions = scratch.save(_mentions(extracted, generic))
     all_std = extracted.select(fold_name(F.col("standard_name")).alias("name")).filter("name <> ''").distinct()
     spelled = mentions.filter("not acronym").select(F.col("std").alias("name"), F.col("other")).select(F.explode(F.array("name", "other")).alias("name")).union(mentions.select("std"))
-    forms = scratch.save(spelled.filter("name is not null").distinct().withColumn("p", _parse("name")).select("name", "p.*"))
+    # numbers stand for the spellings from here on; they are written once, so they stay
+    forms = scratch.save(spelled.filter("name is not null").distinct().withColumn("p", _parse("name")).select(F.monotonically_increasing_id().alias("id"), "name", "p.*"))
     # a name without a kind takes the kind of the only one with its core
     only = forms.filter("length(kind) > 1").groupBy("core", "which").agg(F.min("kind").alias("one"), F.max("kind").alias("two")).filter("one = two").select("core", "which", "one")
     fits = (F.col("kind") == "") | ((F.length("kind") == 1) & F.col("one").startswith(F.col("kind")))
     forms = scratch.save(forms.join(only, ["core", "which"], "left").withColumn("kind", F.when(F.col("one").isNotNull() & fits, F.col("one")).otherwise(F.col("kind"))).drop("one"))
-    which = forms.select("name", "which")
+    which = forms.select("name", "id", "which")
     said = (
         mentions.filter("not acronym and other is not null and std <> other").select(F.col("std").alias("a"), F.col("other").alias("b")).distinct()
-        .join(which.toDF("a", "wa"), "a").join(which.toDF("b", "wb"), "b").filter("wa = wb").select("a", "b")
+        .join(which.toDF("a", "ia", "wa"), "a").join(which.toDF("b", "ib", "wb"), "b").filter("wa = wb").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
     )
-    equal = shared_key_edges(forms.filter("core <> ''").select(F.col("name").alias("id"), F.concat_ws("\t", "core", "kind", "which").alias("key")))
+    equal = shared_key_edges(forms.filter("core <> ''").select("id", F.concat_ws("\t", "core", "kind", "which").alias("key")))
     edges = scratch.save(said.unionByName(equal).distinct())
-    attested = scratch.save(mentions.filter("acronym").select(F.col("std").alias("name"), F.upper("other").alias("initials")).distinct())
+    short = mentions.filter("acronym").select(F.col("std").alias("name"), F.upper("other").alias("initials")).distinct()
+    attested = scratch.save(short.join(forms.select("name", "id"), "name").select("id", "initials"))
     pairs = scratch.save(_near(forms))
-    groups = low_diameter_groups(edges).withColumnRenamed("id", "name")
-    groups = scratch.save(forms.select("name", "kind").join(groups, "name", "left").select("name", "kind", F.coalesce("group_id", "name").alias("group_id")))
+    groups = scratch.save(forms.select("id", "kind").join(low_diameter_groups(edges), "id", "left").select("id", "kind", F.coalesce("group_id", "id").alias("group_id")))
     for _ in range(max_rounds):
         merges = scratch.save(_rematch(forms, groups, pairs, attested))
         if merges.isEmpty():
             break
         # profiles are the vertices now; the spellings follow their profile
         merged = low_diameter_groups(merges).toDF("group_id", "into")
-        groups = scratch.save(groups.join(merged, "group_id", "left").select("name", "kind", F.coalesce("into", "group_id").alias("group_id")))
+        groups = scratch.save(groups.join(merged, "group_id", "left").select("id", "kind", F.coalesce("into", "group_id").alias("group_id")))
     else:
         raise RuntimeError(f"profiles still merge after {max_rounds} rounds")
-    return all_std.join(groups.select("name", "group_id"), "name", "left").select("name", F.coalesce("group_id", "name").alias("group_id"))
+    names = forms.select("id", "name")
+    named = groups.join(names, "id").join(names.toDF("group_id", "group_name"), "group_id").select("name", "group_name")
+    return all_std.join(named, "name", "left").select("name", F.coalesce("group_name", "name").alias("group_id"))
 
 
 def _near(forms: DataFrame) -> DataFrame:
     """(a, b, d, size) of spellings of the same number, place and so on whose own names share a deletion and differ in one or two edits."""
     # spellings of one core and kind have merged already: one of them stands for all
-    one = forms.filter("core <> ''").groupBy("core", "kind", "which").agg(F.min("name").alias("name"), F.first("cores").alias("cores"))
-    keys = one.select("name", F.explode(_deletes("cores")).alias("k"), "which").select("name", F.xxhash64("k", "which").alias("k"))
+    one = forms.filter("core <> ''").groupBy("core", "kind", "which").agg(F.min("id").alias("id"), F.first("cores").alias("cores"))
+    keys = one.select("id", F.explode(_deletes("cores", "which")).alias("k"))
     # only keys of more than one spelling pair up; the pairs are those within two edits on either side
-    several = keys.groupBy("k").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x < y").select("k")
-    kept = keys.join(several, "k", "left_semi").select("name", "k")
+    several = keys.groupBy("k").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("k")
+    kept = keys.join(several, "k", "left_semi").select("id", "k")
     candidates = kept.toDF("a", "k").join(kept.toDF("b", "k"), "k").filter("a < b").select("a", "b").distinct()
-    cores = one.select("name", "cores")
+    cores = one.select("id", "cores")
     rows = candidates.join(cores.toDF("a", "ca"), "a").join(cores.toDF("b", "cb"), "b")
     sized = rows.select("a", "b", _distance("ca", "cb").alias("d"), F.least(F.length(F.col("ca")[0]), F.length(F.col("cb")[0])).alias("size"))
     return sized.filter("d <= 2")
@@ -137,20 +145,20 @@ def _near(forms: DataFrame) -> DataFrame:
 
 def _rematch(forms: DataFrame, groups: DataFrame, pairs: DataFrame, attested: DataFrame) -> DataFrame:
     """(a, b) of profiles that match now, with all that their members say."""
-    group_of = groups.select("name", "group_id")
+    group_of = groups.select("id", "group_id")
     full = groups.filter("length(kind) > 1").groupBy("group_id").agg(F.collect_set("kind").alias("kinds"))  # at most as many as there are kinds
-    state = group_of.join(full, "group_id", "left").select("name", "group_id", F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
+    state = group_of.join(full, "group_id", "left").select("id", "group_id", F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
     a, b = (state.toDF(x, f"g{x}", f"k{x}") for x in "ab")
     known = (F.size("ka") > 0) & (F.size("kb") > 0)
     agree = F.arrays_overlap("ka", "kb")
     near = pairs.join(a, "a").join(b, "b").filter(F.col("ga") != F.col("gb"))
     near = near.filter(((F.col("d") <= 1) & (agree | ~known)) | ((F.col("d") == 2) & known & agree & (F.col("size") >= TWO_EDITS))).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     # profiles with the same attested initials and one whole word in common
-    profile = attested.join(group_of, "name").select("group_id", "initials").distinct()
-    words = forms.filter(F.size("words") > 1).select("name", "which", "kind", "cores", F.explode("words").alias("word")).join(group_of, "name").join(profile, "group_id")
-    one = words.groupBy("group_id", "initials", "which", "kind", "word", F.col("cores")[0]).agg(F.min("name").alias("name"), F.first("cores").alias("cores"))
+    profile = attested.join(group_of, "id").select("group_id", "initials").distinct()
+    words = forms.filter(F.size("words") > 1).select("id", "which", "kind", "cores", F.explode("words").alias("word")).join(group_of, "id").join(profile, "group_id")
+    one = words.groupBy("group_id", "initials", "which", "kind", "word", F.col("cores")[0]).agg(F.min("id").alias("id"), F.first("cores").alias("cores"))
     key = ["initials", "which", "kind", "word"]
-    left, right = one.select(*key, F.col("name").alias("a"), F.col("group_id").alias("ga"), F.col("cores").alias("ca")), one.select(*key, F.col("name").alias("b"), F.col("group_id").alias("gb"), F.col("cores").alias("cb"))
+    left, right = one.select(*key, F.col("id").alias("a"), F.col("group_id").alias("ga"), F.col("cores").alias("ca")), one.select(*key, F.col("id").alias("b"), F.col("group_id").alias("gb"), F.col("cores").alias("cb"))
     both = left.join(right, key).filter(F.col("ga") < F.col("gb")).filter((F.length(F.col("ca")[0]) >= THREE_EDITS) & (F.length(F.col("cb")[0]) >= THREE_EDITS)).dropDuplicates(["a", "b"])
     helped = both.filter(_distance("ca", "cb") <= 3).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     return near.unionByName(helped).distinct()

@@ -92,7 +92,7 @@ def _shortens(short: str, word: str) -> bool:
     return not re.search("[aeiou]", short[1:]) and all(c in rest for c in short) and len(short) >= (3 if len(word) > 4 else 2)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def _kind_word(token: str) -> str | None:
     if token in _KIND_WORDS:
         return token
@@ -103,7 +103,7 @@ def _kind_word(token: str) -> str | None:
     return None
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def _kind_short(token: str) -> str | None:
     """The kind word that a token shortens or misspells, an initial, or nothing."""
     if len(token) == 1:
@@ -126,7 +126,6 @@ def _kind_of(words: list[str]) -> str:
     return ""
 
 
-@lru_cache(maxsize=500_000)
 def parse(name: str) -> Parsed:
     """A folded name taken apart."""
     text = plain(name)
@@ -173,8 +172,9 @@ def parse(name: str) -> Parsed:
                 continue
             kinds = [rest[at]]
         del rest[at]
-    if kinds and len(rest) > 1:
-        rest = [t for t in rest if len(t) > 1] or rest
+    if kinds and len(rest) > 1:  # initials and short forms of the kind's other words
+        beside = {w for f in (_kind_of(kinds), *KINDS.get(_kind_of(kinds), ())) for w in f.split()}
+        rest = [t for t in rest if len(t) > 1 and not any(len(t) > 2 and _shortens(t, w) for w in beside)] or rest
     words = [t for t in rest if t not in FILLERS] or [t for t in rest]
     words = [by_sound(t) for t in words]
     kind = _kind_of(kinds)
