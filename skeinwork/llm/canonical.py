@@ -175,5 +175,5 @@ def attach(rows: DataFrame, mapping: DataFrame, id_col: str, value_col: str, ord
     pairs = mapping.select("value", F.col("canonical").alias("canonical_type"))
     if pairs.count() <= _BROADCAST_VALUES:
         return latest.join(F.broadcast(pairs), "value").select(id_col, "canonical_type")
-    copies = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).cast("bigint"))
+    copies = pairs.withColumn("salt", F.explode(F.expr(f"sequence(0L, {_SALTS - 1}L)")))
     return latest.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(_SALTS))).join(copies, ["value", "salt"]).select(id_col, "canonical_type")

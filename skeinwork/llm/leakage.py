@@ -30,7 +30,7 @@ from ..scratch import Scratch
 
 _WORD = re.compile(r"[^\W_]+")
 #: Items are handled in blocks of about so many, which bounds vocabulary, latent matrix and broadcasts.
-ITEM_BLOCK = 20_000
+ITEM_BLOCK = 2_000
 #: Rank of the latent space and columns added to the test matrix.
 RANK, OVERSAMPLE = 40, 8
 #: Words in a passage of the matrix that is decomposed.
@@ -128,8 +128,11 @@ def right_factor(encoded: DataFrame, idf: np.ndarray, size: int, rank: int, over
         for batch in batches:
             _, ids, ends = _flat(batch)
             passage, word = _passages(ids, ends, size)
-            for at in range(0, len(word), 200_000):  # cut passages at block ends count as two; the sums stay those of TF-IDF rows
-                p, w = passage[at : at + 200_000], word[at : at + 200_000]
+            begins = np.flatnonzero(np.diff(passage, prepend=-1))
+            # parts of about 200,000 words, cut between passages, bound the memory
+            cuts = np.unique(np.append(begins[np.minimum(np.searchsorted(begins, np.arange(0, len(word), 200_000)), len(begins) - 1)], len(word))) if len(word) else []
+            for at, end in zip(cuts[:-1], cuts[1:]):
+                p, w = passage[at:end], word[at:end]
                 head = np.flatnonzero(np.diff(p, prepend=-1))
                 y = np.add.reduceat(weighted[w], head, axis=0)  # passages by width
                 row = np.cumsum(np.diff(p, prepend=p[0]) != 0)
