@@ -8,19 +8,27 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ...scratch import Scratch
+from . import local
 from .layers import both_ways, degrees
 
 #: A graph of up to so many edges is sent to every task (16 bytes an edge); larger ones are traversed by joins.
 BROADCAST_EDGES = 5_000_000
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float = 0.85, rounds: int = 20, cut: int = 5) -> DataFrame:
+def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float = 0.85, rounds: int = 20, cut: int = 5, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, pagerank) after a fixed number of rounds; parallel edges count, mass of isolates goes to all.
 
     Ranks join the edges on the sender and are summed before the shuffle. Lineage is cut every few rounds.
     """
+    if local.is_small(edges, local_edges):
+        linked = both_ways(edges).select("v").distinct()
+        alone = vertices.select("v").distinct().join(linked, "v", "left_anti") if vertices is not None else linked.limit(0)
+        total = linked.count() + alone.count()
+        ranks = local.in_one_task(edges, "pagerank", T.DoubleType(), local.pagerank(damping, rounds, total))
+        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, rounds, total, total - linked.count())).alias("pagerank")))
     scratch = Scratch(edges.sparkSession, "pagerank")
     d = degrees(edges).select("v", "degree")
     near = scratch.save(both_ways(edges).join(d, "v").select("v", "w", (F.col("m") / F.col("degree")).alias("part")))
@@ -39,6 +47,14 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float
     return ranks.select("v", F.col("r").alias("pagerank"))
 
 
+def _alone(damping: float, rounds: int, total: int, n_alone: int) -> float:
+    """The rank of a vertex without edges."""
+    r = 1.0 / total if total else 0.0
+    for _ in range(rounds if total else 0):
+        r = (1 - damping) / total + damping * r * n_alone / total
+    return r
+
+
 def _brandes(start: int, first: np.ndarray, to: np.ndarray, weight: np.ndarray, score: np.ndarray) -> None:
     """Adds the dependencies of one source; levels are handled whole. weight: parallel edges."""
     n = len(first) - 1

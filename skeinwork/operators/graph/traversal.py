@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ...scratch import Scratch
+from . import local
 from .layers import both_ways, degrees
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 50, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, component): the smallest vertex reachable from each vertex of an edge.
 
     Alternating stars: the larger neighbours of a vertex, then its smaller ones, are hung on the least of its neighbourhood.
     The number of rounds is logarithmic in practice, whatever the diameter, and minima aggregate before the shuffle.
     """
+    if local.is_small(edges, local_edges):
+        return local.in_one_task(edges.filter("a <> b"), "component", edges.schema["a"].dataType, local.components)
     scratch = Scratch(edges.sparkSession, "components")
     now = scratch.save(edges.select("a", "b").filter("a <> b").distinct())
     vertices = both_ways(edges.select("a", "b", F.lit(1).alias("m"))).select("v").distinct()
@@ -54,14 +58,15 @@ def largest_component(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return edges.join(labels.join(F.broadcast(top), "component", "left_semi").select(F.col("v").alias("a")), "a", "left_semi").select("a", "b", "m")
 
 
-def distances(edges: DataFrame, start: str, max_depth: int = 1000) -> DataFrame:
+def distances(edges: DataFrame, start: str, max_depth: int = 1000, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, distance) of everything reachable from a vertex.
 
     The frontier alone is joined in each round, and what it reaches is compared with the last two levels only: the
     neighbours of a level are in it, in the one before, or new.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "distances")
+    if local.is_small(edges, local_edges):
+        return local.in_one_task(edges, "distance", T.IntegerType(), local.distances(start))
+    scratch = Scratch(edges.sparkSession, "distances")
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
     levels = [scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))]
     for depth in range(1, max_depth + 1):
@@ -85,12 +90,14 @@ def pseudo_diameter(edges: DataFrame, start: str, max_sweeps: int = 10) -> int:
     return max(best, 0)
 
 
-def core_numbers(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def core_numbers(edges: DataFrame, max_rounds: int = 200, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, core) on distinct neighbours: the largest k of a subgraph in which all have k neighbours.
 
     Every vertex takes the h-index of its neighbours' values, from their degrees on, until none changes. Values above its own
     count as its own, so a hub has as many rows as its core is high, not as it has neighbours.
     """
+    if local.is_small(edges, local_edges):
+        return local.in_one_task(edges, "core", T.LongType(), local.cores)
     scratch = Scratch(edges.sparkSession, "cores")
     near = scratch.save(both_ways(edges).select("v", "w"))
     now = scratch.save(degrees(edges).select("v", F.col("neighbours").alias("core")))

@@ -52,7 +52,11 @@ def test_betweenness_by_joins(spark):
     assert by_v(Z._betweenness_by_joins(g, scratch, blocks=2), "betweenness") == pytest.approx(want)
 
 
-def test_components(spark):
+BOTH_WAYS = pytest.mark.parametrize("local_edges", [0, 1000])
+
+
+@BOTH_WAYS
+def test_components(spark, local_edges):
     rng = random.Random(3)
     pairs = [(f"{a:02}", f"{rng.randrange(60):02}") for a in range(60) for _ in range(1) if rng.random() < 0.7]
     pairs = [p for p in pairs if p[0] != p[1]] + [("70", "71")]
@@ -65,9 +69,9 @@ def test_components(spark):
 
     for a, b in pairs:
         up[max(find(a), find(b))] = min(find(a), find(b))
-    got = by_v(T.components(graph(spark, *pairs)), "component")
+    got = by_v(T.components(graph(spark, *pairs), local_edges=local_edges), "component")
     assert got == {v: find(v) for v in up}
-    assert T.components(graph(spark, "ab").limit(0)).count() == 0
+    assert T.components(graph(spark, "ab").limit(0), local_edges=local_edges).count() == 0
 
 
 def test_sizes(spark):
@@ -77,17 +81,19 @@ def test_sizes(spark):
     assert T.largest_component(g, labels).count() == 3
 
 
-def test_cores(spark):
+@BOTH_WAYS
+def test_cores(spark, local_edges):
     g = graph(spark, *TRIANGLE, "cd", "de", "xy")
-    assert by_v(T.core_numbers(g), "core") == {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "x": 1, "y": 1}
+    assert by_v(T.core_numbers(g, local_edges=local_edges), "core") == {"a": 2, "b": 2, "c": 2, "d": 1, "e": 1, "x": 1, "y": 1}
     k5 = graph(spark, *("".join(p) for p in itertools.combinations("abcde", 2)), "ef")
-    assert by_v(T.core_numbers(k5), "core") == {**dict.fromkeys("abcde", 4), "f": 1}
+    assert by_v(T.core_numbers(k5, local_edges=local_edges), "core") == {**dict.fromkeys("abcde", 4), "f": 1}
 
 
-def test_distances(spark):
+@BOTH_WAYS
+def test_distances(spark, local_edges):
     g = graph(spark, *PATH, "xy")
-    assert by_v(T.distances(g, "a"), "distance") == {"a": 0, "b": 1, "c": 2, "d": 3}
-    assert T.distances(g, "none").count() == 0
+    assert by_v(T.distances(g, "a", local_edges=local_edges), "distance") == {"a": 0, "b": 1, "c": 2, "d": 3}
+    assert T.distances(g, "none", local_edges=local_edges).count() == 0
     assert T.pseudo_diameter(g, "b") == 3
 
 
@@ -108,11 +114,12 @@ def test_mixing(spark):
     assert K.type_assortativity(graph(spark, "ac", "bd"), half).first()[0] == -1.0
 
 
-def test_pagerank(spark):
-    r = by_v(Z.pagerank(graph(spark, *STAR), rounds=60), "pagerank")
+@BOTH_WAYS
+def test_pagerank(spark, local_edges):
+    r = by_v(Z.pagerank(graph(spark, *STAR), rounds=60, local_edges=local_edges), "pagerank")
     assert sum(r.values()) == pytest.approx(1) and r["x"] == pytest.approx(0.4757, abs=1e-3)
     alone = spark.createDataFrame([(v,) for v in "abcdxz"], "v string")
-    r = by_v(Z.pagerank(graph(spark, *STAR), alone, rounds=60), "pagerank")
+    r = by_v(Z.pagerank(graph(spark, *STAR), alone, rounds=60, local_edges=local_edges), "pagerank")
     assert sum(r.values()) == pytest.approx(1) and r["z"] < min(r[v] for v in "abcd")
 
 
