@@ -55,12 +55,13 @@ WITH e AS (
     {_strip('time_period')} AS tp,
     list_max(list_concat(
       list_transform(regexp_extract_all(regexp_replace(time_period, '[0-9]{{5,}}', ' ', 'g'), '((1[0-9]{{3}}|20[0-9]{{2}})s?)', 1), lambda y: CASE WHEN y LIKE '%0s' THEN CAST(left(y, 4) AS INT) + 9 ELSE CAST(left(y, 4) AS INT) END),
-      []::INT[])) AS stated
+      list_transform(regexp_extract_all(time_period, '((?:1[0-9]|20)[0-9]{{2}}\\s*[-–—]\\s*(?:1[3-9]|[2-9][0-9]))(?:$|[^0-9-])', 1), lambda m: CAST(left(m, 2) || right(m, 2) AS INT)))) AS stated
   FROM global_network_edges
 ), p AS (
   SELECT *, least(s, t) AS name_a, greatest(s, t) AS name_b,
-    CASE WHEN stated IS NOT NULL AND regexp_matches(tp, '(?i)\\b(since|present|ongoing|onwards?|now|today|currently?|active|still|date)\\b|[0-9]s?\\s*[-–—]\\s*\\??$')
-      AND NOT regexp_matches(tp, '(?i)\\b(inactive|defunct|dissolved|disbanded|ended|ceased|extinct|former|formerly|until|till|through)\\b') THEN 9999 ELSE stated END AS y,
+    CASE WHEN stated IS NOT NULL AND regexp_matches(tp, '(?i)\\b(since|present|ongoing|onwards?|now|today|currently?|active|still|date)\\b|[0-9]s?\\s*[-–—]\\s*\\??$|\\bfrom\\s+\\S*[0-9]{{4}}s?$')
+      AND NOT regexp_matches(tp, '(?i)\\b(inactive|defunct|dissolved|disbanded|ended|ceased|extinct|former|formerly)\\b')
+      AND NOT (regexp_matches(tp, '(?i)\\b(until|till|through)\\b') AND NOT regexp_matches(tp, '(?i)\\b(until|till|through)\\W+(the\\W+)?(present|now|today|current)')) THEN 9999 ELSE stated END AS y,
     CASE lower(trim(evidence)) WHEN 'own_source' THEN 3 WHEN 'mentioned_in' THEN 2 WHEN 'name_only' THEN 1 ELSE 0 END AS st
   FROM e WHERE s <> '' AND t <> '' AND s <> t
 ), r AS (

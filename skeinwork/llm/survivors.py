@@ -20,7 +20,9 @@ RELATIONSHIPS = ("alliance", "rivalry", "other")
 
 _YEAR = r"(?<![0-9])(?:1[0-9]{3}|20[0-9]{2})(?![0-9])"
 _DECADE = r"(?<![0-9])(?:1[0-9]{2}|20[0-9])0['’]?s"
-_ENDED = r"(?i)(?U)\b(?:inactive|defunct|dissolved|disbanded|ended|ceased|extinct|former|formerly|until|till|through)\b"
+#: 1985-95; what could be a month is none.
+_SHORT_RANGE = r"(?<![0-9])(?:1[0-9]|20)[0-9]{2}\s*[-–—]\s*(?:1[3-9]|[2-9][0-9])(?![0-9]|-[0-9])"
+_ENDED = r"(?i)(?U)\b(?:inactive|defunct|dissolved|disbanded|ended|ceased|extinct|former|formerly)\b|\b(?:until|till|through)\b(?!\W+(?:the\W+)?(?:present|now|today|current))"
 _RUNNING = r"(?i)(?U)\b(?:since|present|ongoing|onwards?|now|today|currently?|active|still|date)\b|[0-9]s?\s*[-–—]\s*\??$|\bfrom\s+\S*[0-9]{4}s?$"
 
 
@@ -35,10 +37,11 @@ class Field:
 
 
 def end_year(period: Column) -> Column:
-    """The last year a text states; a decade ends in its last year; 9999 if open-ended; null without year or decade."""
+    """The last year a text states, short ranges such as 1985-95 written out; a decade ends in its last year; 9999 if open-ended; null without year or decade."""
     years = F.transform(F.regexp_extract_all(period, F.lit(_YEAR), F.lit(0)), lambda y: y.cast("int"))
     decades = F.transform(F.regexp_extract_all(period, F.lit(_DECADE), F.lit(0)), lambda d: F.substring(d, 1, 4).cast("int") + 9)
-    last = F.array_max(F.concat(years, decades))
+    spans = F.transform(F.regexp_extract_all(period, F.lit(_SHORT_RANGE), F.lit(0)), lambda m: F.concat(F.substring(m, 1, 2), F.right(m, F.lit(2))).cast("int"))
+    last = F.array_max(F.concat(years, decades, spans))
     trimmed = strip_space(period)
     return F.when(last.isNotNull() & trimmed.rlike(_RUNNING) & ~trimmed.rlike(_ENDED), F.lit(9999)).otherwise(last)
 

@@ -18,7 +18,7 @@ def edge(i, s, t, rel=None, ctx=None, tp=None, ev=None, day=0):
     [
         ("1990-1995", 1995), ("1990s", 1999), ("early 1990s-mid-2000s", 2009), ("1990s-1991", 1999), ("since 1990", 9999), ("1990-present", 9999), ("1911 to the present day", 9999), ("inactive since 1934", 1934),
         ("defunct since 2001", 2001), ("1926; dissolved 1953", 1953), ("until 1923", 1923), ("1890-06-17 to 1910-07-25", 1910), ("1995-?", 9999), ("1990–", 9999), ("several decades ago", None), ("present", None),
-        ("unknown", None), (None, None), ("", None), ("2003, 2004 and 2020", 2020), ("c. 1940", 1940), ("12345", None), ("still active in 1980", 9999),
+        ("unknown", None), (None, None), ("", None), ("2003, 2004 and 2020", 2020), ("c. 1940", 1940), ("12345", None), ("still active in 1980", 9999), ("1990 until now", 9999), ("active until 1990", 1990), ("from 1990 through the present", 9999), ("1985–95", 1995), ("2003-10", 2003), ("1990-06-17", 1990), ("from 1970s", 9999),
     ],
 )
 def test_end_year(spark, text, year):
