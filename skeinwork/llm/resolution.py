@@ -103,10 +103,12 @@ def resolve(extracted: DataFrame, generic: DataFrame, max_rounds: int = 20) -> D
     only = forms.filter("length(kind) > 1").groupBy("core", "which").agg(F.min("kind").alias("one"), F.max("kind").alias("two")).filter("one = two").select("core", "which", "one")
     fits = (F.col("kind") == "") | ((F.length("kind") == 1) & F.col("one").startswith(F.col("kind")))
     forms = scratch.save(forms.join(only, ["core", "which"], "left").withColumn("kind", F.when(F.col("one").isNotNull() & fits, F.col("one")).otherwise(F.col("kind"))).drop("one"))
-    which = forms.select("name", "id", "which")
+    which = forms.select("name", "id", "which", "initials")
+    # initials in small letters, and single words too short to tell one organisation from another, link nothing
+    too_short = F.col("b").rlike(r"^[\p{L}\p{Nd}]{1,5}$") | (F.upper("b") == F.col("na"))
     said = (
         mentions.filter("not acronym and other is not null and std <> other").select(F.col("std").alias("a"), F.col("other").alias("b")).distinct()
-        .join(which.toDF("a", "ia", "wa"), "a").join(which.toDF("b", "ib", "wb"), "b").filter("wa = wb").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+        .join(which.toDF("a", "ia", "wa", "na"), "a").join(which.drop("initials").toDF("b", "ib", "wb"), "b").filter((F.col("wa") == F.col("wb")) & ~too_short).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
     )
     equal = shared_key_edges(forms.filter("core <> ''").select("id", F.concat_ws("\t", "core", "kind", "which").alias("key")))
     edges = scratch.save(said.unionByName(equal).distinct())

@@ -147,9 +147,8 @@ def parse(name: str) -> Parsed:
     # words still missing from a kind of several words whose other words are there
     missing = {w for f in _BY_FORM if " " in f and exact & set(f.split()) for w in f.split()} - exact
     for t in tokens:
-        other = next((o for o in OTHERS if t == o or len(o) >= 6 and distance(t, o, 1) <= 1), None)
-        if other:
-            which.append(other)
+        if t in OTHERS:
+            which.append(t)
         elif t in exact:
             kinds += (_SHORT.get(t) or t).split()
         elif near := [w for w in missing if distance(t, w, 1) <= 1 or _shortens(t, w)]:

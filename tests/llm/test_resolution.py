@@ -62,6 +62,11 @@ def test_rematch_with_initials(spark):
     assert len(groups(spark, [(r[0],) for r in far])[0]) == 2
 
 
+def test_small_initials_link_nothing(spark):
+    rows = [("Tarokevi Mosu Syndicate", "tms", ["dsc"]), ("Tolabri Mika Society", "tms", ["dsc"])]
+    assert len(groups(spark, rows)[0]) == 2
+
+
 def test_empty(spark):
     got, df = groups(spark, [])
     assert got == [] and linked_pairs(df).count() == 0
