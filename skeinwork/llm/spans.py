@@ -22,28 +22,48 @@ from . import recompression as R
 
 #: Texts are handled together up to so many characters, to bound the arrays of a task.
 _CHUNK = 500_000
+#: A longer text is handled in parts of this size, which see as much around them as their sampling points depend on.
+_PART = 2_000_000
 #: Broadcast id sets up to so many ids (8 bytes each); larger ones join by shuffle.
 _BROADCAST_IDS = 1_000_000
 #: Windows with more occurrences than this are named again instead of paired.
 _HOT = 64
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[str]]]:
+def _chunks(batch: pa.RecordBatch, chunk: int, part: int) -> Iterator[tuple[np.ndarray, list[str]]]:
     ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
     at = size = 0
     for i, t in enumerate(texts):
+        if len(t) > part and i > at:  # a long text is alone
+            yield ids[at:i], texts[at:i]
+            at, size = i, 0
         size += len(t)
-        if size >= _CHUNK or i == len(texts) - 1:
+        if size >= chunk or len(t) > part or i == len(texts) - 1:
             yield ids[at : i + 1], texts[at : i + 1]
             at, size = i + 1, 0
 
 
-def window_names(docs: DataFrame, size: int) -> DataFrame:
+def _parts(length: int, size: int, part: int) -> Iterator[tuple[int, int, int, int]]:
+    """(from, to, seen from, seen to) of the parts of a long text; windows of `size` characters start inside a part."""
+    around = R.lost_at_an_end() + R.WINDOW + R.CAP
+    for at in range(0, length, part):
+        end = min(at + part, length)
+        yield at, end, max(0, at - around), min(length, end + around + size)
+
+
+def window_names(docs: DataFrame, size: int, chunk: int = _CHUNK, part: int = _PART) -> DataFrame:
     """(h, doc_id, pos): the name of the window of `size` characters from each sampling point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in _chunks(batch):
+            for ids, texts in _chunks(batch, chunk, part):
+                if len(texts) == 1 and len(texts[0]) > part:
+                    for at, end, left, right in _parts(len(texts[0]), size, part):
+                        codes = R.code_points(texts[0][left:right])
+                        points = R.sampling_points(codes, np.array([0]))
+                        points = points[(points + left >= at) & (points + left < end) & (points + size <= len(codes))]
+                        yield pa.RecordBatch.from_arrays([pa.array(R.WindowHash(codes)(points, size)), pa.array(np.full(len(points), ids[0], dtype=np.int64)), pa.array((points + left).astype(np.int32))], names=["h", "doc_id", "pos"])
+                    continue
                 codes = R.code_points("".join(texts))
                 ends = np.cumsum([len(t) for t in texts])
                 starts = np.concatenate(([0], ends[:-1]))
