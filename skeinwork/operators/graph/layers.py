@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ...scratch import Scratch
+
 
 def layer(edges: DataFrame, relationship: str | None = None, source: str = "source", target: str = "target", key: Column | None = None) -> DataFrame:
     """(a, b, m) of one relationship, or of all: self-loops skipped, direction forgotten, parallel edges counted."""
@@ -58,16 +60,20 @@ def both_layers(positive: DataFrame, negative: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, metrics: dict[str, str], name: str = "v") -> DataFrame:
-    """Ordinal ranks by descending metrics, ties by name: metrics maps metric column to rank column.
+    """Ordinal ranks by descending metrics, ties by name, nulls last: metrics maps metric column to rank column.
 
-    A row number over all rows is one sorted partition in a plain window. Here rows are counted per distinct value
-    first, and only ties are numbered inside their value; the running count is over the distinct values.
+    A row number over all rows would be one sorted partition. Rows are parted by ranges of (metric, name) instead, so that
+    even a value that most rows share is split, written with the number of their range, and numbered inside it; the sizes
+    of the ranges before are added.
     """
+    scratch = Scratch(df.sparkSession, "positions")
     for metric, rank in metrics.items():
-        steps = df.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"))
-        above = steps.select(F.col(metric).alias("_m"), (F.sum("_n").over(Window.orderBy(F.desc(metric)).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_above"))
-        within = F.row_number().over(Window.partitionBy(metric).orderBy(name))
-        df = df.withColumn("_w", within).join(above, F.col(metric).eqNullSafe(F.col("_m"))).withColumn(rank, (F.col("_above") + F.col("_w")).cast("bigint")).drop("_w", "_m", "_above")
+        order = (F.desc(metric), F.asc(name))
+        ranged = scratch.save(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+        sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # as many rows as partitions
+        base = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_base"))
+        inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+        df = ranged.withColumn("_w", inside).join(F.broadcast(base), "_part").withColumn(rank, (F.col("_base") + F.col("_w")).cast("bigint")).drop("_part", "_w", "_base")
     return df
 
 

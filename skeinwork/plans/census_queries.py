@@ -53,7 +53,7 @@ def top_mentions(spark: SparkSession, d: str) -> DataFrame:
     return C.top(n, 10, F.desc("n"), F.asc("node_id"))
 
 
-@_r.query("SELECT count(*) AS n, count(*) FILTER (k > 0) AS n_with, round(avg(CAST(k > 0 AS INTEGER)), 6) AS coverage, min(k) AS min_size, max(k) AS max_size, round(avg(k), 6) AS mean_size FROM (SELECT len(coalesce(wikipedia_urls, [])) AS k FROM global_network_nodes)")
+@_r.query("SELECT count(*) AS n, count(*) FILTER (k > 0) AS n_with, round(avg(CAST(k > 0 AS INTEGER)), 6) AS coverage, CAST(min(k) AS INTEGER) AS min_size, CAST(max(k) AS INTEGER) AS max_size, round(avg(k), 6) AS mean_size FROM (SELECT len(coalesce(wikipedia_urls, [])) AS k FROM global_network_nodes)")
 def coverage_stats(spark: SparkSession, d: str) -> DataFrame:
     return C.array_sizes(table(spark, d, "global_network_nodes"), "wikipedia_urls")
 
@@ -70,7 +70,7 @@ def exploded_counts(spark: SparkSession, d: str) -> DataFrame:
     return C.exploded_counts(table(spark, d, "global_network_nodes"), "source_articles")
 
 
-@_r.query("SELECT type, rank, node_id, n FROM (SELECT type, node_id, len(coalesce(source_articles, [])) AS n, row_number() OVER (PARTITION BY type ORDER BY len(coalesce(source_articles, [])) DESC, node_id) AS rank FROM global_network_nodes) WHERE rank <= 5")
+@_r.query("SELECT type, CAST(rank AS INTEGER) AS rank, node_id, n FROM (SELECT type, node_id, len(coalesce(source_articles, [])) AS n, row_number() OVER (PARTITION BY type ORDER BY len(coalesce(source_articles, [])) DESC, node_id) AS rank FROM global_network_nodes) WHERE rank <= 5")
 def top_per_type(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "global_network_nodes").select("type", "node_id", F.size(strings(F.col("source_articles"))).cast("bigint").alias("n"))
     return C.top_per_group(n, "type", 5, F.desc("n"), F.asc("node_id"))
@@ -116,15 +116,14 @@ def ego_network(spark: SparkSession, d: str) -> DataFrame:
     return L.ego(edges, top["v"] if top else "")
 
 
-@_r.query(f"""WITH {EDGES}, {TYPES}, o AS (SELECT s AS v, edge_id, rel FROM e UNION ALL SELECT t, edge_id, rel FROM e)
-SELECT v AS name, type, count(edge_id) AS n_edges, coalesce(string_agg(edge_id || ':' || rel, '|' ORDER BY edge_id), '') AS evidence FROM ty LEFT JOIN o USING (v) GROUP BY 1, 2""")
+@_r.query(f"""WITH {EDGES}, {TYPES}, o AS (SELECT s AS v, t AS w, edge_id, rel FROM e UNION ALL SELECT t, s, edge_id, rel FROM e)
+SELECT v AS name, type, edge_id, w AS other, rel AS relationship FROM ty LEFT JOIN o USING (v)""")
 def entity_details(spark: SparkSession, d: str) -> DataFrame:
-    """The panel of every organisation: its record, and its edges in order."""
+    """The panel of every organisation: its record with each of its edges, a row an edge, so hubs are no single row."""
     e = signed(spark, d).filter("source <> '' and target <> '' and source <> target")
-    ends = e.select(F.explode(F.array("source", "target")).alias("v"), "edge_id", "relationship")
-    listed = ends.groupBy("v").agg(F.count(F.lit(1)).alias("n_edges"), F.array_sort(F.collect_list(F.struct("edge_id", "relationship"))).alias("x"))
-    text = F.array_join(F.transform("x", lambda s: F.concat(s["edge_id"].cast("string"), F.lit(":"), s["relationship"])), "|")
-    return vertex_types(spark, d).join(listed, "v", "left").select(F.col("v").alias("name"), "type", F.coalesce("n_edges", F.lit(0)).alias("n_edges"), F.coalesce(text, F.lit("")).alias("evidence"))
+    ends = F.explode(F.array(F.struct(F.col("source").alias("v"), F.col("target").alias("other")), F.struct(F.col("target").alias("v"), F.col("source").alias("other"))))
+    rows = e.select(ends.alias("x"), "edge_id", "relationship").select("x.v", "x.other", "edge_id", "relationship")
+    return vertex_types(spark, d).join(rows, "v", "left").select(F.col("v").alias("name"), "type", "edge_id", "other", "relationship")
 
 
 QUERIES, SQL = _r.queries, _r.sql

@@ -130,6 +130,9 @@ def test_signed_and_ranks(spark):
     assert [tuple(r) for r in L.contradictory(p, n).collect()] == [("a", "b")]
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 1.0), ("d", None)], "v string, x double")
     assert by_v(L.positions(df, {"x": "rank"}), "rank") == {"b": 1, "a": 2, "c": 3, "d": 4}
+    many = [(f"{i:04}", float(i * 7919 % 11)) for i in range(2000)]
+    got = by_v(L.positions(spark.createDataFrame(many, "v string, x double").repartition(7), {"x": "r"}), "r")
+    assert got == {v: i + 1 for i, (v, _) in enumerate(sorted(many, key=lambda r: (-r[1], r[0])))}
     assert L.ego(graph(spark, *TRIANGLE, "cd", "de"), "a").count() == 3
 
 

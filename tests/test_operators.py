@@ -206,3 +206,41 @@ def test_stream_takes_new_files_only(spark, tmp_path):
             spark.range(10, 12).write.mode("append").parquet(src)
         ingest.ingest(ingest.new_records(spark, src, schema), out, cp).awaitTermination()
         assert spark.read.schema(schema).parquet(out).count() == expected
+
+
+def test_late_and_repeated_deliveries(spark, tmp_path):
+    import datetime as dt
+
+    t = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    rows = [(1, "a", t(0)), (1, "a", t(3)), (2, "a", t(1)), (3, "b", t(9))]
+    df = spark.createDataFrame(rows, "id int, standard_name string, at timestamp").coalesce(1)
+    df.write.parquet(str(tmp_path / "s"))
+    stream = ingest.new_records(spark, str(tmp_path / "s"), df.schema)
+    out = str(tmp_path / "once")
+    ingest.ingest(ingest.deliveries(stream, "id", "at"), out, str(tmp_path / "c1")).awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    counts = ingest.mention_counts(stream, "at", "7 days", "1 day")
+    q = counts.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.standard_name, r.n) for r in spark.sql("select * from counts").collect())
+    assert got == [("a", 1), ("a", 2), ("b", 1)] or got == [("a", 3), ("b", 1)]
+
+
+def test_countries_and_prompts(spark):
+    from skeinwork.functions.records import country_prompt
+
+    df = spark.createDataFrame([("N", "own_source", '```json\n{"country": "Peru", "countries_active": ["Chile"], "confidence": "High"}\n```'), ("M", "name_only", None)], "name string, method string, answer string")
+    got = {r.name: (r.country, r.countries_active, r.country_confidence, r.country_method) for r in M.countries(df).collect()}
+    assert got == {"N": ("Peru", ["Peru", "Chile"], "high", "own_source"), "M": ("Unknown", [], "low", "name_only")}
+    p = df.select(country_prompt(F.col("name"), F.lit(None).cast("string"), F.col("method"), F.lit("text"))).first()[0]
+    assert p.startswith("ORGANIZATION: N\nTYPE: unknown\n") and p.endswith("--- TEXT ---\ntext\n--- END ---")
+
+
+def test_final_tables(spark):
+    nodes = spark.createDataFrame([(1, "A", "gang", "ctx", "", ["https://x/wiki/A"], None), (2, "Irish Mafia", "mafia", "", "1990", None, None), (3, "B", "other", "c", None, [], None), (4, "C", "clan", None, None, None, ["A"])], "node_id int, standard_name string, type string, context string, time_period string, wikipedia_urls array<string>, aliases array<string>")
+    ents = E.final_entities(nodes, prefixes=("irish",))
+    got = {r.name: (r.type, r.descriptions, r.time_period, r.own_source and r.own_source.title) for r in ents.collect()}
+    assert got == {"A": ("gang", ["ctx"], None, "A"), "C": ("clan", [], None, None)}
+    e = edges(spark, [(1, "A", "C", "alliance", None, "t", None, ["https://x/?title=A_b", "https://x/"]), (2, "A", "B", "alliance"), (3, "A", "C", "other"), (4, "a", "C", "rivalry")])
+    rel = R.final_relations(e, ents).collect()
+    assert [(r.source, r.target, r.type, r.descriptions, [s.title for s in r.sources]) for r in rel] == [("A", "C", "allied_with", ["t"], ["A b", "Wikipedia"])]
