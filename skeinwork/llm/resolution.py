@@ -135,10 +135,8 @@ def _near(forms: DataFrame) -> DataFrame:
     # spellings of one core and kind have merged already: one of them stands for all
     one = forms.filter("core <> ''").groupBy("core", "kind", "which").agg(F.min("id").alias("id"), F.first("cores").alias("cores"))
     keys = one.select("id", F.explode(_deletes("cores", "which")).alias("k"))
-    # only keys of more than one spelling pair up; the pairs are those within two edits on either side
-    several = keys.groupBy("k").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("k")
-    kept = keys.join(several, "k", "left_semi").select("id", "k")
-    candidates = kept.toDF("a", "k").join(kept.toDF("b", "k"), "k").filter("a < b").select("a", "b").distinct()
+    # both sides are one exchange; the pairs are those within two edits on either side
+    candidates = keys.toDF("a", "k").join(keys.toDF("b", "k"), "k").filter("a < b").select("a", "b").distinct()
     cores = one.select("id", "cores")
     rows = candidates.join(cores.toDF("a", "ca"), "a").join(cores.toDF("b", "cb"), "b")
     sized = rows.select("a", "b", _distance("ca", "cb").alias("d"), F.least(F.length(F.col("ca")[0]), F.length(F.col("cb")[0])).alias("size"))
