@@ -35,6 +35,8 @@ ITEM_BLOCK = 2_000
 RANK, OVERSAMPLE = 40, 8
 #: Words in a passage of the matrix that is decomposed.
 MATRIX_PASSAGE = 32
+#: Words whose passages are compared at a time.
+_PART = 16_384
 
 
 def words(text: str | None) -> list[str]:
@@ -226,18 +228,30 @@ def _exact_search(items: Items, space: np.ndarray, run_words: int, stride: int):
     return run
 
 
-def _subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence."""
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    for x in a:
-        new = row.copy()
-        new[1:] = np.maximum(row[1:], row[:-1] + (b == x))
-        row = np.maximum.accumulate(new)
-    return int(row[-1])
+def _subsequence(places: dict[int, int], length: int, passage: list[int]) -> int:
+    """Length of the longest common subsequence of an item and a passage, the places of the item's words given as bits."""
+    full = (1 << length) - 1
+    row = full
+    for word in passage:
+        if at := places.get(word):
+            up = row & at
+            row = ((row + up) | (row - up)) & full
+    return length - row.bit_count()
+
+
+def _places(item: np.ndarray) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for k, w in enumerate(item.tolist()):
+        out[w] = out.get(w, 0) | 1 << k
+    return out
 
 
 def _paraphrase_search(items: Items, space: np.ndarray, idf: np.ndarray, cosine: float, common: float, answers: float):
-    """(doc_id, item_id, cosine, lcs_share, answer_share) of passages close to a whole item in the latent space."""
+    """(doc_id, item_id, cosine, lcs_share, answer_share) of passages close to a whole item in the latent space.
+
+    A passage starts at every word. Those with fewer words of items than the least common subsequence, or fewer telling words
+    than the fewest answers, can't reach the bounds and are passed over before the product.
+    """
     lengths = np.array([len(w) for w in items.words])
     size = max(8, int(np.median(lengths))) if len(lengths) else 8
     queries = _unit(np.stack([space[w].sum(axis=0) for w in items.words])).T if len(lengths) else None
@@ -246,33 +260,43 @@ def _paraphrase_search(items: Items, space: np.ndarray, idf: np.ndarray, cosine:
         own = np.unique(w)
         telling[own[idf[own] >= np.median(idf[own])], k] = True
     n_telling = np.maximum(telling.sum(axis=0), 1)
+    tells = telling.any(axis=1)
     padded = np.concatenate((space, np.zeros((1, space.shape[1]), dtype=space.dtype)))
+    places = [_places(w) for w in items.words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, ids, ends = _flat(batch)
-            starts = np.concatenate(([0], ends[:-1]))
-            out: list[tuple] = []
-            if queries is not None and len(ids):
-                sums = np.concatenate((np.zeros((1, padded.shape[1])), np.cumsum(padded[ids], axis=0, dtype=np.float64)))
-                n = np.maximum(1, -(-(ends - starts - size) // (size // 2)) + 1) * (ends > starts)
-                d = np.repeat(np.arange(len(doc)), n)
-                p = starts[d] + (np.arange(len(d)) - np.repeat(np.cumsum(n) - n, n)) * (size // 2)
-                e = np.minimum(p + size, ends[d])
-                for k in range(0, len(p), 4096):
-                    pk, ek = p[k : k + 4096], e[k : k + 4096]
-                    close = _unit(sums[ek] - sums[pk]).astype(np.float32) @ queries
-                    a, q = np.nonzero(close >= cosine)
-                    at = pk[a][:, None] + np.arange(size)
-                    inside = np.where(at < ek[a][:, None], ids[np.minimum(at, len(ids) - 1)], -1)
-                    inside = np.sort(inside, axis=1)
-                    fresh = np.concatenate((np.ones((len(a), 1), dtype=bool), inside[:, 1:] != inside[:, :-1]), axis=1)
-                    share = (telling[inside, q[:, None]] & fresh).sum(axis=1) / n_telling[q]
-                    for j in np.flatnonzero(share >= answers):
-                        lcs = _subsequence(items.words[q[j]], ids[pk[a[j]] : ek[a[j]]]) / lengths[q[j]]
-                        if lcs >= common:
-                            out.append((doc[d[k + a[j]]], items.ids[q[j]], round(float(close[a[j], q[j]]), 4), round(lcs, 4), round(float(share[j]), 4)))
-            cols = list(zip(*out)) or [[]] * 5
+            owner = np.repeat(np.arange(len(doc)), np.diff(ends, prepend=0))
+            best: dict[tuple[int, int], tuple[float, float, float]] = {}
+            # parts of the words in a row bound the memory, however long a text is
+            for at in range(0, len(ids) if queries is not None else 0, _PART):
+                d = owner[at : at + _PART]
+                near = ids[at : at + _PART + size]
+                sums = np.concatenate((np.zeros((1, padded.shape[1])), np.cumsum(padded[near], axis=0, dtype=np.float64)))
+                known, told = (np.concatenate(([0], np.cumsum(x))) for x in (near >= 0, tells[near]))
+                p = np.arange(len(d))
+                e = np.minimum(p + size, ends[d] - at)
+                able = np.flatnonzero((known[e] - known[p] >= common * lengths.min() - 1e-9) & (told[e] - told[p] >= answers * n_telling.min() - 1e-9))
+                for k in range(0, len(able), 4096):
+                    pk, ek = p[able[k : k + 4096]], e[able[k : k + 4096]]
+                    close = _unit((sums[ek] - sums[pk]).astype(np.float32)) @ queries
+                    hits = np.stack(np.nonzero(close >= cosine))
+                    for h in range(0, hits.shape[1], 8192):
+                        a, q = hits[:, h : h + 8192]
+                        words_at = pk[a][:, None] + np.arange(size)
+                        inside = np.where(words_at < ek[a][:, None], near[np.minimum(words_at, len(near) - 1)], -1)
+                        inside = np.sort(inside, axis=1)
+                        fresh = np.concatenate((np.ones((len(a), 1), dtype=bool), inside[:, 1:] != inside[:, :-1]), axis=1)
+                        share = (telling[inside, q[:, None]] & fresh).sum(axis=1) / n_telling[q]
+                        for j in np.flatnonzero(share >= answers):
+                            i, x = q[j], pk[a[j]]
+                            lcs = _subsequence(places[i], int(lengths[i]), near[x : ek[a[j]]].tolist()) / lengths[i]
+                            if lcs >= common:
+                                pair = int(doc[d[x]]), int(items.ids[i])
+                                row = round(float(lcs), 4), round(float(close[a[j], i]), 4), round(float(share[j]), 4)
+                                best[pair] = max(row, best.get(pair, row))
+            cols = list(zip(*((*pair, c, lcs, share) for pair, (lcs, c, share) in best.items()))) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
 
@@ -310,7 +334,7 @@ def exact_leaks(docs: DataFrame, items: DataFrame, run_words: int = 12, stride:
 def paraphrases(docs: DataFrame, items: DataFrame, cosine: float = 0.8, common: float = 0.5, answers: float = 0.5, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, cosine, lcs_share, answer_share): documents with a passage that tells what an item does.
 
-    Passages have as many words as the median item and overlap by half; each must reach all three bounds. The best passage of a
+    Passages have as many words as the median item and start at every word; each must reach all three bounds. The best passage of a
     document and item is kept. Nulls, empty texts, repeated rows and empty tables as in exact_leaks.
     """
     kind = "doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_share double"

@@ -72,3 +72,11 @@ def test_paraphrases(spark):
     rows = {(r.doc_id, r.item_id): r for r in got.collect()}
     assert (100, 1) in rows and rows[(100, 1)].answer_share >= 0.5
     assert all(d == 100 for d, i in rows if i == 1)
+
+
+def test_paraphrases_at_every_start(spark):
+    item = " ".join(f"w{i}" for i in range(45))
+    docs = [(at, " ".join([f"f{at}x{k}" for k in range(at)] + item.split() + [f"g{at}x{k}" for k in range(60)])) for at in range(60, 90)]
+    lone = [(1000 + k, "other text") for k in range(20)]
+    got = paraphrases(spark.createDataFrame(docs + lone, "doc_id bigint, text string"), spark.createDataFrame([(1, item)], ITEM))
+    assert {(r.doc_id, r.cosine, r.lcs_share) for r in got.collect()} == {(d, 1.0, 1.0) for d, _ in docs}
