@@ -16,6 +16,7 @@ the item's telling words (its answers: names and numbers, the rarer half) they h
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ ITEM_BLOCK = 2_000
 RANK, OVERSAMPLE = 40, 8
 #: Words in a passage of the matrix that is decomposed.
 MATRIX_PASSAGE = 32
+#: Sizes of passages for paraphrases in an octave.
+SIZE_STEPS = 4
 #: Words whose passages are compared at a time.
 _PART = 16_384
 
@@ -246,21 +249,34 @@ def _places(item: np.ndarray) -> dict[int, int]:
     return out
 
 
+def _passage_sizes(length: int) -> set[int]:
+    """Words of the passages that an item of so many words is compared with: powers of 2 ** (1 / SIZE_STEPS) from 0.7 to 1.4 of its length."""
+    step = round(math.log2(length) * SIZE_STEPS)
+    return {max(1, round(2 ** (k / SIZE_STEPS))) for k in range(step - SIZE_STEPS // 2, step + SIZE_STEPS // 2 + 1)}
+
+
 def _paraphrase_search(items: Items, space: np.ndarray, idf: np.ndarray, cosine: float, common: float, answers: float):
     """(doc_id, item_id, cosine, lcs_share, answer_share) of passages close to a whole item in the latent space.
 
-    A passage starts at every word. Those with fewer words of items than the least common subsequence, or fewer telling words
-    than the fewest answers, can't reach the bounds and are passed over before the product.
+    A passage starts at every word, in each of the sizes of the items. Those with fewer words of items than the least common
+    subsequence, or in a stretch without enough telling words of any item, can't reach the bounds and are passed over before the product.
     """
     lengths = np.array([len(w) for w in items.words])
-    size = max(8, int(np.median(lengths))) if len(lengths) else 8
+    sizes = [_passage_sizes(len(w)) for w in items.words]
+    widest = max(map(max, sizes), default=0)
     queries = _unit(np.stack([space[w].sum(axis=0) for w in items.words])).T if len(lengths) else None
     telling = np.zeros((len(idf) + 1, len(lengths)), dtype=bool)
     for k, w in enumerate(items.words):
         own = np.unique(w)
         telling[own[idf[own] >= np.median(idf[own])], k] = True
     n_telling = np.maximum(telling.sum(axis=0), 1)
-    tells = telling.any(axis=1)
+    enough = answers * n_telling - 1e-9
+    # of each span of words, a power of 2, 32 or more, and at least the size: (size, items, their vectors, fewest known words of a passage)
+    spans: dict[int, list] = {}
+    for size in sorted(set().union(*sizes)):
+        own = np.array([k for k, s in enumerate(sizes) if size in s])
+        spans.setdefault(max(32, 1 << (size - 1).bit_length()), []).append((size, own, np.ascontiguousarray(queries[:, own]), common * lengths[own].min() - 1e-9))
+    tells = telling.astype(np.float32)
     padded = np.concatenate((space, np.zeros((1, space.shape[1]), dtype=space.dtype)))
     places = [_places(w) for w in items.words]
 
@@ -270,32 +286,38 @@ def _paraphrase_search(items: Items, space: np.ndarray, idf: np.ndarray, cosine:
             owner = np.repeat(np.arange(len(doc)), np.diff(ends, prepend=0))
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
             # parts of the words in a row bound the memory, however long a text is
-            for at in range(0, len(ids) if queries is not None else 0, _PART):
+            for at in range(0, len(ids) if spans else 0, _PART):
                 d = owner[at : at + _PART]
-                near = ids[at : at + _PART + size]
+                near = ids[at : at + _PART + widest]
                 sums = np.concatenate((np.zeros((1, padded.shape[1])), np.cumsum(padded[near], axis=0, dtype=np.float64)))
-                known, told = (np.concatenate(([0], np.cumsum(x))) for x in (near >= 0, tells[near]))
+                known = np.concatenate(([0], np.cumsum(near >= 0)))
                 p = np.arange(len(d))
-                e = np.minimum(p + size, ends[d] - at)
-                able = np.flatnonzero((known[e] - known[p] >= common * lengths.min() - 1e-9) & (told[e] - told[p] >= answers * n_telling.min() - 1e-9))
-                for k in range(0, len(able), 4096):
-                    pk, ek = p[able[k : k + 4096]], e[able[k : k + 4096]]
-                    close = _unit((sums[ek] - sums[pk]).astype(np.float32)) @ queries
-                    hits = np.stack(np.nonzero(close >= cosine))
-                    for h in range(0, hits.shape[1], 8192):
-                        a, q = hits[:, h : h + 8192]
-                        words_at = pk[a][:, None] + np.arange(size)
-                        inside = np.where(words_at < ek[a][:, None], near[np.minimum(words_at, len(near) - 1)], -1)
-                        inside = np.sort(inside, axis=1)
-                        fresh = np.concatenate((np.ones((len(a), 1), dtype=bool), inside[:, 1:] != inside[:, :-1]), axis=1)
-                        share = (telling[inside, q[:, None]] & fresh).sum(axis=1) / n_telling[q]
-                        for j in np.flatnonzero(share >= answers):
-                            i, x = q[j], pk[a[j]]
-                            lcs = _subsequence(places[i], int(lengths[i]), near[x : ek[a[j]]].tolist()) / lengths[i]
-                            if lcs >= common:
-                                pair = int(doc[d[x]]), int(items.ids[i])
-                                row = round(float(lcs), 4), round(float(close[a[j], i]), 4), round(float(share[j]), 4)
-                                best[pair] = max(row, best.get(pair, row))
+                for span, size, own, wanted, least in ((s, *c) for s, cs in spans.items() for c in cs):
+                    if size == spans[span][0][0]:  # the first of the span: which items' words tell enough in a span and the next
+                        held = np.zeros((len(near) // span + 2, len(tells)), dtype=np.float32)
+                        held[np.arange(len(near)) // span, near] = 1
+                        told = np.maximum(held[:-1], held[1:]) @ tells >= enough
+                    e = np.minimum(p + size, ends[d] - at)
+                    able = np.flatnonzero(told[:, own].any(axis=1)[p // span] & (known[e] - known[p] >= least))
+                    for k in range(0, len(able), 4096):
+                        pk, ek = p[able[k : k + 4096]], e[able[k : k + 4096]]
+                        close = _unit((sums[ek] - sums[pk]).astype(np.float32)) @ wanted
+                        hits = np.flatnonzero(close >= cosine)
+                        for h in range(0, len(hits), 8192):
+                            a, c = np.divmod(hits[h : h + 8192], len(own))
+                            q = own[c]
+                            words_at = pk[a][:, None] + np.arange(size)
+                            inside = np.where(words_at < ek[a][:, None], near[np.minimum(words_at, len(near) - 1)], -1)
+                            inside = np.sort(inside, axis=1)
+                            fresh = np.concatenate((np.ones((len(a), 1), dtype=bool), inside[:, 1:] != inside[:, :-1]), axis=1)
+                            share = (telling[inside, q[:, None]] & fresh).sum(axis=1) / n_telling[q]
+                            for j in np.flatnonzero(share >= answers):
+                                i, x = q[j], pk[a[j]]
+                                lcs = _subsequence(places[i], int(lengths[i]), near[x : ek[a[j]]].tolist()) / lengths[i]
+                                if lcs >= common:
+                                    pair = int(doc[d[x]]), int(items.ids[i])
+                                    row = round(float(lcs), 4), round(float(close[a[j], c[j]]), 4), round(float(share[j]), 4)
+                                    best[pair] = max(row, best.get(pair, row))
             cols = list(zip(*((*pair, c, lcs, share) for pair, (lcs, c, share) in best.items()))) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
@@ -334,7 +356,7 @@ def exact_leaks(docs: DataFrame, items: DataFrame, run_words: int = 12, stride:
 def paraphrases(docs: DataFrame, items: DataFrame, cosine: float = 0.8, common: float = 0.5, answers: float = 0.5, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, cosine, lcs_share, answer_share): documents with a passage that tells what an item does.
 
-    Passages have as many words as the median item and start at every word; each must reach all three bounds. The best passage of a
+    Passages have 0.7 to 1.4 times as many words as the item and start at every word; each must reach all three bounds. The best passage of a
     document and item is kept. Nulls, empty texts, repeated rows and empty tables as in exact_leaks.
     """
     kind = "doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_share double"

@@ -80,3 +80,12 @@ def test_paraphrases_at_every_start(spark):
     lone = [(1000 + k, "other text") for k in range(20)]
     got = paraphrases(spark.createDataFrame(docs + lone, "doc_id bigint, text string"), spark.createDataFrame([(1, item)], ITEM))
     assert {(r.doc_id, r.cosine, r.lcs_share) for r in got.collect()} == {(d, 1.0, 1.0) for d, _ in docs}
+
+
+def test_paraphrases_of_skewed_lengths(spark):
+    lengths = [10, 200] + [45] * 9
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate(lengths)]
+    inside = lambda i: " ".join([f"w{2 + (i + k) % 9}x{k}" for k in range(50)] + items[i][1].split() + [f"w{2 + (i + k) % 9}x{k}" for k in range(50)])
+    docs = [(i, inside(i)) for i in range(len(lengths))] + [(1000 + k, "other text") for k in range(20)]
+    got = paraphrases(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, ITEM))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(len(lengths))}
