@@ -120,8 +120,11 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     return listed.join(sums, "id", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
 
 
-def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64, max_depth: int = 1000) -> DataFrame:
-    """The same sums, for graphs too large for one task: (source, vertex) pairs of a block of sources, level by level."""
+def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64, max_depth: int | None = None) -> DataFrame:
+    """The same sums, for graphs too large for one task: (source, vertex) pairs of a block of sources, level by level.
+
+    Levels go on until nothing new is reached; where max_depth is given and something lies beyond, it raises.
+    """
     near = scratch.save(both_ways(edges))
     names = scratch.save(near.select("v").distinct())
     n = names.count()
@@ -130,11 +133,13 @@ def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64,
         sources = names.filter(F.pmod(F.xxhash64("v"), F.lit(blocks)) == block)
         levels = [scratch.save(sources.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("paths")))]
         seen = levels[0].select("s", "v")
-        while len(levels) <= max_depth:
+        while True:
             step = levels[-1].join(near, "v").groupBy("s", "w").agg(F.sum(F.col("paths") * F.col("m")).alias("paths")).withColumnRenamed("w", "v")
             fresh = scratch.save(step.join(seen, ["s", "v"], "left_anti"))
             if fresh.isEmpty():
                 break
+            if max_depth is not None and len(levels) > max_depth:
+                raise RuntimeError(f"vertices lie beyond {max_depth} steps of their source")
             levels.append(fresh)
             seen = scratch.save(seen.unionByName(fresh.select("s", "v")))
         need = levels[-1].select("s", "v", F.lit(0.0).alias("need"))

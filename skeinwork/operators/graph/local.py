@@ -69,8 +69,8 @@ def cores(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, names: np.ndarray
         core = new
 
 
-def distances(start: str) -> Callable[..., np.ndarray]:
-    """Steps from a named vertex; none where it does not reach."""
+def distances(start: str, max_depth: int | None = None) -> Callable[..., np.ndarray]:
+    """Steps from a named vertex; none where it does not reach. An error where something lies beyond max_depth."""
 
     def solve(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, names: np.ndarray) -> np.ndarray:
         far = np.full(n, -1)
@@ -80,6 +80,8 @@ def distances(start: str) -> Callable[..., np.ndarray]:
             fresh = out[far[out] < 0]
             if not len(fresh):
                 break
+            if max_depth is not None and step >= max_depth:
+                raise RuntimeError(f"vertices lie beyond {max_depth} steps of the start")
             far[fresh] = step + 1
         return np.where(far < 0, None, far)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,23 +60,26 @@ def largest_component(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return edges.join(labels.join(F.broadcast(top), "component", "left_semi").select(F.col("v").alias("a")), "a", "left_semi").select("a", "b", "m")
 
 
-def distances(edges: DataFrame, start: str, max_depth: int = 1000, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
+def distances(edges: DataFrame, start: str, max_depth: int | None = None, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, distance) of everything reachable from a vertex.
 
     The frontier alone is joined in each round, and what it reaches is compared with the last two levels only: the
-    neighbours of a level are in it, in the one before, or new.
+    neighbours of a level are in it, in the one before, or new. Rounds go on until nothing new is reached; where max_depth is
+    given and something lies beyond, it raises.
     """
     if local.is_small(edges, local_edges):
-        return local.in_one_task(edges, "distance", T.IntegerType(), local.distances(start))
+        return local.in_one_task(edges, "distance", T.IntegerType(), local.distances(start, max_depth))
     scratch = Scratch(edges.sparkSession, "distances")
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
     levels = [scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))]
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         reached = levels[-1].select("v").join(near, "v").select(F.col("w").alias("v")).distinct()
         known = levels[-1].select("v") if depth == 1 else levels[-1].select("v").union(levels[-2].select("v"))
         fresh = scratch.save(reached.join(known, "v", "left_anti").withColumn("distance", F.lit(depth)))
         if fresh.isEmpty():
             break
+        if max_depth is not None and depth > max_depth:
+            raise RuntimeError(f"vertices lie beyond {max_depth} steps of the start")
         levels.append(fresh)
     return scratch.read_all(*levels)
 

@@ -1,5 +1,6 @@
 """Graph operators on graphs small enough to count by hand, and against brute force."""
 
+import inspect
 import itertools
 import random
 
@@ -97,6 +98,25 @@ def test_distances(spark, local_edges):
     assert T.pseudo_diameter(g, "b") == 3
 
 
+@BOTH_WAYS
+def test_distances_are_whole_or_raise(spark, local_edges):
+    g = graph(spark, *PATH)
+    assert by_v(T.distances(g, "a", max_depth=3, local_edges=local_edges), "distance") == {"a": 0, "b": 1, "c": 2, "d": 3}
+    with pytest.raises(Exception, match="beyond 2 steps"):
+        T.distances(g, "a", max_depth=2, local_edges=local_edges).collect()
+
+
+def test_betweenness_by_joins_is_whole_or_raises(spark):
+    g, scratch = graph(spark, *PATH), Z.Scratch(spark, "test")
+    assert by_v(Z._betweenness_by_joins(g, scratch, blocks=1, max_depth=3), "betweenness")["b"] == pytest.approx(2 / 3)
+    with pytest.raises(RuntimeError, match="beyond 2 steps"):
+        Z._betweenness_by_joins(g, scratch, blocks=1, max_depth=2)
+
+
+def test_no_depth_is_set():
+    assert [inspect.signature(f).parameters["max_depth"].default for f in (T.distances, Z._betweenness_by_joins)] == [None, None]
+
+
 def test_clustering(spark):
     g = graph(spark, *TRIANGLE, "cd")
     assert by_v(K.local_clustering(g), "clustering") == {"a": 1, "b": 1, "c": pytest.approx(1 / 3, abs=1e-6)}
