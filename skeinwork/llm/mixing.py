@@ -94,11 +94,18 @@ class Mixture:
         """The mixture itself: (doc_id, source, n_tokens, copy_no), one row per copy."""
         return self.sample().select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"))
 
+    def _given(self) -> DataFrame:
+        """The plan with what the sample gave of each source."""
+        given = self.sample().groupBy("source").agg(F.sum("copies").alias("copies"), F.max("copies").alias("most_copies"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"))
+        return self.plan.join(given, "source", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("copies", "most_copies", "tokens")})
+
+    def unreachable(self) -> DataFrame:
+        """The sources whose sample falls short of their share, and not by its rounding: max_repeats copies of each record would not do."""
+        return self._given().filter(~F.col("reachable") & (F.col("tokens") < F.col("wanted"))).select("source")
+
     def report(self) -> DataFrame:
         """One row per source of targets: what it has, what it was to give, whether it can, what it gave, its share of the mixture."""
-        given = self.sample().groupBy("source").agg(F.sum("copies").alias("copies"), F.max("copies").alias("most_copies"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"))
-        rows = self.plan.join(given, "source", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("copies", "most_copies", "tokens")})
-        return rows.select(
+        return self._given().select(
             "source", "target_share", "max_repeats", "n_docs", F.col("size").alias("size_tokens"), "reachable", "copies", "most_copies", "tokens",
             F.round(F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy())), 6).alias("actual_share"),  # as many rows as sources in targets
             F.round(F.try_divide(F.col("tokens"), F.col("total")), 6).alias("share_of_total"),

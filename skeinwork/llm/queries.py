@@ -60,7 +60,7 @@ def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.unreachable(_mixture(spark, d).report())
+    return _mixture(spark, d).unreachable()
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:

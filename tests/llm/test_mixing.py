@@ -42,3 +42,11 @@ def test_empty(spark):
     m = mixture(spark, [], [("a", 1.0, 1)])
     assert m.sample().count() == 0 and m.report().first().actual_share is None
     assert mixture(spark, [(1, "a", "x")], []).report().count() == 0
+
+
+def test_found_runs_the_sample(spark, sf):
+    from skeinwork.llm.queries import QUERIES
+
+    found = QUERIES["p7_found"](spark, sf)
+    assert "Window" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(found.collect()) == sorted(unreachable(QUERIES["p7_shares"](spark, sf)).collect())
