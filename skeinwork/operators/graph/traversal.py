@@ -84,15 +84,14 @@ def distances(edges: DataFrame, start: str, max_depth: int | None = None, local_
     return scratch.read_all(*levels)
 
 
-def pseudo_diameter(edges: DataFrame, start: str, max_sweeps: int = 10) -> int:
+def pseudo_diameter(edges: DataFrame, start: str) -> int:
     """Greatest distance found by sweeping from the farthest vertex, until it grows no more."""
     best = -1
-    for _ in range(max_sweeps):
+    while True:
         far = distances(edges, start).orderBy(F.desc("distance"), "v").first()
         if far is None or far["distance"] <= best:
-            break
+            return max(best, 0)
         best, start = far["distance"], far["v"]
-    return max(best, 0)
 
 
 def core_numbers(edges: DataFrame, max_rounds: int = 200, local_edges: int = local.LOCAL_EDGES) -> DataFrame:

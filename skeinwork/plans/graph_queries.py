@@ -120,7 +120,8 @@ def bfs_levels(spark: SparkSession, d: str) -> DataFrame:
 @_r.query()
 def pseudo_diameter(spark: SparkSession, d: str) -> DataFrame:
     edges = _layer(spark, d)
-    far = T.pseudo_diameter(edges, _hub(edges))
+    giant = T.largest_component(edges, T.components(edges))
+    far = T.pseudo_diameter(giant, _hub(giant))
     return spark.createDataFrame([("alliance", far)], "layer string, pseudo_diameter int")
 
 

@@ -169,3 +169,16 @@ def test_scaled(spark):
     df = spark.createDataFrame([("a", 0), ("b", 9)], "v string, x int")
     assert {r.v: r.size for r in scaled(df, "x").collect()} == {"a": 1.0, "b": 10.0}
     assert F is not None
+
+
+def test_pseudo_diameter_of_the_largest_component(spark, monkeypatch):
+    from skeinwork.plans import graph_queries as Q
+
+    monkeypatch.setattr(Q, "_layer", lambda *_: graph(spark, *STAR, "ef", "fg", "gh", "hi", "ij", "jk", "kl"))
+    assert [tuple(r) for r in Q.pseudo_diameter(spark, "").collect()] == [("alliance", 7)]
+
+
+def test_pseudo_diameter_sweeps_to_the_end(spark, monkeypatch):
+    far = iter([*range(1, 13), 12])
+    monkeypatch.setattr(T, "distances", lambda edges, start: spark.createDataFrame([("v", next(far))], "v string, distance int"))
+    assert T.pseudo_diameter(None, "a") == 12
