@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import fold_name, is_absent
+from ..operators.graph import local
+from ..operators.joins import bounded, hot_values, shuffled, spread_join
 from ..scratch import Scratch
 
 _SALTS = 64
+#: The recursion ends with a contracted graph of so many edges, counted, which one task of an executor solves: some megabytes.
+BASE_EDGES = 20_000
 
 
 def shared_key_edges(keys: DataFrame, salts: int = _SALTS) -> DataFrame:
@@ -31,8 +35,8 @@ def shared_key_edges(keys: DataFrame, salts: int = _SALTS) -> DataFrame:
     rows = keys.select("id", "key").filter("id is not null and key is not null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     near = rows.groupBy("key", "salt").agg(F.min("id").alias("near"))
     far = near.groupBy("key").agg(F.min("near").alias("far"))
-    inner = rows.join(near, ["key", "salt"]).select(F.col("id").alias("a"), F.col("near").alias("b"))
-    outer = near.join(far, "key").select(F.col("near").alias("a"), F.col("far").alias("b"))
+    inner = rows.join(shuffled(near), ["key", "salt"]).select(F.col("id").alias("a"), F.col("near").alias("b"))
+    outer = near.join(shuffled(far), "key").select(F.col("near").alias("a"), F.col("far").alias("b"))
     return inner.unionByName(outer).filter("a <> b")
 
 
@@ -41,61 +45,60 @@ def _head_start(vertex: str, level: str, beta: float):
     return -F.log(u) / F.lit(beta)
 
 
-def low_diameter_groups(edges: DataFrame, beta: float = 0.4, steps: int = 3, max_levels: int = 60) -> DataFrame:
+def simple_edges(edges: DataFrame, level: int = 0) -> DataFrame:
+    """(a, b, level), a < b, each edge once; self pairs and null ends fall away."""
+    a, b = F.least("a", "b"), F.greatest("a", "b")
+    return edges.filter("a is not null and b is not null and a <> b").select(a.alias("a"), b.alias("b"), F.lit(level).alias("level")).distinct()
+
+
+def decompose(level_edges: DataFrame, n: int, scratch: Scratch, beta: float = 0.1, steps: int = 3) -> tuple[DataFrame, DataFrame]:
+    """One level over n simple edges: (id, up), the cluster of every vertex, and the edges between clusters as those of the next level."""
+    # the number of the level is a column, so the code of every level is the same and compiled once
+    both = level_edges.union(level_edges.select("b", "a", "level")).toDF("v", "w", "level")
+    hot = hot_values(both, "w", 2 * n)
+    own = both.groupBy("v").agg(F.first("level").alias("level"))
+    # a vertex reaches itself in no step, its neighbours in one
+    sends = both.select("v", "w", F.lit(1).alias("step")).union(own.select("v", F.col("v").alias("w"), F.lit(0).alias("step")))
+    labels = own.select(F.col("v").alias("w"), _head_start("v", "level", beta).alias("t"), F.col("v").alias("c"))
+    for _ in range(steps):
+        sent = spread_join(sends, labels, "w", hot).select("v", (F.col("t") - F.col("step")).alias("t"), "c")
+        labels = sent.groupBy(F.col("v").alias("w")).agg(F.max_by("c", "t").alias("c"), F.max("t").alias("t")).select("w", "t", "c")
+    assigned = scratch.save(labels.select(F.col("w").alias("id"), F.col("c").alias("up")))
+    left = spread_join(spread_join(level_edges, assigned.toDF("a", "x"), "a", hot), assigned.toDF("b", "y"), "b", hot).filter("x <> y")
+    return assigned, scratch.save(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("level") + 1).alias("level")).distinct())
+
+
+def settle(level_edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The end of the recursion: (id, up) with the smallest vertex of each component as up, and no edges."""
+    found = local.in_one_task(level_edges.select("a", "b", F.lit(1).alias("m")), "up", level_edges.schema["a"].dataType, local.components)
+    return scratch.save(found.toDF("id", "up")), scratch.save(level_edges.limit(0))
+
+
+def low_diameter_groups(edges: DataFrame, beta: float = 0.1, steps: int = 3, base: int = BASE_EDGES) -> DataFrame:
     """(id, group_id) for every vertex of edges (a, b); group_id is the smallest id of its connected component.
 
     Repeated edges, either orientation, and self pairs are allowed; a null end drops the edge. An empty table gives an
     empty result. Other columns are ignored. Each level is written to the shared folder, and what it replaces is deleted.
-    Numbers as ids keep every aggregation in hash tables; other types sort.
+    Levels go on until no edge is left; a contracted graph of at most `base` edges ends the recursion in one task. Numbers as ids keep every aggregation in hash tables; other types sort.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "groups")
-    a, b = F.least("a", "b"), F.greatest("a", "b")
-    level_edges = scratch.save(edges.select(a.alias("a"), b.alias("b"), F.lit(0).alias("level")).filter("a is not null and b is not null and a <> b").distinct())
+    scratch = Scratch(edges.sparkSession, "groups")
+    level_edges = scratch.save(simple_edges(edges))
     levels: list[DataFrame] = []
-    for _ in range(max_levels):
-        n = level_edges.count()
-        if n == 0:
-            break
-        # the number of the level is a column, so the code of every level is the same and compiled once
-        both = level_edges.union(level_edges.select("b", "a", "level")).toDF("v", "w", "level")
-        # hot vertices have more than a thousandth of the edges: 2,000 at most, and none in a small table
-        threshold = max(10_000, n // 1_000)
-        hot = [r.v for r in both.groupBy("v").count().filter(F.col("count") > threshold).select("v").collect()] if n > threshold else []
-        labels = both.select("v", "level").distinct().select("v", _head_start("v", "level", beta).alias("t"), F.col("v").alias("c"))
-        for step in range(steps):
-            # written step by step: the plans stay small and alike, so their code is compiled once
-            grown = scratch.save(labels.unionByName(_along(both, labels, hot)).groupBy("v").agg(F.max_by("c", "t").alias("c"), F.max("t").alias("t")))
-            if step:
-                scratch.drop(labels)
-            labels = grown
-        assigned = labels.select(F.col("v").alias("id"), F.col("c").alias("up"))
+    while n := level_edges.count():
+        assigned, contracted = decompose(level_edges, n, scratch, beta, steps) if not levels or n > base else settle(level_edges, scratch)
         levels.append(assigned)
-        left = level_edges.join(assigned.toDF("a", "x"), "a").join(assigned.toDF("b", "y"), "b").filter("x <> y")
-        contracted = scratch.save(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("level") + 1).alias("level")).distinct())
         scratch.drop(level_edges)
         level_edges = contracted
-    else:
-        raise RuntimeError(f"edges are left after {max_levels} levels")
     if not levels:
         return level_edges.select(F.col("a").alias("id"), F.col("a").alias("group_id"))
     # compose from the top: a centre that is no vertex of the next level is a root
     up = levels.pop()
     while levels:
-        up = levels.pop().join(up.toDF("up", "root"), "up", "left").select("id", F.coalesce("root", "up").alias("up"))
-    smallest = up.groupBy("up").agg(F.min("id").alias("group_id"))
-    return up.join(smallest, "up").select("id", "group_id")
-
-
-def _along(both: DataFrame, labels: DataFrame, hot: list) -> DataFrame:
-    """(v, t, c): what every vertex w sends to its neighbours v, its label one step later. Edges of hot senders are salted."""
-    sender = labels.select(F.col("v").alias("w"), (F.col("t") - 1).alias("t"), "c")
-    if not hot:
-        return both.join(sender, "w").select("v", "t", "c")
-    is_hot = F.col("w").isin(hot)
-    salted = both.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("v"), F.lit(_SALTS))).otherwise(F.lit(0)))
-    copies = sender.withColumn("salt", F.explode(F.when(is_hot, F.expr(f"sequence(0L, {_SALTS - 1}L)")).otherwise(F.expr("array(0L)"))))
-    return salted.join(copies, ["w", "salt"]).select("v", "t", "c")
+        below = levels.pop()
+        up = spread_join(below, up.toDF("up", "root"), "up", hot_values(below, "up", below.count()), "left").select("id", F.coalesce("root", "up").alias("up"))
+    roots = scratch.save(up)
+    smallest = roots.groupBy("up").agg(F.min("id").alias("group_id"))
+    return spread_join(roots, smallest, "up", hot_values(roots, "up", roots.count())).select("id", "group_id")
 
 
 def node_links(nodes: DataFrame, matches: DataFrame, generic: DataFrame) -> DataFrame:
@@ -105,11 +108,11 @@ def node_links(nodes: DataFrame, matches: DataFrame, generic: DataFrame) -> Data
         F.explode(F.array_distinct(F.transform(F.concat(F.array("standard_name"), F.coalesce("aliases", F.array().cast("array<string>"))), fold_name))).alias("key"),
     )
     names = generic.select(fold_name(F.col("name")).alias("key")).filter("key is not null").distinct()
-    usable = named.filter(~is_absent(F.col("key"))).join(names, "key", "left_anti")
+    usable = named.filter(~is_absent(F.col("key"))).join(bounded(names), "key", "left_anti")
     ids = nodes.select(F.col("node_id").alias("id")).filter("id is not null").distinct()
     same = (
         matches.filter("verdict = 'same'").select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))
-        .join(ids.toDF("a"), "a", "left_semi").join(ids.toDF("b"), "b", "left_semi")
+        .join(shuffled(ids.toDF("a")), "a", "left_semi").join(shuffled(ids.toDF("b")), "b", "left_semi")
     )
     return shared_key_edges(usable).unionByName(same.select("a", "b"))
 
@@ -122,11 +125,10 @@ def node_groups(nodes: DataFrame, matches: DataFrame, generic: DataFrame) -> Dat
     """
     grouped = low_diameter_groups(node_links(nodes, matches, generic)).withColumnRenamed("id", "node_id")
     ids = nodes.select("node_id").filter("node_id is not null").distinct()
-    return ids.join(grouped, "node_id", "left").select("node_id", F.coalesce("group_id", "node_id").alias("group_id"))
+    return ids.join(shuffled(grouped), "node_id", "left").select("node_id", F.coalesce("group_id", "node_id").alias("group_id"))
 
 
 def groups_found(groups: DataFrame) -> DataFrame:
-    """The rows of groups of two or more."""
-    several = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("group_id")
-    return groups.join(several, "group_id", "left_semi").select("node_id", "group_id")
-
+    """The rows of groups of two or more: the members that are not the smallest id, and the smallest ids that such a member names."""
+    others = groups.filter("node_id <> group_id")
+    return others.select("node_id", "group_id").union(others.select("group_id").distinct().select("group_id", "group_id"))

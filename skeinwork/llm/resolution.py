@@ -3,71 +3,121 @@
 Profiles start as single spellings. Spellings that one record gives for one organisation merge first (its standard name, original
 text and aliases), then those that say the same once slips of form are undone (case, accents, order, articles,
 shortened or foreign words for the kind, joined words). A merged profile has the spellings, kinds and initials of all its members,
-and with those it enters blocking again: edits that are not enough between two bare spellings are enough between
-profiles that agree in kind or in attested initials. Rounds go on until no profile merges.
+and with those it is matched again: edits that are not enough between two bare spellings are enough between
+profiles that agree in kind or in attested initials. Every round contracts the matches by one level of the low-diameter
+decomposition; rounds go on until no two profiles match.
 
 Numbers, chapters and words like `new` are part of what a name means and never differ within a profile (see `spellings`).
-Blocking is by symmetric deletes of the own name and, for profiles, by initials and a whole word; spellings, not records,
-are compared, so an organisation that a third of all records name costs as much as the number of its spellings.
+Spellings enter blocking by what is left of their own name after deletions. A merge adds no letters to a spelling, so those pairs are
+found once and matched again in each round with what their profiles have become; by initials and a whole word profiles
+enter blocking anew in each round. Spellings, not records, are compared, so an organisation that a third of all records name costs
+as much as the number of its spellings.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import fold_name, is_absent, squeeze
+from ..operators.joins import bounded, hot_values, shuffled, spread_join
 from ..scratch import Scratch
+from . import edits
 from . import spellings as S
-from .grouping import low_diameter_groups, shared_key_edges
-
-_PARSED = T.StructType([T.StructField(c, T.ArrayType(T.StringType()) if c in ("cores", "words") else T.StringType()) for c in ("core", "kind", "which", "cores", "words", "initials")])
-#: Own names of at least so many letters may differ in two, and with attested initials in three, edits.
-TWO_EDITS, THREE_EDITS = 6, 10
-
-
-@F.pandas_udf(_PARSED)
-def _parse(names: pd.Series) -> pd.DataFrame:
-    rows = []
-    for n in names:
-        p = S.parse(n)
-        c = S.cores(p)
-        rows.append((c[0], p.kind, p.which, c, list(p.words), S.initials(n)))
-    return pd.DataFrame(rows, columns=["core", "kind", "which", "cores", "words", "initials"])
-
-
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _deletes(cores: pd.Series, which: pd.Series) -> pd.Series:
-    """64-bit names of what is left of the own name after up to two deletions, together with what tells its bearer apart."""
-
-    def keys(found: list[str], apart: str) -> np.ndarray:
-        out = set()
-        for c in found:
-            most = 2 if len(c) >= TWO_EDITS else 1 if len(c) >= 4 else 0
-            for k in range(most + 1):
-                for gone in combinations(range(len(c)), k):
-                    out.add("".join(x for i, x in enumerate(c) if i not in gone))
-        return np.fromiter((xxhash.xxh64_intdigest(f"{x}\t{apart}") for x in out), dtype=np.uint64, count=len(out)).view(np.int64)
-
-    return pd.Series([keys(list(c), w) for c, w in zip(cores, which)])
+from .grouping import BASE_EDGES, decompose, low_diameter_groups, settle, shared_key_edges, simple_edges
+
+_PARSED = T.StructType([T.StructField(c, T.ArrayType(T.StringType()) if c == "words" else T.StringType()) for c in ("core", "kind", "which", "words", "initials")])
+#: Own names of at least so many letters may differ in one, in two, and with attested initials in three, edits.
+ONE_EDIT, TWO_EDITS, THREE_EDITS = 4, 6, 10
+#: Initials and a word that more profiles have are parted by what else their names say before pairs are made.
+_HOT = 64
+_SALTS = 16
+
+
+def _parser(lexicon: S.Lexicon):
+    @F.pandas_udf(_PARSED)
+    def parse(names: pd.Series) -> pd.DataFrame:
+        rows = []
+        for n in names:
+            p = lexicon.parse(n)
+            rows.append((S.cores(p)[0], p.kind, p.which, list(p.words), lexicon.initials(n)))
+        return pd.DataFrame(rows, columns=["core", "kind", "which", "words", "initials"])
+
+    return parse
+
+
+def _apart(texts: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t) for t in texts], dtype=np.uint64)
+
+
+def _emit(ids: np.ndarray, owners: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """(id, k), each once."""
+    pairs = np.unique(np.stack((ids[owners].astype(np.uint64), keys), axis=1), axis=0) if len(keys) else np.empty((0, 2), np.uint64)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int64)), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64))], names=["id", "k"])
+
+
+def _name_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, words, which) to (id, k): keys of the own name in all its orders, and of many words without any two of them."""
+    for batch in batches:
+        ids, words, which = batch.column(0).to_numpy(), batch.column(1).to_pylist(), _apart(batch.column(2).to_pylist())
+        owner, texts = [], []
+        more_owner, more = [], []
+        for k, w in enumerate(words):
+            for c in S.orders(w):
+                owner.append(k)
+                texts.append(c)
+            if len(w) > 3:
+                for gone in (g for n in range(3) for g in combinations(range(len(w)), n)):
+                    more_owner.append(k)
+                    more.append(" ".join(sorted(x for i, x in enumerate(w) if i not in gone)))
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        at, keys = edits.edit_keys(texts, np.where(size >= TWO_EDITS, 2, np.where(size >= ONE_EDIT, 1, 0)))
+        owners = np.array(owner, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
+        owners = np.concatenate((owners, np.array(more_owner, dtype=np.int64)))
+        keys = np.concatenate((keys, edits.mix(_apart(more))))
+        yield _emit(ids, owners, edits.mix(keys ^ which[owners]))
+
+
+def _rest_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, rest, key) to (id, k): keys of a name without a word of it, together with what it must have in common."""
+    for batch in batches:
+        ids, words, same = batch.column(0).to_numpy(), batch.column(1).to_pylist(), _apart(batch.column(2).to_pylist())
+        owner, texts = [], []
+        for k, w in enumerate(words):
+            for c in S.orders(w):
+                owner.append(k)
+                texts.append(c)
+        at, keys = edits.edit_keys(texts, np.full(len(texts), 3, dtype=np.int64))
+        owners = np.array(owner, dtype=np.int64)[at] if len(at) else np.empty(0, np.int64)
+        yield _emit(ids, owners, edits.mix(keys ^ same[owners]))
 
 
 @F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    def least(xs: list[str], ys: list[str]) -> int:
-        best = 4
-        for x in xs:
-            for y in ys:
-                best = min(best, S.distance(x, y, 3))
-        return best
-
-    return pd.Series([least(list(x), list(y)) for x, y in zip(a, b)], dtype="int32")
+    """Least edits between two lists of words in one piece, over their orders, 4 for more than 3; of many words, those in common are left out."""
+    owner, left, right = [], [], []
+    for k, (x, y) in enumerate(zip(a, b)):
+        x, y = list(x), list(y)
+        ways = [(x, y)]
+        if max(len(x), len(y)) > 3:
+            ways.append(S.rest(x, y))
+        for u, v in ways:
+            for p in S.orders(u):
+                for q in S.orders(v):
+                    owner.append(k)
+                    left.append(p)
+                    right.append(q)
+    best = np.full(len(a), 4, dtype=np.int32)
+    np.minimum.at(best, np.array(owner, dtype=np.int64), edits.osa(left, right, 3))
+    return pd.Series(best)
 
 
 def _mentions(extracted: DataFrame, generic: DataFrame) -> DataFrame:
@@ -80,91 +130,116 @@ def _mentions(extracted: DataFrame, generic: DataFrame) -> DataFrame:
     rows = rows.select("std", F.when(~is_absent(F.col("raw")), F.lower("raw")).alias("other"), F.coalesce(acronym, F.lit(False)).alias("acronym"))
     names = generic.select(fold_name(F.col("name")).alias("g")).filter("g is not null").distinct()
     return (
-        rows.join(names, F.col("other") == F.col("g"), "left").select("std", F.when(F.col("g").isNull(), F.col("other")).alias("other"), "acronym")
-        .join(names.toDF("std"), "std", "left_anti").distinct()
+        rows.join(bounded(names), F.col("other") == F.col("g"), "left").select("std", F.when(F.col("g").isNull(), F.col("other")).alias("other"), "acronym")
+        .join(bounded(names.toDF("std")), "std", "left_anti").distinct()
     )
 
 
-def resolve(extracted: DataFrame, generic: DataFrame, max_rounds: int = 20) -> DataFrame:
+def _letters(words: str) -> Column:
+    return F.length(F.array_join(words, ""))
+
+
+def resolve(extracted: DataFrame, generic: DataFrame, lexicon: S.Lexicon = S.DEFAULT) -> DataFrame:
     """(name, group_id) for every folded spelling of standard_name; group_id is one of the organisation's spellings.
 
     Null and blank standard names and absent values give no row, in original names and aliases they say nothing, as do
     generic names (a generic standard name is a group of its own). Null, empty and repeated aliases, repeated records and
     columns beside the named ones change nothing. An empty table gives no row.
     """
-    spark = extracted.sparkSession
-    scratch = Scratch(spark, "names")
+    scratch = Scratch(extracted.sparkSession, "names")
     mentions = scratch.save(_mentions(extracted, generic))
     all_std = extracted.select(fold_name(F.col("standard_name")).alias("name")).filter("name <> ''").distinct()
     spelled = mentions.filter("not acronym").select(F.col("std").alias("name"), F.col("other")).select(F.explode(F.array("name", "other")).alias("name")).union(mentions.select("std"))
     # numbers stand for the spellings from here on; they are written once, so they stay
-    forms = scratch.save(spelled.filter("name is not null").distinct().withColumn("p", _parse("name")).select(F.monotonically_increasing_id().alias("id"), "name", "p.*"))
+    parsed = scratch.save(spelled.filter("name is not null").distinct().withColumn("p", _parser(lexicon)("name")).select(F.monotonically_increasing_id().alias("id"), "name", "p.*", F.concat_ws("\t", "p.core", "p.which").alias("own")))
+    n = parsed.count()
     # a name without a kind takes the kind of the only one with its core
-    only = forms.filter("length(kind) > 1").groupBy("core", "which").agg(F.min("kind").alias("one"), F.max("kind").alias("two")).filter("one = two").select("core", "which", "one")
+    only = parsed.filter("length(kind) > 1").groupBy("own").agg(F.min("kind").alias("one"), F.max("kind").alias("two")).filter("one = two").select("own", "one")
     fits = (F.col("kind") == "") | ((F.length("kind") == 1) & F.col("one").startswith(F.col("kind")))
-    forms = scratch.save(forms.join(only, ["core", "which"], "left").withColumn("kind", F.when(F.col("one").isNotNull() & fits, F.col("one")).otherwise(F.col("kind"))).drop("one"))
+    forms = scratch.save(spread_join(parsed, only, "own", hot_values(parsed, "own", n), "left").withColumn("kind", F.when(F.col("one").isNotNull() & fits, F.col("one")).otherwise(F.col("kind"))).drop("one", "own"))
+    scratch.drop(parsed)
     which = forms.select("name", "id", "which", "initials")
     # initials in small letters, and single words too short to tell one organisation from another, link nothing
     too_short = F.col("b").rlike(r"^[\p{L}\p{Nd}]{1,5}$") | (F.upper("b") == F.col("na"))
-    said = (
-        mentions.filter("not acronym and other is not null and std <> other").select(F.col("std").alias("a"), F.col("other").alias("b")).distinct()
-        .join(which.toDF("a", "ia", "wa", "na"), "a").join(which.drop("initials").toDF("b", "ib", "wb"), "b").filter((F.col("wa") == F.col("wb")) & ~too_short).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
-    )
+    given = mentions.filter("not acronym and other is not null and std <> other").select(F.col("std").alias("a"), F.col("other").alias("b")).distinct()
+    rows = mentions.count()
+    said = spread_join(given, which.toDF("a", "ia", "wa", "na"), "a", hot_values(given, "a", rows))
+    said = spread_join(said, which.drop("initials").toDF("b", "ib", "wb"), "b", hot_values(given, "b", rows)).filter((F.col("wa") == F.col("wb")) & ~too_short).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
     equal = shared_key_edges(forms.filter("core <> ''").select("id", F.concat_ws("\t", "core", "kind", "which").alias("key")))
-    edges = scratch.save(said.unionByName(equal).distinct())
     short = mentions.filter("acronym").select(F.col("std").alias("name"), F.upper("other").alias("initials")).distinct()
-    attested = scratch.save(short.join(forms.select("name", "id"), "name").select("id", "initials"))
+    attested = scratch.save(short.join(shuffled(forms.select("name", "id")), "name").select("id", "initials"))
     pairs = scratch.save(_near(forms))
-    groups = scratch.save(forms.select("id", "kind").join(low_diameter_groups(edges), "id", "left").select("id", "kind", F.coalesce("group_id", "id").alias("group_id")))
-    for _ in range(max_rounds):
-        merges = scratch.save(_rematch(forms, groups, pairs, attested))
-        if merges.isEmpty():
+    first = low_diameter_groups(said.unionByName(equal))
+    groups = scratch.save(forms.select("id", "kind").join(shuffled(first), "id", "left").select("id", "kind", F.coalesce("group_id", "id").alias("group_id")))
+    edges, level = None, 0
+    while True:
+        found, held = _rematch(forms, groups, pairs, attested, scratch)
+        merges = scratch.save(simple_edges(found if edges is None else found.unionByName(edges.select("a", "b")), level))
+        if edges is not None:
+            scratch.drop(edges)
+        if not (m := merges.count()):
             break
-        # profiles are the vertices now; the spellings follow their profile
-        merged = low_diameter_groups(merges).toDF("group_id", "into")
-        groups = scratch.save(groups.join(merged, "group_id", "left").select("id", "kind", F.coalesce("into", "group_id").alias("group_id")))
-    else:
-        raise RuntimeError(f"profiles still merge after {max_rounds} rounds")
+        # profiles are the vertices now; the spellings follow their profile, and matches between what has merged so far stay open
+        merged, edges = decompose(merges, m, scratch) if not level or m > BASE_EDGES else settle(merges, scratch)
+        after = scratch.save(spread_join(groups, merged.toDF("group_id", "into"), "group_id", hot_values(groups, "group_id", n), "left").select("id", "kind", F.coalesce("into", "group_id").alias("group_id")))
+        level += 1
+        for old in (groups, merges, merged, held):
+            scratch.drop(old)
+        groups = after
     names = forms.select("id", "name")
-    named = groups.join(names, "id").join(names.toDF("group_id", "group_name"), "group_id").select("name", "group_name")
-    return all_std.join(named, "name", "left").select("name", F.coalesce("group_name", "name").alias("group_id"))
+    named = spread_join(groups.select("id", "group_id"), names.toDF("group_id", "group_name"), "group_id", hot_values(groups, "group_id", n)).join(shuffled(names), "id").select("name", "group_name")
+    return all_std.join(shuffled(named), "name", "left").select("name", F.coalesce("group_name", "name").alias("group_id"))
 
 
 def _near(forms: DataFrame) -> DataFrame:
-    """(a, b, d, size) of spellings of the same number, place and so on whose own names share a deletion and differ in one or two edits."""
+    """(a, b, d, size) of spellings of the same number, place and so on whose own names share a key and differ in two edits or fewer."""
     # spellings of one core and kind have merged already: one of them stands for all
-    one = forms.filter("core <> ''").groupBy("core", "kind", "which").agg(F.min("id").alias("id"), F.first("cores").alias("cores"))
-    keys = one.select("id", F.explode(_deletes("cores", "which")).alias("k"))
-    # both sides are one exchange; the pairs are those within two edits on either side
-    candidates = keys.toDF("a", "k").join(keys.toDF("b", "k"), "k").filter("a < b").select("a", "b").distinct()
-    cores = one.select("id", "cores")
-    rows = candidates.join(cores.toDF("a", "ca"), "a").join(cores.toDF("b", "cb"), "b")
-    sized = rows.select("a", "b", _distance("ca", "cb").alias("d"), F.least(F.length(F.col("ca")[0]), F.length(F.col("cb")[0])).alias("size"))
-    return sized.filter("d <= 2")
-
-
-def _rematch(forms: DataFrame, groups: DataFrame, pairs: DataFrame, attested: DataFrame) -> DataFrame:
-    """(a, b) of profiles that match now, with all that their members say."""
+    one = forms.filter("core <> ''").groupBy("core", "kind", "which").agg(F.min("id").alias("id"), F.min_by("words", "id").alias("words"))
+    keys = one.select("id", "words", "which").mapInArrow(_name_keys, "id bigint, k bigint")
+    # a key has as many holders as there are strings within two letters of it, not as there are rows; both sides are one exchange
+    candidates = keys.toDF("a", "k").join(shuffled(keys.toDF("b", "k")), "k").filter("a < b").select("a", "b").distinct()
+    words = forms.select("id", "words")
+    rows = candidates.join(shuffled(words.toDF("a", "x")), "a").join(shuffled(words.toDF("b", "y")), "b")
+    return rows.select("a", "b", _distance("x", "y").alias("d"), F.least(_letters("x"), _letters("y")).alias("size")).filter("d <= 2")
+
+
+def _rematch(forms: DataFrame, groups: DataFrame, pairs: DataFrame, attested: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of profiles that match now, with all that their members say, and the table they were found with."""
     group_of = groups.select("id", "group_id")
     full = groups.filter("length(kind) > 1").groupBy("group_id").agg(F.collect_set("kind").alias("kinds"))  # at most as many as there are kinds
-    state = group_of.join(full, "group_id", "left").select("id", "group_id", F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
+    state = group_of.join(shuffled(full), "group_id", "left").select("id", "group_id", F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"))
     a, b = (state.toDF(x, f"g{x}", f"k{x}") for x in "ab")
     known = (F.size("ka") > 0) & (F.size("kb") > 0)
     agree = F.arrays_overlap("ka", "kb")
-    near = pairs.join(a, "a").join(b, "b").filter(F.col("ga") != F.col("gb"))
+    near = pairs.join(shuffled(a), "a").join(shuffled(b), "b").filter(F.col("ga") != F.col("gb"))
     near = near.filter(((F.col("d") <= 1) & (agree | ~known)) | ((F.col("d") == 2) & known & agree & (F.col("size") >= TWO_EDITS))).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    # profiles with the same attested initials and one whole word in common
-    profile = attested.join(group_of, "id").select("group_id", "initials").distinct()
-    words = forms.filter(F.size("words") > 1).select("id", "which", "kind", "cores", F.explode("words").alias("word")).join(group_of, "id").join(profile, "group_id")
-    one = words.groupBy("group_id", "initials", "which", "kind", "word", F.col("cores")[0]).agg(F.min("id").alias("id"), F.first("cores").alias("cores"))
-    key = ["initials", "which", "kind", "word"]
-    left, right = one.select(*key, F.col("id").alias("a"), F.col("group_id").alias("ga"), F.col("cores").alias("ca")), one.select(*key, F.col("id").alias("b"), F.col("group_id").alias("gb"), F.col("cores").alias("cb"))
-    both = left.join(right, key).filter(F.col("ga") < F.col("gb")).filter((F.length(F.col("ca")[0]) >= THREE_EDITS) & (F.length(F.col("cb")[0]) >= THREE_EDITS)).dropDuplicates(["a", "b"])
-    helped = both.filter(_distance("ca", "cb") <= 3).select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    return near.unionByName(helped).distinct()
+    # profiles with the same attested initials and one whole word in common; a profile of very many spellings is spread over tasks
+    profile = attested.join(shuffled(group_of), "id").select("group_id", "initials").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    own = forms.drop("initials").filter(F.size("words") > 1).filter(_letters("words") >= THREE_EDITS).join(shuffled(group_of), "id").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int"))
+    words = own.join(shuffled(profile), ["group_id", "salt"]).select("id", "group_id", "words", F.posexplode("words").alias("at", "word"), "initials", "which", "kind")
+    others = F.concat(F.slice("words", F.lit(1), F.col("at")), F.slice("words", F.col("at") + 2, F.size("words")))
+    key = F.concat_ws("\t", "initials", "which", "kind", "word")
+    one = words.groupBy("group_id", key.alias("key"), F.array_sort(others).alias("rest")).agg(F.min("id").alias("id"))
+    counts = one.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = scratch.save(one.join(shuffled(counts), "key"))
+    few = held.filter(F.col("n") <= _HOT).select("key", "group_id", "rest")
+    direct = few.toDF("key", "a", "x").join(shuffled(few.toDF("key", "b", "y")), "key").filter("a < b").select("a", "b", "x", "y")
+    helped = direct
+    if not held.filter(F.col("n") > _HOT).isEmpty():
+        helped = direct.unionByName(_parted(held))
+    return near.unionByName(helped.filter(_distance("x", "y") <= 3).select("a", "b")), held
+
+
+def _parted(held: DataFrame) -> DataFrame:
+    """(a, b, x, y) of profiles under frequent initials and words, which are parted by what the rest of a name leaves after three deletions."""
+    many = held.filter(F.col("n") > _HOT).select(F.xxhash64("group_id", "key", "rest").alias("id"), "rest", "key", "group_id")
+    keyed = many.select("id", "rest", "key").mapInArrow(_rest_keys, "id bigint, k bigint")
+    shared = keyed.toDF("i", "k").join(shuffled(keyed.toDF("j", "k")), "k").filter("i < j").select("i", "j").distinct()
+    texts = many.select("id", "group_id", "rest")
+    return shared.join(shuffled(texts.toDF("i", "a", "x")), "i").join(shuffled(texts.toDF("j", "b", "y")), "j").filter("a <> b").select("a", "b", "x", "y")
 
 
 def linked_pairs(groups: DataFrame) -> DataFrame:
     """(name_a, name_b) of every two spellings of one organisation, name_a < name_b in code-point order."""
     members = groups.select("name", "group_id")
-    return members.withColumnRenamed("name", "name_a").join(members.withColumnRenamed("name", "name_b"), "group_id").filter("name_a < name_b").select("name_a", "name_b")
+    return members.withColumnRenamed("name", "name_a").join(shuffled(members.withColumnRenamed("name", "name_b")), "group_id").filter("name_a < name_b").select("name_a", "name_b")

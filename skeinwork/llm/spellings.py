@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 from itertools import permutations
 from typing import NamedTuple
 
@@ -38,11 +37,6 @@ FILLERS = ("called", "crime", "das", "de", "dei", "del", "der", "di", "die", "el
 LEET = str.maketrans("0134567", "oleasbt")
 SOUNDS = (("tch", "ch"), ("sch", "sh"), ("ph", "f"), ("ck", "k"), ("c", "k"), ("y", "i"), ("j", "i"), ("w", "v"), ("z", "s"))
 
-_KIND_WORDS = sorted({w for k, forms in KINDS.items() for f in (k, *forms) for w in f.split() if len(w) > 3})
-_SHORT = {f: k for k, forms in KINDS.items() for f in forms if len(f) <= 3}
-_BY_FORM = {f: k for k, forms in KINDS.items() for f in (k, *forms)}
-
-
 class Parsed(NamedTuple):
     """core: letters of the own name by sound, words in order; kind; which: numbers, place, and words such as new."""
 
@@ -92,108 +86,144 @@ def _shortens(short: str, word: str) -> bool:
     return not re.search("[aeiou]", short[1:]) and all(c in rest for c in short) and len(short) >= (3 if len(word) > 4 else 2)
 
 
-@lru_cache(maxsize=20_000)
-def _kind_word(token: str) -> str | None:
-    if token in _KIND_WORDS:
-        return token
-    if len(token) >= 4:
-        near = [w for w in _KIND_WORDS if len(w) >= 4 and distance(token, w, limit := 1 + (len(w) >= 8)) <= limit]
-        if near:
-            return min(near, key=lambda w: (distance(token, w, 2), w))
-    return None
-
-
-@lru_cache(maxsize=20_000)
-def _kind_short(token: str) -> str | None:
-    """The kind word that a token shortens or misspells, an initial, or nothing."""
-    if len(token) == 1:
-        return token if any(k[0] == token for k in KINDS) else None
-    found = [w for w in _KIND_WORDS if _shortens(token, w) and (len(token) <= 5 or w.startswith(token))]
-    found += [w for w in _KIND_WORDS if len(w) <= 6 and len(token) >= 3 and distance(token, w, 1) <= 1]
-    return min(found, key=lambda w: (distance(token, w, 9), w)) if found else None
-
-
-def _kind_of(words: list[str]) -> str:
-    if "motorcycle" in words:
-        return "motorcycle club"
-    for size in (3, 2, 1):
-        for i in range(len(words) - size + 1):
-            if (k := _BY_FORM.get(" ".join(words[i : i + size]))) is not None:
+class Lexicon:
+    """Word lists for names, and what follows from them. Without any list, names are only letters in some order."""
+
+    def __init__(self, kinds: dict[str, tuple[str, ...]] = KINDS, others: tuple[str, ...] = OTHERS, fillers: tuple[str, ...] = FILLERS):
+        self.kinds, self.others, self.fillers = kinds, others, fillers
+        self.kind_words = sorted({w for k, forms in kinds.items() for f in (k, *forms) for w in f.split() if len(w) > 3})
+        self.short = {f: k for k, forms in kinds.items() for f in forms if len(f) <= 3}
+        self.by_form = {f: k for k, forms in kinds.items() for f in (k, *forms)}
+        self._known: dict[tuple[str, str], str | None] = {}
+
+    def _once(self, rule, token: str) -> str | None:
+        key = (rule.__name__, token)
+        if key not in self._known:
+            if len(self._known) >= 40_000:
+                self._known.clear()
+            self._known[key] = rule(token)
+        return self._known[key]
+
+    def _kind_word(self, token: str) -> str | None:
+        if token in self.kind_words:
+            return token
+        if len(token) >= 4:
+            near = [w for w in self.kind_words if len(w) >= 4 and distance(token, w, limit := 1 + (len(w) >= 8)) <= limit]
+            if near:
+                return min(near, key=lambda w: (distance(token, w, 2), w))
+        return None
+
+
+    def _kind_short(self, token: str) -> str | None:
+        """The kind word that a token shortens or misspells, an initial, or nothing."""
+        if len(token) == 1:
+            return token if any(k[0] == token for k in self.kinds) else None
+        found = [w for w in self.kind_words if _shortens(token, w) and (len(token) <= 5 or w.startswith(token))]
+        found += [w for w in self.kind_words if len(w) <= 6 and len(token) >= 3 and distance(token, w, 1) <= 1]
+        return min(found, key=lambda w: (distance(token, w, 9), w)) if found else None
+
+
+    def _kind_of(self, words: list[str]) -> str:
+        if "motorcycle" in words:
+            return "motorcycle club"
+        for size in (3, 2, 1):
+            for i in range(len(words) - size + 1):
+                if (k := self.by_form.get(" ".join(words[i : i + size]))) is not None:
+                    return k
+        for w, k in (("club", "motorcycle club"), ("motorcycle", "motorcycle club"), ("wing", "armed wing"), ("crew", "crew"), ("street", "crew"), ("brotherhood", "brotherhood"), ("front", "front"), ("force", "force"), ("defence", "force")):
+            if w in words:
                 return k
-    for w, k in (("club", "motorcycle club"), ("motorcycle", "motorcycle club"), ("wing", "armed wing"), ("crew", "crew"), ("street", "crew"), ("brotherhood", "brotherhood"), ("front", "front"), ("force", "force"), ("defence", "force")):
-        if w in words:
-            return k
-    return ""
-
-
-def parse(name: str) -> Parsed:
-    """A folded name taken apart."""
-    text = plain(name)
-    text = re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text)
-    text = re.sub(r"\s+[–—-]\s+organi[sz]ed crime\s*$", " ", text)
-    text = re.sub(r"\b([a-z])\.(?=[a-z]\b)", r"\1", text)  # m.c. as mc
-    which: list[str] = []
-    if m := re.search(r"(?:,\s*|\s)((?:(?:alt|bad|lower|new|old|port|saint|san|st|upper)[\s-])?[\w'’-]+(?:\s(?:bay|heights))?)\s+(\w+)\s*$", text):
-        if distance(m[2], "chapter", 1) <= 1:
-            which.append("at " + by_sound(re.sub(r"\W", "", m[1])))
-            text = text[: m.start()]
-    tokens = re.findall(r"[^\W_]+", text)
-    tokens = [t.translate(LEET) if re.search("[a-z]", t) and re.search("[0-9]", t) else t for t in tokens]
-    which += sorted(str(int(t)) for t in tokens if t.isdecimal())
-    tokens = [t for t in tokens if not t.isdecimal()]
-    kinds: list[str] = []
-    rest: list[str] = []
-    exact = {t for t in tokens if t in _KIND_WORDS or t in _SHORT}
-    # words still missing from a kind of several words whose other words are there
-    missing = {w for f in _BY_FORM if " " in f and exact & set(f.split()) for w in f.split()} - exact
-    for t in tokens:
-        if t in OTHERS:
-            which.append(t)
-        elif t in exact:
-            kinds += (_SHORT.get(t) or t).split()
-        elif near := [w for w in missing if distance(t, w, 1) <= 1 or _shortens(t, w)]:
-            kinds.append(min(near))
-        elif not exact and (kind := _kind_word(t)):
-            kinds.append(kind)
-        else:
-            rest.append(t)
-    # a short form, or a slip in a short word, counts as a kind only at either end and beside words that can be the name
-    for _ in range(3):
-        if len(rest) < 2 or kinds and _kind_of(kinds):
-            break
-        at = next((i for i in (len(rest) - 1, 0) if (_kind_short(rest[i]) or kinds and len(rest[i]) == 1) and rest[i] not in FILLERS), None)
-        if at is None:
-            break
-        kinds += (_kind_short(rest[at]) or "").split()
-        if len(rest[at]) == 1:
-            if kinds:
-                del rest[at]
-                continue
-            kinds = [rest[at]]
-        del rest[at]
-    if kinds and len(rest) > 1:  # initials and short forms of the kind's other words
-        beside = {w for f in (_kind_of(kinds), *KINDS.get(_kind_of(kinds), ())) for w in f.split()}
-        rest = [t for t in rest if len(t) > 1 and not any(len(t) > 2 and _shortens(t, w) for w in beside)] or rest
-    words = [t for t in rest if t not in FILLERS] or [t for t in rest]
-    words = [by_sound(t) for t in words]
-    kind = _kind_of(kinds)
-    if not kind and kinds and len(kinds[-1]) == 1:
-        kind = kinds[-1]  # an initial: any kind that begins so
-    return Parsed(tuple(words), kind, " ".join(sorted(which)))
+        return ""
+
+
+    def parse(self, name: str) -> Parsed:
+        """A folded name taken apart."""
+        text = plain(name)
+        text = re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", text)
+        text = re.sub(r"\s+[–—-]\s+organi[sz]ed crime\s*$", " ", text)
+        text = re.sub(r"\b([a-z])\.(?=[a-z]\b)", r"\1", text)  # m.c. as mc
+        which: list[str] = []
+        if m := re.search(r"(?:,\s*|\s)((?:(?:alt|bad|lower|new|old|port|saint|san|st|upper)[\s-])?[\w'’-]+(?:\s(?:bay|heights))?)\s+(\w+)\s*$", text):
+            if distance(m[2], "chapter", 1) <= 1:
+                which.append("at " + by_sound(re.sub(r"\W", "", m[1])))
+                text = text[: m.start()]
+        tokens = re.findall(r"[^\W_]+", text)
+        tokens = [t.translate(LEET) if re.search("[a-z]", t) and re.search("[0-9]", t) else t for t in tokens]
+        which += sorted(str(int(t)) for t in tokens if t.isdecimal())
+        tokens = [t for t in tokens if not t.isdecimal()]
+        kinds: list[str] = []
+        rest: list[str] = []
+        exact = {t for t in tokens if t in self.kind_words or t in self.short}
+        # words still missing from a kind of several words whose other words are there
+        missing = {w for f in self.by_form if " " in f and exact & set(f.split()) for w in f.split()} - exact
+        for t in tokens:
+            if t in self.others:
+                which.append(t)
+            elif t in exact:
+                kinds += (self.short.get(t) or t).split()
+            elif near := [w for w in missing if distance(t, w, 1) <= 1 or _shortens(t, w)]:
+                kinds.append(min(near))
+            elif not exact and (kind := self._once(self._kind_word, t)):
+                kinds.append(kind)
+            else:
+                rest.append(t)
+        # a short form, or a slip in a short word, counts as a kind only at either end and beside words that can be the name
+        for _ in range(3):
+            if len(rest) < 2 or kinds and self._kind_of(kinds):
+                break
+            at = next((i for i in (len(rest) - 1, 0) if (self._once(self._kind_short, rest[i]) or kinds and len(rest[i]) == 1) and rest[i] not in self.fillers), None)
+            if at is None:
+                break
+            kinds += (self._once(self._kind_short, rest[at]) or "").split()
+            if len(rest[at]) == 1:
+                if kinds:
+                    del rest[at]
+                    continue
+                kinds = [rest[at]]
+            del rest[at]
+        if kinds and len(rest) > 1:  # initials and short forms of the kind's other words
+            beside = {w for f in (self._kind_of(kinds), *self.kinds.get(self._kind_of(kinds), ())) for w in f.split()}
+            rest = [t for t in rest if len(t) > 1 and not any(len(t) > 2 and _shortens(t, w) for w in beside)] or rest
+        words = [t for t in rest if t not in self.fillers] or [t for t in rest]
+        words = [by_sound(t) for t in words]
+        kind = self._kind_of(kinds)
+        if not kind and kinds and len(kinds[-1]) == 1:
+            kind = kinds[-1]  # an initial: any kind that begins so
+        return Parsed(tuple(words), kind, " ".join(sorted(which)))
+
+    def initials(self, name: str) -> str:
+        """First letters of all words but articles, in upper case."""
+        return "".join(t[0] for t in re.findall(r"[^\W_]+", plain(name)) if t not in self.fillers).upper()
+
+
+DEFAULT = Lexicon()
+parse, initials = DEFAULT.parse, DEFAULT.initials
+
+
+def orders(words: tuple[str, ...] | list[str]) -> list[str]:
+    """The words in one piece: in every order of up to three, more of them as they stand and sorted."""
+    if len(words) > 3:
+        return sorted({"".join(words), "".join(sorted(words))})
+    return sorted({"".join(x) for x in permutations(words)})
 
 
 def cores(p: Parsed) -> list[str]:
-    """The own name in one piece, in every order of up to three words."""
-    if len(p.words) > 3:
-        return sorted({"".join(p.words), "".join(sorted(p.words))})
-    return sorted({"".join(x) for x in permutations(p.words)})
+    """The own name in one piece, in its orders; the first stands for all of them."""
+    found = orders(p.words)
+    own = "".join(sorted(p.words)) if len(p.words) > 3 else found[0]
+    return [own, *(c for c in found if c != own)]
+
+
+def rest(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
+    """The words of two names without those they have in common, repeated words one by one."""
+    left, right = list(a), list(b)
+    for w in a:
+        if w in right:
+            left.remove(w)
+            right.remove(w)
+    return left, right
 
 
 def same_kind(a: str, b: str) -> bool:
     """Equal, or one is missing or an initial of the other."""
     return a == b or not a or not b or (len(a) == 1 and b.startswith(a)) or (len(b) == 1 and a.startswith(b))
-
-
-def initials(name: str) -> str:
-    """First letters of all words but articles, in upper case."""
-    return "".join(t[0] for t in re.findall(r"[^\W_]+", plain(name)) if t not in FILLERS).upper()

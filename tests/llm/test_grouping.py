@@ -1,7 +1,7 @@
 import random
 
-from skeinwork.llm import grouping
 from skeinwork.llm.grouping import groups_found, low_diameter_groups, node_groups, shared_key_edges
+from skeinwork.operators.joins import hot_values, spread_join
 
 NODE = "node_id bigint, standard_name string, aliases array<string>, group_id string, key int"
 MATCH = "left_id bigint, right_id bigint, verdict string"
@@ -46,13 +46,20 @@ def test_odd_rows(spark):
     assert run(spark, [("b", "a")], "string") == {"a": "a", "b": "a"}
 
 
-def test_hot_vertices(spark):
+def test_every_level_by_decomposition(spark):
     rng = random.Random(5)
-    pairs = [(0, i) for i in range(1, 60)] + [(i, 100 + rng.randrange(40)) for i in range(60)]
-    both = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "v bigint, w bigint")
-    labels = spark.createDataFrame([(v, float(v % 7), v) for v in {x for p in pairs for x in p}], "v bigint, t double, c bigint")
-    plain, salted = (sorted(map(tuple, grouping._along(both, labels, hot).collect())) for hot in ([], [0, 3]))
-    assert plain == salted
+    pairs = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(60, 90)] + [(200, 201), (rng.randrange(60), 75)]
+    found = low_diameter_groups(spark.createDataFrame(pairs, "a bigint, b bigint"), base=0)
+    assert {r.id: r.group_id for r in found.collect()} == brute(pairs)
+
+
+def test_hot_keys(spark):
+    left = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(200)] + [(None, 1)], "k bigint, x bigint")
+    right = spark.createDataFrame([(k, str(k)) for k in range(5)], "k bigint, y string")
+    assert hot_values(left, "k", 200, least=50, share=4) == [0] and hot_values(left, "k", 200) == []
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, salted = (sorted(map(str, spread_join(left, right, "k", hot, how).collect())) for hot in ([], [0, 3]))
+        assert plain == salted
 
 
 def test_shared_keys(spark):

@@ -62,6 +62,18 @@ def test_rematch_with_initials(spark):
     assert len(groups(spark, [(r[0],) for r in far])[0]) == 2
 
 
+def test_frequent_initials(spark, monkeypatch):
+    from skeinwork.llm import resolution
+
+    monkeypatch.setattr(resolution, "_HOT", 1)
+    test_rematch_with_initials(spark)
+
+
+def test_many_words_in_any_order(spark):
+    rows = [("Tarokevi Mosulibe Nadri Kupa Velo Syndicate",), ("Velo Kupa Mosulibe Xadri Tarokevi Syndicate",), ("Velo Kupa Mosulibe Tarokevi Syndicate",)]
+    assert groups(spark, rows)[0] == [[rows[0][0].lower(), rows[1][0].lower()], [rows[2][0].lower()]]
+
+
 def test_small_initials_link_nothing(spark):
     rows = [("Tarokevi Mosu Syndicate", "tms", ["dsc"]), ("Tolabri Mika Society", "tms", ["dsc"])]
     assert len(groups(spark, rows)[0]) == 2
