@@ -1,8 +1,9 @@
 """Problem 3: map freely entered values to a canonical list, and report what is not on it.
 
 Values are looked at once each, however many rows hold them. The dictionary holds every wording of the list, in every
-order of its words, single and plural, and all strings that are left after one or two deletions (symmetric deletes); a
-value is looked up by its own deletions, so one equality join finds every wording within two edits of it. Candidates rank by a
+order of its words, single and plural, and keys that a wording shares with all within two edits of it (symmetric deletes); a
+value is looked up by its own keys, so one equality join finds every wording within two edits of it. The dictionary is made and counted by
+Spark: a small one is broadcast, a larger one is joined by a shuffle. Candidates rank by a
 weighted Damerau-Levenshtein distance, then by how often the canonical value itself occurs, then by the order of the list.
 """
 
@@ -10,23 +11,30 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from itertools import combinations, permutations
+from collections.abc import Iterator, Mapping
+from itertools import permutations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import is_absent
+from ..operators.joins import bounded, shuffled
+from ..scratch import Scratch
+from . import edits
 
 UNMATCHED = "unmatched"
-#: The list is read on the driver and its deletions are broadcast; a longer one is refused.
-MAX_LIST = 5_000
 #: Mappings of up to so many values are broadcast back to the rows; larger ones join by a salted shuffle.
 _BROADCAST_VALUES, _SALTS = 100_000, 32
+#: Wordings of up to so many words are held in every order; longer ones, and values, as they stand and in the order of the alphabet.
+_ORDERS = 4
 
-#: Words that say nothing about the type.
+#: Words that say nothing about the type of an organisation, for the query on types.
 NOISE = ("a", "alleged", "an", "criminal", "das", "de", "der", "die", "el", "ex", "former", "il", "la", "los", "s", "so called", "suspected", "the", "type")
-#: Words of other languages for words of the list.
+#: Words of other languages for words of the list of types, for the query on types.
 FOREIGN = {
     "banda": "gang", "bande": "gang", "cartello": "cartel", "cla": "clan", "cosca": "mafia", "faccao": "faction", "faccion": "faction",
     "famiglia": "family", "familia": "family", "fazione": "faction", "fraktion": "faction", "gangue": "gang", "kartell": "cartel",
@@ -74,32 +82,65 @@ def weighted(a: str, b: str) -> float:
     return d[n][m]
 
 
+_NEAR_KEYS = np.array([[_beside(chr(x), chr(y)) for y in range(128)] for x in range(128)])
+_BAND = 5
+
+
+def weighted_all(left: list[str], right: list[str]) -> np.ndarray:
+    """weighted() of many pairs together, exact up to 2.0; 9 where the tables leave a band of _BAND cells, which costs more."""
+    out = np.full(len(left), 9.0)
+    n, m = np.array([len(x) for x in left], dtype=np.int64), np.array([len(x) for x in right], dtype=np.int64)
+    sizes = np.maximum(n, m)
+    for width in np.unique(sizes[np.abs(n - m) < _BAND]) if len(left) else []:
+        pick = np.flatnonzero((sizes == width) & (np.abs(n - m) < _BAND))
+        a, b = (edits.codes([x[i] for i in pick], int(width), fill).T for x, fill in ((left, 0xFFFFFFFE), (right, 0xFFFFFFFF)))
+        far, before, result = np.full(len(pick), 9.0), {}, np.full(len(pick), 9.0)
+        row = {j: np.full(len(pick), 0.9 * j) for j in range(min(_BAND, int(width)) + 1)}
+        result[(n[pick] == 0) & (m[pick] == 0)] = 0.0
+        for j, v in row.items():
+            result[(n[pick] == 0) & (m[pick] == j)] = 0.9 * j
+        for i in range(1, int(width) + 1):
+            new = {}
+            for j in range(max(0, i - _BAND), min(int(width), i + _BAND) + 1):
+                if j == 0:
+                    new[0] = np.full(len(pick), 0.9 * i)
+                else:
+                    x, y = a[i - 1], b[j - 1]
+                    out_of = np.where(x == a[i - 2], 0.5, 0.9) if i > 1 else 0.9
+                    into = np.where(y == b[j - 2], 0.5, 0.9) if j > 1 else 0.9
+                    both = (x < 128) & (y < 128)
+                    other = np.where(x == y, 0.0, np.where(both & _NEAR_KEYS[np.minimum(x, 127), np.minimum(y, 127)], 0.7, 1.1))
+                    v = np.minimum(np.minimum(row.get(j, far) + out_of, new.get(j - 1, far) + into), row.get(j - 1, far) + other)
+                    if i > 1 and j > 1 and j - 2 in before:
+                        v = np.where((x == b[j - 2]) & (a[i - 2] == y) & (x != y), np.minimum(v, before[j - 2] + 0.8), v)
+                    new[j] = v
+                done = (n[pick] == i) & (m[pick] == j)
+                result[done] = new[j][done]
+            before, row = row, new
+        out[pick] = result
+    return out
+
+
 def allowed(size: int) -> float:
     """The largest weighted distance for a wording of so many letters."""
     return 0.0 if size <= 3 else 1.0 if size <= 5 else 2.0
 
 
-def deletions(text: str) -> set[str]:
-    """The text and what is left of it after one or two deletions, as many as its length allows."""
-    most = 0 if len(text) <= 2 else 1 if len(text) <= 5 else 2
-    return {"".join(c for i, c in enumerate(text) if i not in gone) for k in range(most + 1) for gone in combinations(range(len(text)), k)}
+def wordings(form: str) -> list[str]:
+    """A form as letters only, in the orders of its words, with none or one of them in the plural."""
+    words = re.findall(r"[a-z0-9]+", plain(form))
+    orders = permutations(words) if len(words) <= _ORDERS else [words, sorted(words)]
+    return sorted({"".join(w + "s" * (i == k) for i, w in enumerate(order)) for order in orders for k in range(-1, len(order))} - {""})
 
 
-class Dictionary:
-    """All wordings of a list of (type_id, type, known_forms)."""
+class Reader:
+    """Reads values as wordings: `words` are those of the list, `noise` those that say nothing, `foreign` wordings for words."""
 
-    def __init__(self, rows: list[Row]):
-        self.forms: dict[str, set[tuple[int, str]]] = {}
-        self.words: set[str] = set()
-        for r in rows:
-            for form in {r["type"], *(r["known_forms"] or [])} - {None}:
-                words = re.findall(r"[a-z0-9]+", plain(form))
-                self.words.update(words)
-                orders = permutations(words) if len(words) <= 4 else [words]
-                for order in orders:
-                    for k in range(-1, len(order)):  # none, or one word, in the plural
-                        text = "".join(w + "s" * (i == k) for i, w in enumerate(order))
-                        self.forms.setdefault(text, set()).add((r["type_id"], r["type"]))
+    def __init__(self, words: list[str], noise: tuple[str, ...], foreign: Mapping[str, str]):
+        self.words, self.noise, self.foreign = set(words), frozenset(noise), dict(foreign)
+        self.by_letter: dict[str, list[str]] = {}
+        for w in sorted(words, key=lambda w: (len(w), w)):
+            self.by_letter.setdefault(w[0], []).append(w)
 
     def readings(self, value: str) -> list[str]:
         """A value as letters only: as typed, without noise words, with short and foreign words written out."""
@@ -107,19 +148,19 @@ class Dictionary:
         out = []
         for text in (parted, value):
             words = re.findall(r"[^\W_]+", plain(text))
-            kept = [w for w in words if w not in NOISE]
+            kept = [w for w in words if w not in self.noise]
             full = [x for w in kept for x in self._whole(w, len(kept) > 1).split()]
-            out += ["".join(kept), "".join(full)]
-        return sorted({x for x in out if x})
+            out += [kept, full] + [sorted(x) for x in (kept, full) if len(x) > _ORDERS]
+        return sorted({"".join(x) for x in out if x})
 
     def _whole(self, word: str, beside: bool) -> str:
-        if word in FOREIGN:
-            return FOREIGN[word]
+        if word in self.foreign:
+            return self.foreign[word]
         if not beside or len(word) < 3 or word in self.words:
             return word
         single = word[:-1] if word.endswith("s") else word
-        longer = [w for w in self.words if len(w) > len(word) and (w.startswith(single) or single[0] == w[0] and not re.search("[aeiou]", single[1:]) and len(single) >= 3 and _in_order(single, w))]
-        return min(longer, key=lambda w: (len(w), w)) if longer else word
+        short = not re.search("[aeiou]", single[1:]) and len(single) >= 3
+        return next((w for w in self.by_letter.get(single[0], ()) if len(w) > len(word) and (w.startswith(single) or short and _in_order(single, w))), word)
 
 
 def _in_order(short: str, word: str) -> bool:
@@ -127,53 +168,72 @@ def _in_order(short: str, word: str) -> bool:
     return all(c in rest for c in short)
 
 
-def map_values(values: DataFrame, listed: DataFrame, value_col: str = "type") -> DataFrame:
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a text in the first column, a row for each of its keys: one edit from three letters on, two from six."""
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        owners, keys = edits.edit_keys(texts, np.where(size <= 2, 0, np.where(size <= 5, 1, 2)))
+        yield pa.RecordBatch.from_arrays([*batch.take(pa.array(owners)).columns, pa.array(keys.view(np.int64))], names=[*batch.schema.names, "k"])
+
+
+@F.pandas_udf(T.DoubleType())
+def _cost(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(weighted_all(a.tolist(), b.tolist()))
+
+
+def map_values(values: DataFrame, listed: DataFrame, value_col: str = "type", noise: tuple[str, ...] = (), foreign: Mapping[str, str] | None = None) -> DataFrame:
     """(value, n, canonical, wording, cost) for every distinct value that is not absent and not exactly on the list.
 
-    n is how many rows hold it. canonical is `unmatched`, wording and cost null, where no wording is near enough. Values
-    longer than any wording plus two letters, once noise is taken off, are unmatched without a look-up. Nulls, blanks and words for nothing give no row.
+    n is how many rows hold it. canonical is `unmatched`, wording and cost null, where no wording is near enough. noise are words that say
+    nothing, foreign maps words to words of the list; both are the caller's. Nulls, blanks and words for nothing give no row. Values
+    longer than any wording plus two letters, once noise is taken off, are unmatched without a look-up.
     An empty list leaves everything unmatched; types that are null, and null or repeated known forms, are passed over.
+    The list may have any size; only its distinct words reach the driver.
     """
     spark = values.sparkSession
-    rows = listed.select("type_id", "type", "known_forms").filter("type is not null").limit(MAX_LIST + 1).collect()
-    if len(rows) > MAX_LIST:
-        raise ValueError(f"the canonical list has more than {MAX_LIST} entries")
-    words = Dictionary(rows)
-    types = [r["type"] for r in rows]
-    longest = max(map(len, words.forms), default=0) + 2
-    sent = spark.sparkContext.broadcast(words)
+    scratch, tasks = Scratch(spark, "values"), spark.sparkContext.defaultParallelism
+    forms = F.explode(F.array_distinct(F.concat(F.array("type"), F.coalesce("known_forms", F.array().cast("array<string>")))))
+    entries = listed.filter("type is not null").select("type_id", "type", forms.alias("form")).filter("form is not null")
+
+    @F.pandas_udf("array<string>")
+    def as_wordings(v: pd.Series) -> pd.Series:
+        return v.map(wordings)
+
+    @F.pandas_udf("array<string>")
+    def as_words(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: re.findall(r"[a-z0-9]+", plain(x)))
+
+    held = scratch.save(entries.repartition(tasks, "form").select(F.explode(as_wordings("form")).alias("wording"), "type_id", F.col("type").alias("canonical")).distinct())
+    longest = (held.agg(F.max(F.length("wording"))).first()[0] or 0) + 2
+    listed_words = [r.w for r in entries.select(F.explode(as_words("form")).alias("w")).distinct().collect()]
+    sent = spark.sparkContext.broadcast(Reader(listed_words, noise, foreign or {}))
 
     @F.pandas_udf("array<string>")
     def readings(v: pd.Series) -> pd.Series:
         return v.map(lambda x: [r for r in sent.value.readings(x) if len(r) <= longest])
 
-    @F.pandas_udf("array<string>")
-    def left_over(v: pd.Series) -> pd.Series:
-        return v.map(lambda x: sorted(deletions(x)))
-
-    @F.pandas_udf("double")
-    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([weighted(x, y) for x, y in zip(a, b)])
-
-    counted = values.groupBy(F.col(value_col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    frequency = counted.select(F.col("value").alias("canonical"), F.col("n").alias("common"))
-    open_values = counted.filter(~is_absent(F.col("value")) & ~F.col("value").isin(types)) if types else counted.filter(~is_absent(F.col("value")))
-    entries = [(k, text, i, t) for text, owners in words.forms.items() for i, t in owners for k in deletions(text)]
-    entries = spark.createDataFrame(entries or [("", "", 0, "")], "k string, wording string, type_id int, canonical string").filter("canonical <> ''")
-    read = open_values.select("value", F.explode(readings("value")).alias("reading"))
-    near = read.select("value", "reading", F.explode(left_over("reading")).alias("k")).join(F.broadcast(entries), "k")  # MAX_LIST bounds it
-    costs = near.select("value", "reading", "wording", "type_id", "canonical").distinct().withColumn("cost", F.round(cost("reading", "wording"), 3))
+    counted = scratch.save(values.groupBy(F.col(value_col).alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    types = listed.filter("type is not null").select(F.col("type").alias("value")).distinct()
+    # how often the canonical values themselves occur: a row an entry of the list
+    common = types.join(shuffled(counted), "value", "left").select(F.col("value").alias("canonical"), F.coalesce("n", F.lit(0)).alias("common"))
+    keys = scratch.save(held.join(shuffled(common), "canonical").select("wording", "type_id", "canonical", "common").mapInArrow(_keyed, "wording string, type_id int, canonical string, common bigint, k bigint"))
+    open_values = counted.filter(~is_absent(F.col("value"))).join(bounded(types), "value", "left_anti")
+    # an explicit number of tasks: few and light rows would be put into one
+    read = open_values.repartition(tasks, "value").select(F.explode(readings("value")).alias("reading"), "value")
+    near = read.mapInArrow(_keyed, "reading string, value string, k bigint").join(bounded(keys), "k")
+    costs = near.select("value", "reading", "wording", "type_id", "canonical", "common").distinct().repartition(tasks, "value").withColumn("cost", F.round(_cost("reading", "wording"), 3))
     size = F.length("wording")
-    fits = costs.filter(F.col("cost") <= F.when(size <= 3, 0.0).when(size <= 5, 1.0).otherwise(2.0)).join(frequency, "canonical", "left")
-    best = fits.groupBy("value").agg(F.min(F.struct("cost", (-F.coalesce("common", F.lit(0))).alias("rare"), "type_id", "canonical", "wording")).alias("b"))
-    return open_values.join(best, "value", "left").select("value", "n", F.coalesce("b.canonical", F.lit(UNMATCHED)).alias("canonical"), F.col("b.wording").alias("wording"), F.col("b.cost").alias("cost"))
+    fits = costs.filter(F.col("cost") <= F.when(size <= 3, 0.0).when(size <= 5, 1.0).otherwise(2.0))
+    best = fits.groupBy("value").agg(F.min(F.struct("cost", (-F.col("common")).alias("rare"), "type_id", "canonical", "wording")).alias("b"))
+    return open_values.join(shuffled(best), "value", "left").select("value", "n", F.coalesce("b.canonical", F.lit(UNMATCHED)).alias("canonical"), F.col("b.wording").alias("wording"), F.col("b.cost").alias("cost"))
 
 
 def attach(rows: DataFrame, mapping: DataFrame, id_col: str, value_col: str, order_col: str) -> DataFrame:
     """(id, canonical_type) for every distinct id whose value is in the mapping; the latest row of an id decides."""
     latest = rows.select(id_col, value_col, order_col).filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max_by(value_col, F.struct(order_col, value_col)).alias("value"))
     pairs = mapping.select("value", F.col("canonical").alias("canonical_type"))
-    if pairs.count() <= _BROADCAST_VALUES:
+    if pairs.limit(_BROADCAST_VALUES + 1).count() <= _BROADCAST_VALUES:
         return latest.join(F.broadcast(pairs), "value").select(id_col, "canonical_type")
     copies = pairs.withColumn("salt", F.explode(F.expr(f"sequence(0L, {_SALTS - 1}L)")))
-    return latest.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(_SALTS))).join(copies, ["value", "salt"]).select(id_col, "canonical_type")
+    return latest.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(_SALTS))).join(shuffled(copies), ["value", "salt"]).select(id_col, "canonical_type")

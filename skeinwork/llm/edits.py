@@ -22,7 +22,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _codes(texts: list[str], width: int, fill: int) -> np.ndarray:
+def codes(texts: list[str], width: int, fill: int) -> np.ndarray:
     flat = np.frombuffer("".join(t.ljust(width, "\0") for t in texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(texts), width)
     return np.where(np.arange(width) < np.array([len(t) for t in texts])[:, None], flat, _U(fill)).astype(np.uint32)
 
@@ -43,7 +43,7 @@ def osa(left: list[str], right: list[str], most: int) -> np.ndarray:
 
 
 def _osa_of_a_size(left: list[str], right: list[str], n: np.ndarray, m: np.ndarray, width: int, most: int) -> np.ndarray:
-    a, b = _codes(left, width, 0xFFFFFFFE).T, _codes(right, width, 0xFFFFFFFF).T
+    a, b = codes(left, width, 0xFFFFFFFE).T, codes(right, width, 0xFFFFFFFF).T
     over = np.int32(most + 1)
     far = np.full(len(left), over)
     ends = np.minimum(m, over).astype(np.int32)
@@ -75,12 +75,12 @@ def _gone(size: int, count: int) -> np.ndarray:
     return np.array(found, dtype=np.int64).reshape(len(found), count)
 
 
-def _sums(codes: np.ndarray) -> np.ndarray:
+def _sums(points: np.ndarray) -> np.ndarray:
     """Prefix sums of a polynomial modulo 2**64, a row a text."""
-    power = np.full(codes.shape[1] + 1, _BASE, dtype=_U)
+    power = np.full(points.shape[1] + 1, _BASE, dtype=_U)
     power[0] = 1
-    sums = np.zeros((len(codes), codes.shape[1] + 1), dtype=_U)
-    np.cumsum(mix(codes.astype(_U) + _U(0x51)) * np.multiply.accumulate(power)[:-1], axis=1, out=sums[:, 1:])
+    sums = np.zeros((len(points), points.shape[1] + 1), dtype=_U)
+    np.cumsum(mix(points.astype(_U) + _U(0x51)) * np.multiply.accumulate(power)[:-1], axis=1, out=sums[:, 1:])
     return sums
 
 
@@ -95,7 +95,7 @@ def edit_keys(texts: list[str], most: np.ndarray) -> tuple[np.ndarray, np.ndarra
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     for size, limit in set(zip(sizes.tolist(), most.tolist())):
         at = np.flatnonzero((sizes == size) & (most == limit))
-        sums = _sums(_codes([texts[i] for i in at], size, 0)) if size else np.zeros((len(at), 1), dtype=_U)
+        sums = _sums(codes([texts[i] for i in at], size, 0)) if size else np.zeros((len(at), 1), dtype=_U)
         top = DELETION_LETTERS[limit]
         found = []
         if size <= top:

@@ -1,17 +1,19 @@
 """Problem 6: evaluation texts that leak into training texts, by latent semantic retrieval.
 
 The words of the items are the vocabulary; every document becomes one array of word numbers, -1 for other words, written
-once to the shared folder. TF-IDF weights come from counts over all passages of all documents. A randomised SVD gives
-the latent space: one pass multiplies the passage matrix, and its transpose, with a random test matrix, partition by
-partition, and the small sums are solved on the driver (the Nystroem form of the method), so no factor of the size
+once to the shared folder, however many items there are. TF-IDF weights come from counts over all passages of all documents. A
+randomised SVD gives the latent space: one pass multiplies the passage matrix, and its transpose, with a random test matrix,
+task by task, and the sums are solved on the driver (the Nystroem form of the method), so no factor of the size
 of the corpus ever exists.
 
 Candidates come from cosines in that space. For exact leaks the passages are windows of run - stride + 1 words at
 every stride-th word: any run of `run` shared words covers one of them in full, and equal windows have cosine 1 in any
 latent space, so nothing is missed whatever the rank. A passage with a word that no item has can't reach cosine 1, as its
-norm is larger, and is passed over before the product. Candidates are then extended word by word. For paraphrases
-longer passages are compared with whole items at a lower cosine, and kept by the longest common subsequence and by how many of
-the item's telling words (its answers: names and numbers, the rarer half) they hold.
+norm is larger, and is passed over. The item windows are kept in the cells of a grid over some directions of the space, in all cells
+that a vector of the least cosine could fall into, so a look-up gives every candidate without a product of all with all. Candidates must have
+a common subsequence with the item around their place of as many words as the run, and are then followed word by word; the share of the
+item's telling words (its answers: names and numbers, the rarer half) is told with them. For paraphrases
+longer passages are compared with whole items at a lower cosine, and kept by the longest common subsequence and the telling words.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -30,8 +32,12 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 
 _WORD = re.compile(r"[^\W_]+")
-#: Items are handled in blocks of about so many, which bounds vocabulary, latent matrix and broadcasts.
-ITEM_BLOCK = 2_000
+#: Items are searched for in blocks of about so many words, which bounds what a task holds of them.
+BLOCK_WORDS = 500_000
+#: Least cosine of a candidate window, directions of the grid and the width of its cells.
+NEAR, DIRECTIONS, CELL = 0.9999, 6, 0.1
+#: Words of the latent matrix that are summed together.
+_ROWS = 1_024
 #: Rank of the latent space and columns added to the test matrix.
 RANK, OVERSAMPLE = 40, 8
 #: Words in a passage of the matrix that is decomposed.
@@ -48,20 +54,19 @@ def words(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of items as arrays, small enough to send to every task."""
+    """A block of items as arrays of word numbers, small enough to send to every task."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int, str | None]], vocabulary: dict[str, int]):
         texts = [(i, words(t)) for i, t in rows]
         texts = [(i, w) for i, w in texts if w]
-        self.vocabulary = {w: n for n, w in enumerate(dict.fromkeys(w for _, t in texts for w in t))}
         self.ids = np.array([i for i, _ in texts], dtype=np.int64)
-        self.words = [np.array([self.vocabulary[w] for w in t], dtype=np.int32) for _, t in texts]
+        self.words = [np.array([vocabulary[w] for w in t], dtype=np.int32) for _, t in texts]
 
     def windows(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """(item index, first word) of every window of `size` words of the items of at least `least` words."""
-        found = [(k, p) for k, w in enumerate(self.words) if len(w) >= least for p in range(len(w) - size + 1)]
-        a = np.array(found, dtype=np.int64).reshape(-1, 2)
-        return a[:, 0], a[:, 1]
+        counts = np.array([len(w) - size + 1 if len(w) >= least else 0 for w in self.words], dtype=np.int64)
+        item = np.repeat(np.arange(len(counts)), counts)
+        return item, np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def encode(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
@@ -101,6 +106,11 @@ def _passages(ids: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray,
     return passage[known], ids[known]
 
 
+def _gathered(encoded: DataFrame) -> DataFrame:
+    """The same rows in no more tasks than run together, so that what every task sums up stays few, however many files there are."""
+    return encoded.coalesce(max(1, 2 * encoded.sparkSession.sparkContext.defaultParallelism))
+
+
 def passage_counts(encoded: DataFrame, n_words: int, size: int) -> tuple[np.ndarray, int]:
     """In how many passages of all texts each word of the vocabulary stands, and how many passages there are."""
 
@@ -115,7 +125,7 @@ def passage_counts(encoded: DataFrame, n_words: int, size: int) -> tuple[np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.append(df[at[:-1]], n))], names=["word", "n"])
 
     counts = np.zeros(n_words + 1, dtype=np.int64)
-    for r in encoded.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():  # one row a word
+    for r in _gathered(encoded).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():  # one row a word
         counts[r.word] = r.n  # -1 is the last
     return counts[:-1], int(counts[-1])
 
@@ -145,20 +155,25 @@ def right_factor(encoded: DataFrame, idf: np.ndarray, size: int, rank: int, over
                 words_here, first = np.unique(w[order], return_index=True)
                 total[words_here] += np.add.reduceat(y[row[order]], first, axis=0)
         total *= weight[:, None]
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+        for at in range(0, n_words, _ROWS):
+            if total[at : at + _ROWS].any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total[at : at + _ROWS].tobytes()], pa.binary())], names=["at", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((n_words, width), dtype=np.float64)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in batch.column(0).to_pylist():
-                total += np.frombuffer(part).reshape(n_words, width)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-    # one matrix of n_words x width a partition, summed in a tree: 16 matrices at most reach the driver, one after the other
-    parts = encoded.mapInArrow(run, "part binary").repartition(16).mapInArrow(add, "part binary")
+            for at, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = np.frombuffer(part)
+                sums[at] = sums[at] + x if at in sums else x
+        for at, x in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["at", "part"])
+
+    # every task sends its sums in blocks of words; a block is added up in one task, and the whole is one matrix of n_words x width
+    parts = _gathered(encoded).mapInArrow(run, "at bigint, part binary").repartition(-(-n_words // _ROWS), "at").mapInArrow(add, "at bigint, part binary")
     product = np.zeros((n_words, width))
     for r in parts.toLocalIterator():
-        product += np.frombuffer(r.part).reshape(n_words, width)
+        rows = np.frombuffer(r.part).reshape(-1, width)
+        product[r.at : r.at + len(rows)] = rows
     core = test.T.astype(np.float64) @ product
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > max(values.max(), 0) * 1e-10
@@ -173,64 +188,111 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def _exact_search(items: Items, space: np.ndarray, run_words: int, stride: int):
-    """(doc_id, item_id, run): the longest run of equal words, where it is at least run_words."""
+class Grid:
+    """The unit vectors of bags of words in cells: `near` gives, for other vectors, all bags of at least a cosine, and few besides."""
+
+    def __init__(self, vectors: np.ndarray, cosine: float = NEAR, directions: int = DIRECTIONS, cell: float = CELL):
+        lines = np.random.default_rng(11).standard_normal((vectors.shape[1], directions))
+        self.lines = (lines / np.linalg.norm(lines, axis=0)).astype(np.float32)
+        self.cell, self.odd = cell, np.random.default_rng(12).integers(1, 2**62, directions, dtype=np.int64) * 2 + 1
+        # two unit vectors of that cosine are so far apart, on any line at most
+        far = math.sqrt(2 - 2 * cosine) + 1e-5
+        at = vectors @ self.lines
+        low, high = np.floor((at - far) / cell).astype(np.int64), np.floor((at + far) / cell).astype(np.int64)
+        bag, cells = np.arange(len(vectors)), low
+        for d in range(directions):
+            two = np.flatnonzero(high[bag, d] > low[bag, d])
+            more = cells[two].copy()
+            more[:, d] += 1
+            bag, cells = np.concatenate((bag, bag[two])), np.concatenate((cells, more))
+        keys = self._keys(cells)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.bags = keys[order], bag[order].astype(np.int32)
+
+    def _keys(self, cells: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (cells * self.odd).sum(axis=1)
+
+    def near(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which vector, which bag) of all that share a cell."""
+        keys = self._keys(np.floor((vectors @ self.lines) / self.cell).astype(np.int64))
+        first, last = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+        return _expand(first, last - first, self.bags)
+
+
+def _expand(first: np.ndarray, n: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) for the n[row] values from first[row] on."""
+    rows = np.repeat(np.arange(len(n)), n)
+    return rows, values[np.repeat(first, n) + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)]
+
+
+def _exact_search(items: Items, space: np.ndarray, idf: np.ndarray, run_words: int, stride: int):
+    """(doc_id, item_id, run, lcs, answer_share) of passages with a run of equal words of at least run_words."""
     size = run_words - stride + 1
     item, at = items.windows(size, run_words)
     pad = run_words
-    flat = np.concatenate([np.concatenate((w, np.full(pad, -2, dtype=np.int32))) for w in items.words] or [np.empty(0, np.int32)])
-    begin = np.cumsum([0] + [len(w) + pad for w in items.words])[:-1]
-    flat = np.concatenate((np.full(pad, -2, dtype=np.int32), flat))
-    where = begin[item] + at + pad if len(item) else item
-    shape = where[:, None] + np.arange(size)
-    # equal windows of different items have one vector: the product is over the distinct ones
-    bags, inverse = np.unique(flat[shape], axis=0, return_inverse=True) if len(where) else (np.empty((0, size), np.int32), where)
+    flat = np.concatenate([np.full(pad, -2, dtype=np.int32), *(np.concatenate((w, np.full(pad, -2, dtype=np.int32))) for w in items.words)])
+    begin = pad + np.cumsum([0] + [len(w) + pad for w in items.words])[:-1]
+    where = begin[item] + at if len(item) else item
+    # equal windows of different items have one vector: the distinct ones are looked up
+    bags, inverse = np.unique(flat[where[:, None] + np.arange(size)], axis=0, return_inverse=True) if len(where) else (np.empty((0, size), np.int32), where)
     by_bag = np.argsort(inverse, kind="stable")
     bag_end = np.cumsum(np.bincount(inverse, minlength=len(bags)))
-    queries = _unit(space[bags].sum(axis=1)).T if len(bags) else None
+    bag_begin = bag_end - np.bincount(inverse, minlength=len(bags))
+    grid = Grid(_unit(space[bags].sum(axis=1))) if len(bags) else None
     lengths = np.array([len(w) for w in items.words])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places: dict[int, tuple[dict[int, int], set[int]]] = {}
         for batch in batches:
             doc, ids, ends = _flat(batch)
             starts = np.concatenate(([0], ends[:-1]))
-            out = []
-            if queries is not None and len(ids) >= size:
+            out: list[tuple[int, int, int, int, float]] = []
+            if grid is not None and len(ids) >= size:
                 known = np.concatenate(([0], np.cumsum(ids >= 0)))
                 owner = np.repeat(np.arange(len(doc)), ends - starts)
                 p = np.arange(len(ids) - size + 1)
                 p = p[((p - starts[owner[p]]) % stride == 0) & (p + size <= ends[owner[p]])]
                 p = p[known[p + size] - known[p] == size]  # else the norm keeps the cosine below 1
-                for k in range(0, len(p), 1024):
-                    here = p[k : k + 1024]
+                for k in range(0, len(p), 8192):
+                    here = p[k : k + 8192]
                     latent = _unit(space[ids[here[:, None] + np.arange(size)]].sum(axis=1))
-                    a, b = np.nonzero(latent @ queries > 0.9999)
+                    a, bag = grid.near(latent)
+                    close = (latent[a] * _unit(space[bags[bag]].sum(axis=1))).sum(axis=1) > NEAR
                     # a bag stands for all the places of items where it is
-                    n = bag_end[b] - np.concatenate(([0], bag_end))[b]
-                    a, q = np.repeat(here[a], n), by_bag[np.repeat(bag_end[b] - n, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))]
-                    x = where[q]
-                    same = (ids[a[:, None] + np.arange(size)] == flat[x[:, None] + np.arange(size)]).all(axis=1)
-                    a, q, x = a[same], q[same], x[same]
-                    length = np.full(len(a), size)
-                    d = owner[a]
-                    for step, edge in ((-1, -1), (1, size)):
-                        live, reach = np.arange(len(a)), edge
-                        while len(live):
-                            t = a[live] + reach
-                            inside = (t >= starts[d[live]]) & (t < ends[d[live]])
-                            live, t = live[inside], t[inside]
-                            equal = ids[t] == flat[x[live] + reach]
-                            live = live[equal]
-                            length[live] += 1
-                            reach += step
-                    enough = length >= run_words
-                    out.append(np.stack((doc[d[enough]], items.ids[item[q[enough]]], np.minimum(length, lengths[item[q]])[enough]), axis=1))
-            rows = np.concatenate(out) if out else np.empty((0, 3), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, c].astype(np.int64)) for c in range(3)], names=["doc_id", "item_id", "run"])
+                    row, q = _expand(bag_begin[bag[close]], (bag_end - bag_begin)[bag[close]], by_bag)
+                    a = here[a[close][row]]
+                    # the windows of one document and item on one line are one candidate
+                    lines = np.unique(np.stack((owner[a], item[q], a - at[q]), axis=1), axis=0) if len(a) else np.empty((0, 3), np.int64)
+                    for d, i, line in lines.tolist():
+                        own = items.words[i]
+                        if i not in places:
+                            places[i] = _places(own), _telling(own, idf)
+                        bits, tells = places[i]
+                        left, right = max(line, int(starts[d])), min(line + int(lengths[i]), int(ends[d]))
+                        passage = ids[left:right]
+                        lcs = _subsequence(bits, int(lengths[i]), passage.tolist())
+                        if lcs < run_words:
+                            continue
+                        # the exact check: the longest run of equal words along the line
+                        equal = np.flatnonzero(np.concatenate(([True], passage != own[left - line : right - line], [True])))
+                        longest = int(np.diff(equal).max()) - 1
+                        if longest >= run_words:
+                            share = len(tells & set(passage.tolist())) / max(1, len(tells))
+                            out.append((int(doc[d]), int(items.ids[i]), longest, lcs, round(share, 4)))
+            cols = list(zip(*out)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "item_id", "run", "lcs", "answer_share"])
 
     return run
 
 
+def _telling(item: np.ndarray, idf: np.ndarray) -> set[int]:
+    """The rarer half of the distinct words of an item."""
+    own = np.unique(item)
+    return set(own[idf[own] >= np.median(idf[own])].tolist())
+
+
 def _subsequence(places: dict[int, int], length: int, passage: list[int]) -> int:
     """Length of the longest common subsequence of an item and a passage, the places of the item's words given as bits."""
     full = (1 << length) - 1
@@ -325,32 +387,54 @@ def _paraphrase_search(items: Items, space: np.ndarray, idf: np.ndarray, cosine:
     return run
 
 
-def _blocks(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str):
-    """For each block of items: the items, the encoded documents, word weights, and the latent space weighted by them."""
-    scratch = Scratch(docs.sparkSession, "leaks")
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text")).filter("doc_id is not null")
-    evals = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null")
-    n = max(1, -(-evals.count() // ITEM_BLOCK))
-    for k in range(n):
-        block = evals if n == 1 else evals.filter(F.pmod(F.xxhash64("i"), F.lit(n)) == k)
-        chosen = Items(sorted(map(tuple, block.collect())))  # about ITEM_BLOCK rows
-        encoded = scratch.save(encode(texts, chosen.vocabulary))
-        counts, passages = passage_counts(encoded, len(chosen.vocabulary), MATRIX_PASSAGE)
-        idf = np.log((1.0 + passages) / (1.0 + counts)) + 1.0
-        space = right_factor(encoded, idf, MATRIX_PASSAGE, RANK, OVERSAMPLE) * idf[:, None] if len(idf) else np.zeros((0, 1))
-        yield chosen, encoded, idf, space.astype(np.float32)
+class _Latent:
+    """Documents encoded once for all items, the word weights and the latent space, and the items in blocks."""
+
+    def __init__(self, docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str):
+        scratch = Scratch(docs.sparkSession, "leaks")
+        texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(doc_text).alias("text")).filter("doc_id is not null")
+        self.items = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null")
+
+        def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: dict[str, int] = {}
+                for t in batch.column(1).to_pylist():
+                    for w in words(t):
+                        seen[w] = seen.get(w, 0) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+        # the words of the items, not of the corpus: one row a word of the languages they are in
+        found = self.items.mapInArrow(tell, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
+        self.vocabulary = {w: k for k, w in enumerate(sorted(r.word for r in found))}
+        self.n_blocks = max(1, -(-sum(r.n for r in found) // BLOCK_WORDS))
+        self.encoded = scratch.save(encode(texts, self.vocabulary))
+        counts, passages = passage_counts(self.encoded, len(self.vocabulary), MATRIX_PASSAGE)
+        self.idf = np.log((1.0 + passages) / (1.0 + counts)) + 1.0
+        space = right_factor(self.encoded, self.idf, MATRIX_PASSAGE, RANK, OVERSAMPLE) * self.idf[:, None] if len(self.idf) else np.zeros((0, 1))
+        self.space = space.astype(np.float32)
+
+    def search(self, found: Callable[[Items], Callable], kind: str) -> DataFrame:
+        """What a search finds of each block of items, in one frame."""
+        parts = []
+        for k in range(self.n_blocks):
+            block = self.items if self.n_blocks == 1 else self.items.filter(F.pmod(F.xxhash64("i"), F.lit(self.n_blocks)) == k)
+            parts.append(self.encoded.mapInArrow(found(Items(sorted(map(tuple, block.collect())), self.vocabulary)), kind))  # about BLOCK_WORDS words
+        return reduce(DataFrame.unionByName, parts)
 
 
 def exact_leaks(docs: DataFrame, items: DataFrame, run_words: int = 12, stride: int = 6, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, shared_words): documents that hold at least run_words consecutive words of an item.
+    """(doc_id, item_id, shared_words, common_words, answer_share): documents that hold at least run_words consecutive words of an item.
 
-    shared_words is the longest such run. Null and empty texts and null ids give no row, nor do items of fewer words;
+    shared_words is the longest such run, common_words the longest common subsequence of the item and the passage where it would
+    stand, answer_share how many of its telling words are there. Null and empty texts and null ids give no row, nor do items of fewer words;
     repeated rows count once, and rows with one id but other texts are looked at each. An empty table gives no row.
     """
     if not 0 < stride < run_words:
         raise ValueError("stride must be above 0 and below run_words")
-    found = [e.mapInArrow(_exact_search(i, s, run_words, stride), "doc_id bigint, item_id bigint, run bigint") for i, e, _, s in _blocks(docs, items, doc_id, doc_text, item_id, item_text)]
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.max("run").alias("shared_words"))
+    t = _Latent(docs, items, doc_id, doc_text, item_id, item_text)
+    found = t.search(lambda i: _exact_search(i, t.space, t.idf, run_words, stride), "doc_id bigint, item_id bigint, run bigint, lcs bigint, answer_share double")
+    best = F.max(F.struct(F.col("run").alias("shared_words"), F.col("lcs").alias("common_words"), "answer_share")).alias("b")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
 
 
 def paraphrases(docs: DataFrame, items: DataFrame, cosine: float = 0.8, common: float = 0.5, answers: float = 0.5, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -360,6 +444,7 @@ def paraphrases(docs: DataFrame, items: DataFrame, cosine: float = 0.8, common:
     document and item is kept. Nulls, empty texts, repeated rows and empty tables as in exact_leaks.
     """
     kind = "doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_share double"
-    found = [e.mapInArrow(_paraphrase_search(i, s, w, cosine, common, answers), kind) for i, e, w, s in _blocks(docs, items, doc_id, doc_text, item_id, item_text)]
+    t = _Latent(docs, items, doc_id, doc_text, item_id, item_text)
+    found = t.search(lambda i: _paraphrase_search(i, t.space, t.idf, cosine, common, answers), kind)
     best = F.max(F.struct("lcs_share", "cosine", "answer_share")).alias("b")
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.cosine", "b.lcs_share", "b.answer_share")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.cosine", "b.lcs_share", "b.answer_share")

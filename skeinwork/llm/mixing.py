@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 
-#: Rank file and pattern of the tokenizer; the pattern is the fixed value that belongs to the vocabulary.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Pattern of the tokenizer: the fixed value that belongs to the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Expected copies are whole multiples of 1/_UNIT, so sums are exact.
 _UNIT = 1 << 20
-_BUCKETS = 1024
+#: Buckets of the line of a source, at least, and records that one may hold on average.
+_BUCKETS, _BUCKET_ROWS = 1024, 100_000
 
 
-def token_counts(docs: DataFrame, id_col: str, source_col: str, text_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(docs: DataFrame, id_col: str, source_col: str, text_col: str, vocabulary: str) -> DataFrame:
     """(doc_id, source, n_tokens). The rank file is read here and sent to the tasks, a megabyte; null text has 0 tokens."""
     raw = docs.sparkSession.sparkContext.broadcast(open(vocabulary, "rb").read())
 
@@ -51,13 +51,13 @@ class Mixture:
     Rows of docs with a null id, and sources without a target, are part of the total and never come out. A source named
     twice in targets has the sum of its shares and the larger limit; a null share counts as 0, a null limit as 1. Repeated
     ids are separate records. A source without documents, or of empty texts only, gives nothing and cannot reach a positive share.
-    Empty tables give an empty mixture. The same seed gives the same mixture.
+    Empty tables give an empty mixture. The same seed gives the same mixture. vocabulary is the path of the tokenizer's rank file.
     """
 
-    def __init__(self, docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 42, vocabulary: str = VOCABULARY, buckets: int = _BUCKETS):
-        self.seed, self.buckets = seed, buckets
+    def __init__(self, docs: DataFrame, targets: DataFrame, vocabulary: str, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 42, buckets: int | None = None):
         scratch = Scratch(docs.sparkSession, "mixture")
         self.counts = scratch.save(token_counts(docs, id_col, source_col, text_col, vocabulary))
+        self.seed, self.buckets = seed, buckets or max(_BUCKETS, self.counts.count() // _BUCKET_ROWS)
         goal = (
             targets.select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
             .filter("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
@@ -110,8 +110,3 @@ class Mixture:
             F.round(F.try_divide(F.col("tokens"), F.sum("tokens").over(Window.partitionBy())), 6).alias("actual_share"),  # as many rows as sources in targets
             F.round(F.try_divide(F.col("tokens"), F.col("total")), 6).alias("share_of_total"),
         )
-
-
-def unreachable(report: DataFrame) -> DataFrame:
-    """The sources that cannot reach their share even at max_repeats copies of each record."""
-    return report.filter(~F.col("reachable")).select("source")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 from . import canonical, grouping, leakage, mixing, resolution, spans, splitting, survivors
 
+#: Rank file of a public tokenizer, where the session names none in spark.skeinwork.vocabulary.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -56,7 +59,8 @@ QUERIES |= {f.__name__: f for f in (p8_found, p8_shares)}
 
 
 def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
-    return mixing.Mixture(_table(spark, d, "documents"), _table(spark, d, "source_targets"))
+    vocabulary = spark.conf.get("spark.skeinwork.vocabulary", VOCABULARY)
+    return mixing.Mixture(_table(spark, d, "documents"), _table(spark, d, "source_targets"), vocabulary)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -101,7 +105,7 @@ QUERIES |= {f.__name__: f for f in (p5_found, p5_groups)}
 
 
 def p3_mapping(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.map_values(_table(spark, d, "extracted"), _table(spark, d, "type_list"))
+    return canonical.map_values(_table(spark, d, "extracted"), _table(spark, d, "type_list"), noise=canonical.NOISE, foreign=canonical.FOREIGN)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -23,7 +23,8 @@ WINDOW = 64
 _U = np.uint64
 _MIX = (_U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
 _BASE = _U(0x9E3779B97F4A7C15)
-_BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 2**64))
+#: Bases of the polynomials by seed, and their inverses.
+_BASES = {1: 0x9E3779B97F4A7C15, 2: 0xC2B2AE3D27D4EB4F, 3: 0x165667B19E3779F9}
 
 
 def _cap(level: int) -> int:
@@ -48,9 +49,14 @@ def reach() -> int:
     return lost_at_an_end() + WINDOW
 
 
+def run_size(stretch: int) -> int:
+    """Characters that a run may fill to lie whole inside of every stretch of that length, where symbols are its own."""
+    return stretch - reach() - lost_at_an_end()
+
+
 def shortest_stretch() -> int:
-    """Stretches must be as long as this to be sure of a common sampling point."""
-    return 2 * lost_at_an_end() + WINDOW + CAP
+    """Stretches must be as long as this to be sure of a common run of two symbols or more."""
+    return reach() + lost_at_an_end() + 3 * CAP
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,17 +106,35 @@ def symbols(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return name, pos
 
 
+def run_names(codes: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, name) of the last, highest symbols: runs of symbols from every sampling point on that fill `size` characters.
+
+    A run ends with the last symbol that ends within `size` characters of the point, so it has more than size - CAP of them. Equal
+    stretches give equal runs, whatever is around them, from lost_at_an_end() characters inside on.
+    """
+    name, pos = symbols(codes, starts)
+    at = _least(name, pos, len(codes))
+    at = at[pos[at] + size <= len(codes)]
+    end = np.searchsorted(np.append(pos, len(codes)), pos[at] + size, side="right") - 1
+    return pos[at].astype(np.int64), WindowHash(name, 3)(at, end - at)
+
+
 def sampling_points(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Symbol starts whose name is the least of some window of WINDOW characters."""
     name, pos = symbols(codes, starts)
-    if len(codes) < WINDOW:
-        return pos.astype(np.int64)
+    return pos[_least(name, pos, len(codes))].astype(np.int64)
+
+
+def _least(name: np.ndarray, pos: np.ndarray, length: int) -> np.ndarray:
+    """Which symbols have the least name of some window of WINDOW characters."""
+    if length < WINDOW:
+        return np.arange(len(pos))
     top = np.iinfo(np.uint32).max
-    value = np.full(len(codes) + WINDOW - 1, top, dtype=np.uint32)  # the last windows reach past the end
+    value = np.full(length + WINDOW - 1, top, dtype=np.uint32)  # the last windows reach past the end
     value[pos] = np.minimum((name >> _U(32)).astype(np.uint32), top - 1)
     least = _slide(value, np.minimum)  # least[x] is that of the window from x
     most = _slide(np.concatenate((np.zeros(WINDOW - 1, dtype=np.uint32), least)), np.maximum)  # over all windows that hold p
-    return pos[most[pos] == value[pos]].astype(np.int64)
+    return np.flatnonzero(most[pos] == value[pos])
 
 
 def _slide(x: np.ndarray, op) -> np.ndarray:
@@ -122,16 +146,16 @@ def _slide(x: np.ndarray, op) -> np.ndarray:
 
 
 class WindowHash:
-    """64-bit names of any window of one array of code points, by prefix sums of a polynomial modulo 2**64."""
+    """64-bit names of any window of one array of code points or symbols, by prefix sums of a polynomial modulo 2**64; a seed has its own base."""
 
     def __init__(self, codes: np.ndarray, seed: int = 1):
-        power = np.full(len(codes) + 1, _BASE, dtype=_U)
+        power = np.full(len(codes) + 1, _BASES[seed], dtype=_U)
         power[0] = 1
-        inverse = np.full(len(codes) + 1, _BASE_INVERSE, dtype=_U)
+        inverse = np.full(len(codes) + 1, pow(_BASES[seed], -1, 2**64), dtype=_U)
         inverse[0] = 1
         self.inverse = np.multiply.accumulate(inverse)
         self.sums = np.zeros(len(codes) + 1, dtype=_U)
         np.cumsum(mix(codes.astype(_U) + _U(0x1000003 * seed)) * np.multiply.accumulate(power)[:-1], out=self.sums[1:])
 
-    def __call__(self, at: np.ndarray, size: int) -> np.ndarray:
+    def __call__(self, at: np.ndarray, size: int | np.ndarray) -> np.ndarray:
         return mix((self.sums[at + size] - self.sums[at]) * self.inverse[at]).view(np.int64)

@@ -59,9 +59,8 @@ def _apart(texts: list[str]) -> np.ndarray:
 
 
 def _emit(ids: np.ndarray, owners: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    """(id, k), each once."""
-    pairs = np.unique(np.stack((ids[owners].astype(np.uint64), keys), axis=1), axis=0) if len(keys) else np.empty((0, 2), np.uint64)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int64)), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64))], names=["id", "k"])
+    """(id, k); a key may come twice, which only repeats a candidate."""
+    return pa.RecordBatch.from_arrays([pa.array(ids[owners].astype(np.int64)), pa.array(keys.view(np.int64))], names=["id", "k"])
 
 
 def _name_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,24 +63,31 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, max_words: int =
         .withColumn("_words", F.regexp_extract_all("_text", F.lit(_WORD), F.lit(0)))
         .drop("_text")
         .withColumn("_marks", F.array_join(F.transform("_words", _mark), ""))
-        .withColumn("_sizes", F.transform(F.regexp_extract_all("_marks", F.lit(piece_pattern(max_words, overlap_words)), F.lit(0)), F.length))
         .withColumn("_paragraphs", F.transform(F.regexp_extract_all("_marks", F.lit("[sw]*p|[sw]+$"), F.lit(0)), F.length))
+        .withColumn("_parts", F.regexp_extract_all("_marks", F.lit(piece_pattern(max_words, overlap_words)), F.lit(0)))
+        .drop("_marks")
     )
-    pieces = (
-        marked.select("*", F.posexplode("_sizes").alias("_at", "new_words"))
-        .withColumn("start_word", F.expr("aggregate(slice(_sizes, 1, _at), 0, (a, x) -> a + x)"))
-        .withColumn("overlap_words", F.least(F.lit(overlap_words), "start_word"))
-        .withColumn("paragraph_no", F.regexp_count(F.substring("_marks", F.lit(1), F.col("start_word")), F.lit("p")) + 1)
-        .withColumn("starts_paragraph", F.expr("start_word = 0 OR substring(_marks, start_word, 1) = 'p'"))
-        .withColumn("_end", F.expr("substring(_marks, start_word + new_words, 1)"))
-    )
-    cut = pieces.select(
-        F.col("_id").alias(id_col), (F.col("_at") + 1).alias("piece_no"), F.size("_sizes").alias("n_pieces"), "start_word",
-        "new_words", "overlap_words", (F.col("new_words") + F.col("overlap_words")).alias("n_words"),
-        F.when(F.col("_at") + 1 == F.size("_sizes"), "end").when(F.col("_end") == "p", "paragraph").when(F.col("_end") == "s", "sentence").otherwise("word").alias("boundary"),
-        "paragraph_no", "starts_paragraph", F.element_at("_paragraphs", F.col("paragraph_no")).alias("paragraph_words"),
-        F.regexp_replace(F.array_join(F.expr("slice(_words, start_word - overlap_words + 1, overlap_words + new_words)"), ""), r"(?U)\s+$", "").alias("text"),
-    )
+    # places of the pieces by one running sum over their marks; then only finished pieces leave the row
+    nothing = F.array().cast("array<struct<start:int,size:int,paragraph:int,begins:boolean,mark:string>>")
+    begin = F.struct(F.lit(0).alias("start"), F.lit(0).alias("paragraphs"), F.lit("p").alias("mark"), nothing.alias("done"))
+
+    def step(seen: Column, part: Column) -> Column:
+        piece = F.struct(seen["start"].alias("start"), F.length(part).alias("size"), (seen["paragraphs"] + 1).alias("paragraph"), (seen["mark"] == "p").alias("begins"), F.right(part, F.lit(1)).alias("mark"))
+        ends = F.length(part) - F.length(F.replace(part, F.lit("p"), F.lit("")))
+        return F.struct((seen["start"] + F.length(part)).alias("start"), (seen["paragraphs"] + ends).alias("paragraphs"), piece["mark"].alias("mark"), F.concat(seen["done"], F.array(piece)).alias("done"))
+
+    def finished(piece: Column, at: Column) -> Column:
+        start, size = piece["start"], piece["size"]
+        again = F.least(F.lit(overlap_words), start)
+        boundary = F.when(at + 1 == F.size("_parts"), "end").when(piece["mark"] == "p", "paragraph").when(piece["mark"] == "s", "sentence").otherwise("word")
+        return F.struct(
+            (at + 1).alias("piece_no"), F.size("_parts").alias("n_pieces"), start.alias("start_word"), size.alias("new_words"), again.alias("overlap_words"), (size + again).alias("n_words"),
+            boundary.alias("boundary"), piece["paragraph"].alias("paragraph_no"), piece["begins"].alias("starts_paragraph"), F.element_at("_paragraphs", piece["paragraph"]).alias("paragraph_words"),
+            F.regexp_replace(F.array_join(F.slice("_words", start - again + 1, again + size), ""), r"(?U)\s+$", "").alias("text"),
+        )
+
+    placed = F.aggregate("_parts", begin, step, lambda seen: seen["done"])
+    cut = marked.withColumn("_pieces", placed).select(F.col("_id").alias(id_col), F.inline(F.transform("_pieces", finished)))
     return whole.unionByName(cut)
 
 

@@ -1,13 +1,15 @@
+import random
+
 import pytest
 
-from skeinwork.llm.canonical import allowed, attach, map_values, weighted
+from skeinwork.llm.canonical import FOREIGN, NOISE, allowed, attach, map_values, weighted, weighted_all
 
 LIST = [(1, "gang", ["street gang", "crew"]), (2, "mafia", ["crime family", None]), (3, "motorcycle_club", ["biker club", "biker club"]), (4, "drug_ring", None), (5, None, ["x"])]
 
 
 def mapped(spark, values, listed=LIST):
     df = spark.createDataFrame([(i, v, "c", 0.1) for i, v in enumerate(values)], "mention_id bigint, type string, canonical string, cost double")
-    return {r.value: (r.canonical, r.n) for r in map_values(df, spark.createDataFrame(listed, "type_id int, type string, known_forms array<string>")).collect()}
+    return {r.value: (r.canonical, r.n) for r in map_values(df, spark.createDataFrame(listed, "type_id int, type string, known_forms array<string>"), noise=NOISE, foreign=FOREIGN).collect()}
 
 
 def test_values(spark):
@@ -50,3 +52,27 @@ def test_attach_without_broadcast(spark, monkeypatch):
 
     monkeypatch.setattr(canonical, "_BROADCAST_VALUES", 0)
     test_attach(spark)
+
+
+def test_weights_of_many():
+    rng = random.Random(3)
+    left = ["".join(rng.choice("asdq") for _ in range(rng.randrange(14))) for _ in range(800)]
+    right = ["".join(c for c in x if rng.random() < 0.9) + rng.choice(["", "a", "q"]) for x in left]
+    for x, y, got in zip(left, right, weighted_all(left, right)):
+        exact = weighted(x, y)
+        assert got == pytest.approx(exact) if exact <= 2 else got > 2
+
+
+def test_long_list_by_shuffle(spark, monkeypatch):
+    from skeinwork.llm import canonical
+
+    monkeypatch.setattr(canonical, "bounded", canonical.shuffled)
+    syllables = ["ka", "lo", "mi", "ra", "zu", "te", "vo", "ni"]
+    names = ["".join(syllables[i >> (3 * k) & 7] for k in range(5)) for i in range(6000)]
+    listed = [(i, n, None) for i, n in enumerate(names)]
+    slip = names[4321][:5] + "x" + names[4321][5:]
+    assert mapped(spark, [slip, names[7], "quite another thing"], listed) == {slip: (names[4321], 1), "quite another thing": ("unmatched", 1)}
+
+
+def test_many_words_in_any_order(spark):
+    assert mapped(spark, ["five four three two one", "four five three one six"], [(1, "one two three four five", [])]) == {"five four three two one": ("one two three four five", 1), "four five three one six": ("unmatched", 1)}

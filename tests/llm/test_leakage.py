@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+
+from skeinwork.llm import leakage
 from skeinwork.llm.leakage import exact_leaks, paraphrases, words
 
 DOC = "doc_id bigint, text string, item_id int, ids string"
@@ -56,7 +59,7 @@ def test_odd_rows(spark):
 def test_blocks_of_items(spark, monkeypatch):
     from skeinwork.llm import leakage
 
-    monkeypatch.setattr(leakage, "ITEM_BLOCK", 2)
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", 30)
     items = [(i, " ".join(f"w{i}x{k}" for k in range(13))) for i in range(7)]
     docs = [(d, items[d][1] + " " + items[(d + 1) % 7][1]) for d in range(7)]
     assert set(run(spark, docs, items)) == brute(docs, items)
@@ -89,3 +92,21 @@ def test_paraphrases_of_skewed_lengths(spark):
     docs = [(i, inside(i)) for i in range(len(lengths))] + [(1000 + k, "other text") for k in range(20)]
     got = paraphrases(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, ITEM))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(len(lengths))}
+
+
+def test_grid_finds_all_near_vectors():
+    rng = np.random.default_rng(3)
+    own = leakage._unit(rng.standard_normal((500, 20)).astype(np.float32))
+    other = leakage._unit(own[rng.integers(0, 500, 300)] + rng.normal(0, 0.002, (300, 20)).astype(np.float32))
+    row, bag = leakage.Grid(own).near(other)
+    near = set(zip(*map(np.ndarray.tolist, np.nonzero(other @ own.T > leakage.NEAR))))
+    assert len(near) > 100 and near <= set(zip(row.tolist(), bag.tolist())) and len(row) < 3000
+
+
+def test_what_stands_with_a_leak(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    half = " ".join(item.split()[:20] + ["x"] * 5 + item.split()[25:])
+    df = spark.createDataFrame([(1, half), (2, "other words")], "doc_id bigint, text string")
+    rows = exact_leaks(df, spark.createDataFrame([(7, item)], ITEM)).collect()
+    assert [(r.doc_id, r.item_id, r.shared_words, r.common_words) for r in rows] == [(1, 7, 20, 35)]
+    assert rows[0].answer_share == 0.875

@@ -80,8 +80,8 @@ def test_long_texts_in_parts(spark):
     rng = random.Random(11)
     rows = [(i, "".join(rng.choice("abcdef  ") for _ in range(n))) for i, n in enumerate((900, 5000, 100, 2500))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
-    whole = sorted(map(tuple, spans.window_names(df, 80).collect()))
-    parted = sorted(map(tuple, spans.window_names(df, 80, chunk=1500, part=700).collect()))
+    whole = sorted(map(tuple, spans.symbol_names(df, 80).collect()))
+    parted = sorted(map(tuple, spans.symbol_names(df, 80, chunk=1500, part=700).collect()))
     assert parted != whole
     # at the ends of texts that are joined with others some more points are chosen, which does no harm
     inside = lambda rows: {r for r in rows if 200 <= r[2] <= {0: 900, 1: 5000, 3: 2500}.get(r[1], 0) - 300}
