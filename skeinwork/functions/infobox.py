@@ -19,22 +19,32 @@ class _Node:
         self.tag, self.css, self.children = tag, css, []
 
     def walk(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                yield c
-                yield from c.walk()
+        """All nodes below, in the order of the page; the open ones are on a stack of our own, as bad pages nest without bound."""
+        waiting = [iter(self.children)]
+        while waiting:
+            child = next(waiting[-1], None)
+            if child is None:
+                waiting.pop()
+            elif isinstance(child, _Node):
+                yield child
+                waiting.append(iter(child.children))
 
     def texts(self, breaks: bool = False):
-        for c in self.children:
-            if not isinstance(c, _Node):
-                if c.strip():
-                    yield c.strip()
-            elif breaks and c.tag in ("br", "hr"):
+        waiting = [(self, iter(self.children))]
+        while waiting:
+            node, rest = waiting[-1]
+            child = next(rest, None)
+            if child is None:
+                waiting.pop()
+                if breaks and node.tag == "li" and waiting:
+                    yield ","
+            elif not isinstance(child, _Node):
+                if child.strip():
+                    yield child.strip()
+            elif breaks and child.tag in ("br", "hr"):
                 yield ","
             else:
-                yield from c.texts(breaks)
-                if breaks and c.tag == "li":
-                    yield ","
+                waiting.append((child, iter(child.children)))
 
     def find(self, *tags: str):
         return next((n for n in self.walk() if n.tag in tags), None)

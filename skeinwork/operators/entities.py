@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import fold_name, is_absent, squeeze, strip_space
 from ..functions.urls import source_title, valid_urls
+from .joins import shuffled
 
 #: Node types of the vocabulary, and other wordings that models fall back to.
 NODE_TYPES = ("cartel", "mafia", "gang", "motorcycle_club", "faction", "clan", "triad", "militia", "terrorist_organization")
@@ -48,9 +49,19 @@ def longest(c: Column, order: Column) -> Column:
     return F.min_by(c, F.struct(-F.length(c), order))
 
 
-def union_sets(c: Column) -> Column:
-    """Sorted set of all strings in the arrays of a group, without null and empty ones."""
-    return F.array_sort(F.filter(F.array_distinct(F.flatten(F.collect_set(strings(c)))), lambda x: x.isNotNull() & (x != "")))
+def with_sets(grouped: DataFrame, rows: DataFrame, keys: list[str], sets: dict[str, Column]) -> DataFrame:
+    """Grouped rows with sorted sets of all strings in arrays of `rows`, without null and empty ones, empty where a group has none.
+
+    The arrays are taken apart and their members made distinct before anything is collected, so no state of a group is larger than its result,
+    however many rows it has.
+    """
+
+    def tagged(k: int, c: Column) -> Column:
+        return F.transform(strings(c), lambda x: F.struct(F.lit(k).alias("set"), x.alias("x")))
+
+    members = rows.select(*keys, F.explode(F.array_distinct(F.concat(*[tagged(k, c) for k, c in enumerate(sets.values())]))).alias("_m")).select(*keys, "_m.set", "_m.x").filter("x <> ''").distinct()
+    own = members.groupBy(*keys).agg(*[F.array_sort(F.collect_set(F.when(F.col("set") == k, F.col("x")))).alias(name) for k, name in enumerate(sets)])
+    return grouped.join(shuffled(own), keys, "left").withColumns({name: strings(F.col(name)) for name in sets})
 
 
 def text_set(c: Column) -> Column:
@@ -70,24 +81,22 @@ def merge_mentions(mentions: DataFrame, order: Column, url: str | None = None) -
     names are dropped; a missing type is `criminal_organization`.
     """
     rows = mentions.withColumn("name_key", fold_name(F.col("standard_name"))).filter("name_key <> ''").withColumn("_o", order)
-    urls = text_set(F.col(url)) if url else F.array().cast(_STRINGS)
-    return rows.groupBy("name_key").agg(
+    merged = rows.groupBy("name_key").agg(
         F.min_by(strip_space("standard_name"), "_o").alias("standard_name"),
-        text_set(F.col("original_text_name")).alias("original_text_names"),
-        union_sets(F.col("aliases")).alias("aliases"),
         F.coalesce(F.nullif(F.min_by("type", "_o"), F.lit("")), F.lit("criminal_organization")).alias("type"),
         longest(F.coalesce("context", F.lit("")), F.col("_o")).alias("context"),
         F.nullif(longest(F.coalesce("time_period", F.lit("")), F.col("_o")), F.lit("")).alias("time_period"),
-        text_set(F.col("source_file")).alias("source_articles"),
-        urls.alias("wikipedia_urls"),
     )
+    sets = {"original_text_names": F.array("original_text_name"), "aliases": F.col("aliases"), "source_articles": F.array("source_file"), "wikipedia_urls": F.array(F.col(url)) if url else F.array().cast(_STRINGS)}
+    return with_sets(merged, rows, ["name_key"], sets).select("name_key", "standard_name", "original_text_names", "aliases", "type", "context", "time_period", "source_articles", "wikipedia_urls")
 
 
 def merge_chunk_nodes(mentions: DataFrame, article: str, order: Column) -> DataFrame:
     """Nodes of one article from its chunks: the first record of a name, with the aliases of all."""
     rows = mentions.withColumn("name_key", F.lower(strip_space("standard_name"))).filter("name_key <> ''").withColumn("_o", order)
     first = F.struct("standard_name", "original_text_name", "type", "context", "time_period")
-    return rows.groupBy(article, "name_key").agg(F.min_by(first, "_o").alias("n"), union_sets(F.col("aliases")).alias("aliases"), F.count(F.lit(1)).alias("n_records")).select(article, "name_key", "n.*", "aliases", "n_records")
+    merged = rows.groupBy(article, "name_key").agg(F.min_by(first, "_o").alias("n"), F.count(F.lit(1)).alias("n_records"))
+    return with_sets(merged, rows, [article, "name_key"], {"aliases": F.col("aliases")}).select(article, "name_key", "n.*", "aliases", "n_records")
 
 
 def null_words(c: Column) -> Column:
@@ -122,11 +131,10 @@ def apply_canonical(nodes: DataFrame, variants: DataFrame, order: Column) -> Dat
     renamed = F.col("_c") != F.col("standard_name")
     rows = rows.withColumn("_o", order).withColumn("_old", F.when(renamed, F.array("standard_name")).otherwise(F.array().cast(_STRINGS))).withColumn("name_key", fold_name(F.col("_c")))
     first = F.struct(F.col("_c").alias("standard_name"), "original_text_names", "type", "_old")
-    merged = rows.groupBy("name_key").agg(
-        F.min_by(first, "_o").alias("n"), union_sets(F.concat(strings(F.col("aliases")), F.col("_old"))).alias("aliases"),
-        union_sets(F.col("source_articles")).alias("source_articles"), union_sets(F.col("wikipedia_urls")).alias("wikipedia_urls"),
-        longest(F.coalesce("context", F.lit("")), F.col("_o")).alias("context"), F.nullif(longest(F.coalesce("time_period", F.lit("")), F.col("_o")), F.lit("")).alias("time_period"),
+    grouped = rows.groupBy("name_key").agg(
+        F.min_by(first, "_o").alias("n"), longest(F.coalesce("context", F.lit("")), F.col("_o")).alias("context"), F.nullif(longest(F.coalesce("time_period", F.lit("")), F.col("_o")), F.lit("")).alias("time_period"),
     )
+    merged = with_sets(grouped, rows, ["name_key"], {"aliases": F.concat(strings(F.col("aliases")), F.col("_old")), "source_articles": F.col("source_articles"), "wikipedia_urls": F.col("wikipedia_urls")})
     return merged.select("name_key", "n.standard_name", "n.original_text_names", "aliases", "n.type", "context", "time_period", "source_articles", "wikipedia_urls")
 
 

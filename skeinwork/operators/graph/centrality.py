@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,48 +12,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...scratch import Scratch
+from ..joins import hot_values, shuffled, spread_join
 from . import local
-from .layers import both_ways, degrees
+from .layers import both_ways, degrees, positions
 
-#: A graph of up to so many edges is sent to every task (16 bytes an edge); larger ones are traversed by joins.
-BROADCAST_EDGES = 5_000_000
+#: A graph of up to so many edges and vertices is numbered by Spark and sent to every task: 24 bytes an edge, 48 MB at most.
+BROADCAST_EDGES = 2_000_000
+#: (source, vertex) pairs that the joins beyond keep at a time.
+BLOCK_PAIRS = 200_000_000
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float = 0.85, rounds: int = 20, cut: int = 5, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
-    """(v, pagerank) after a fixed number of rounds; parallel edges count, mass of isolates goes to all.
+def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float = 0.85, tolerance: float = 1e-9, look: int = 5, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
+    """(v, pagerank), iterated until the ranks change by no more than tolerance together; parallel edges count, mass of isolates goes to all.
 
-    Ranks join the edges on the sender and are summed before the shuffle. Lineage is cut every few rounds.
+    Ranks join the edges on the sender, hubs salted, and are summed before the shuffle. Every round is written, which cuts the lineage, and the change is looked at every few rounds.
     """
     if local.is_small(edges, local_edges):
         linked = both_ways(edges).select("v").distinct()
         alone = vertices.select("v").distinct().join(linked, "v", "left_anti") if vertices is not None else linked.limit(0)
-        total = linked.count() + alone.count()
-        ranks = local.in_one_task(edges, "pagerank", T.DoubleType(), local.pagerank(damping, rounds, total))
-        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, rounds, total, total - linked.count())).alias("pagerank")))
+        n_linked = linked.count()
+        total = n_linked + alone.count()
+        ranks = local.in_one_task(edges, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance, total))
+        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, total - n_linked)).alias("pagerank")))
     scratch = Scratch(edges.sparkSession, "pagerank")
     d = degrees(edges).select("v", "degree")
-    near = scratch.save(both_ways(edges).join(d, "v").select("v", "w", (F.col("m") / F.col("degree")).alias("part")))
-    names = (vertices.select("v").distinct() if vertices is not None else d.select("v"))
-    names = scratch.save(names.join(d, "v", "left").select("v", F.col("degree").isNull().alias("alone")))
+    near = scratch.save(both_ways(edges).join(shuffled(d), "v").select("v", "w", (F.col("m") / F.col("degree")).alias("part")))
+    hot = hot_values(near, "v", near.count())
+    names = vertices.select("v").distinct() if vertices is not None else d.select("v")
+    names = scratch.save(names.join(shuffled(d), "v", "left").select("v", F.col("degree").isNull().alias("alone")))
     n = names.count()
     if n == 0:
         return names.select("v", F.lit(0.0).alias("pagerank"))
-    ranks = names.select("v", "alone", F.lit(1.0 / n).alias("r"))
-    for k in range(1, rounds + 1):
-        sent = near.join(ranks.select("v", "r"), "v").groupBy(F.col("w").alias("v")).agg(F.sum(F.col("r") * F.col("part")).alias("got"))
+    ranks = scratch.save(names.select("v", "alone", F.lit(1.0 / n).alias("r"), F.lit(1.0 / n).alias("was")))
+    for k in itertools.count(1):
+        sent = spread_join(near, ranks.select("v", "r"), "v", hot).groupBy(F.col("w").alias("v")).agg(F.sum(F.col("r") * F.col("part")).alias("got"))
         loose = ranks.agg(F.coalesce(F.sum(F.when(F.col("alone"), F.col("r"))), F.lit(0.0)).alias("loose"))  # one row
-        ranks = names.join(sent, "v", "left").crossJoin(F.broadcast(loose)).select("v", "alone", (F.lit((1 - damping) / n) + damping * (F.coalesce("got", F.lit(0.0)) + F.col("loose") / n)).alias("r"))
-        if k % cut == 0:
-            ranks = scratch.save(ranks)
-    return ranks.select("v", F.col("r").alias("pagerank"))
+        new = (F.lit((1 - damping) / n) + damping * (F.coalesce("got", F.lit(0.0)) + F.col("loose") / n)).alias("r")
+        after = scratch.save(ranks.join(shuffled(sent), "v", "left").crossJoin(F.broadcast(loose)).select("v", "alone", new, F.col("r").alias("was")))
+        scratch.drop(ranks)
+        ranks = after
+        if k % look == 0 and ranks.agg(F.sum(F.abs(F.col("r") - F.col("was")))).first()[0] <= tolerance:
+            return ranks.select("v", F.col("r").alias("pagerank"))
 
 
-def _alone(damping: float, rounds: int, total: int, n_alone: int) -> float:
-    """The rank of a vertex without edges."""
-    r = 1.0 / total if total else 0.0
-    for _ in range(rounds if total else 0):
-        r = (1 - damping) / total + damping * r * n_alone / total
-    return r
+def _alone(damping: float, total: int, n_alone: int) -> float:
+    """The rank of a vertex without edges, where it changes no more."""
+    return (1 - damping) / (total - damping * n_alone) if total else 0.0
 
 
 def _brandes(start: int, first: np.ndarray, to: np.ndarray, weight: np.ndarray, score: np.ndarray) -> None:
@@ -85,22 +90,23 @@ def _brandes(start: int, first: np.ndarray, to: np.ndarray, weight: np.ndarray,
 def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
     """(v, betweenness) of the vertices of edges, scaled to 0..1 for undirected graphs; 0 with fewer than three.
 
-    All sources are used. Up to broadcast_edges edges the graph goes to every task as arrays and the sources are spread;
-    every task sends one partial sum per vertex. Beyond, levels of all sources advance together by joins, in blocks of sources.
+    All sources are used: the exact measure takes vertices times edges steps, whatever computes it. Spark numbers the vertices; up to broadcast_edges edges, counted
+    before, the numbers go to every task as arrays, the sources are spread, and every task sends one partial sum per vertex.
+    Beyond, levels of all sources advance together by joins, in blocks of sources.
     """
     scratch = Scratch(edges.sparkSession, "betweenness")
     edges = scratch.save(edges.select("a", "b", (F.lit(1) if collapse_parallel else F.col("m")).cast("bigint").alias("m")))
     size = edges.count()
     if size > broadcast_edges:
         return _betweenness_by_joins(edges, scratch)
-    table = edges.toPandas()  # at most broadcast_edges rows
-    names, codes = np.unique(np.concatenate((table["a"].to_numpy(object), table["b"].to_numpy(object))) if size else np.empty(0, object), return_inverse=True)
-    n = len(names)
     spark = edges.sparkSession
-    kind = edges.schema["a"].dataType.simpleString()
+    listed = scratch.save(positions(both_ways(edges).select("v").distinct(), {"v": "id"}, "v").select("v", (F.col("id") - 1).alias("id")))
+    n = listed.count()
     if n < 3:
-        return both_ways(edges).select("v").distinct().withColumn("betweenness", F.lit(0.0))
-    a, b, m = codes[:size], codes[size:], table["m"].to_numpy()
+        return listed.select("v", F.lit(0.0).alias("betweenness"))
+    numbered = edges.join(shuffled(listed.toDF("a", "x")), "a").join(shuffled(listed.toDF("b", "y")), "b").select("x", "y", "m")
+    table = numbered.toPandas()  # three numbers an edge, at most broadcast_edges of them
+    a, b, m = (table[c].to_numpy() for c in ("x", "y", "m"))
     src, dst, wt = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((m, m))
     order = np.argsort(src, kind="stable")
     first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n))))
@@ -116,11 +122,10 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
 
     tasks = max(1, min(n, spark.sparkContext.defaultParallelism * 2))
     sums = spark.range(0, n, 1, tasks).mapInPandas(run, "id bigint, score double").groupBy("id").agg(F.sum("score").alias("score"))
-    listed = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "v": names}), f"id bigint, v {kind}")
-    return listed.join(sums, "id", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
+    return listed.join(shuffled(sums), "id", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
 
 
-def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64, max_depth: int | None = None) -> DataFrame:
+def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int | None = None, max_depth: int | None = None) -> DataFrame:
     """The same sums, for graphs too large for one task: (source, vertex) pairs of a block of sources, level by level.
 
     Levels go on until nothing new is reached; where max_depth is given and something lies beyond, it raises.
@@ -128,14 +133,15 @@ def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64,
     near = scratch.save(both_ways(edges))
     names = scratch.save(near.select("v").distinct())
     n = names.count()
+    blocks = blocks or max(1, -(-n * n // BLOCK_PAIRS))  # a block holds about BLOCK_PAIRS pairs, however many vertices there are
     total = None
     for block in range(blocks):
         sources = names.filter(F.pmod(F.xxhash64("v"), F.lit(blocks)) == block)
         levels = [scratch.save(sources.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("paths")))]
         seen = levels[0].select("s", "v")
         while True:
-            step = levels[-1].join(near, "v").groupBy("s", "w").agg(F.sum(F.col("paths") * F.col("m")).alias("paths")).withColumnRenamed("w", "v")
-            fresh = scratch.save(step.join(seen, ["s", "v"], "left_anti"))
+            step = levels[-1].join(shuffled(near), "v").groupBy("s", "w").agg(F.sum(F.col("paths") * F.col("m")).alias("paths")).withColumnRenamed("w", "v")
+            fresh = scratch.save(step.join(shuffled(seen), ["s", "v"], "left_anti"))
             if fresh.isEmpty():
                 break
             if max_depth is not None and len(levels) > max_depth:
@@ -145,9 +151,9 @@ def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64,
         need = levels[-1].select("s", "v", F.lit(0.0).alias("need"))
         parts = []
         for k in range(len(levels) - 1, 0, -1):
-            below = levels[k].join(need, ["s", "v"], "left").select("s", F.col("v").alias("w"), F.col("paths").alias("pw"), F.coalesce("need", F.lit(0.0)).alias("nw"))
+            below = levels[k].join(shuffled(need), ["s", "v"], "left").select("s", F.col("v").alias("w"), F.col("paths").alias("pw"), F.coalesce("need", F.lit(0.0)).alias("nw"))
             parts.append(below.select(F.col("w").alias("v"), F.col("nw").alias("score")))
-            up = levels[k - 1].join(near, "v").join(below, ["s", "w"]).groupBy("s", "v").agg(F.sum(F.col("paths") * F.col("m") / F.col("pw") * (1 + F.col("nw"))).alias("need"))
+            up = levels[k - 1].join(shuffled(near), "v").join(shuffled(below), ["s", "w"]).groupBy("s", "v").agg(F.sum(F.col("paths") * F.col("m") / F.col("pw") * (1 + F.col("nw"))).alias("need"))
             need = scratch.save(up)
         if parts:
             mine = parts[0]
@@ -157,4 +163,4 @@ def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int = 64,
             total = mine if total is None else scratch.save(total.unionByName(mine).groupBy("v").agg(F.sum("score").alias("score")))
     if total is None or n < 3:
         return names.withColumn("betweenness", F.lit(0.0))
-    return names.join(total, "v", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
+    return names.join(shuffled(total), "v", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))

@@ -88,17 +88,18 @@ def distances(start: str, max_depth: int | None = None) -> Callable[..., np.ndar
     return solve
 
 
-def pagerank(damping: float, rounds: int, total: int) -> Callable[..., np.ndarray]:
+def pagerank(damping: float, tolerance: float, total: int) -> Callable[..., np.ndarray]:
     """Ranks among `total` vertices, of which those without an edge are not here: they share one rank."""
 
     def solve(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, names: np.ndarray) -> np.ndarray:
         v, w, k = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((m, m))
         part = k / np.bincount(v, k, minlength=n)[v]
-        rank, alone = np.full(n, 1.0 / total), 1.0 / total
-        for _ in range(rounds):
-            loose = alone * (total - n) / total
-            alone = (1 - damping) / total + damping * loose
-            rank = alone + damping * np.bincount(w, rank[v] * part, minlength=n)
+        rank, alone, change = np.full(n, 1.0 / total), 1.0 / total, 1.0
+        while change > tolerance:
+            base = (1 - damping) / total + damping * alone * (total - n) / total
+            new = base + damping * np.bincount(w, rank[v] * part, minlength=n)
+            change = np.abs(new - rank).sum() + abs(base - alone) * (total - n)
+            rank, alone = new, base
         return rank
 
     return solve

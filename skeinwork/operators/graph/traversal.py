@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...scratch import Scratch
+from ..joins import hot_values, shuffled, spread_join
 from . import local
 from .layers import both_ways, degrees
 
 
-def components(edges: DataFrame, max_rounds: int = 50, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
+def components(edges: DataFrame, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, component): the smallest vertex reachable from each vertex of an edge.
 
     Alternating stars: the larger neighbours of a vertex, then its smaller ones, are hung on the least of its neighbourhood.
-    The number of rounds is logarithmic in practice, whatever the diameter, and minima aggregate before the shuffle.
+    Rounds go on until nothing moves, logarithmically many in practice, whatever the diameter; minima aggregate before the shuffle, and the edges of hubs are salted.
     """
     if local.is_small(edges, local_edges):
         return local.in_one_task(edges.filter("a <> b"), "component", edges.schema["a"].dataType, local.components)
@@ -25,14 +26,15 @@ def components(edges: DataFrame, max_rounds: int = 50, local_edges: int = local.
     now = scratch.save(edges.select("a", "b").filter("a <> b").distinct())
     vertices = both_ways(edges.select("a", "b", F.lit(1).alias("m"))).select("v").distinct()
     mark = None
-    for _ in range(max_rounds):
+    while True:
         near = now.union(now.select("b", "a")).toDF("v", "w")
+        hot = hot_values(near, "v", near.count())
         least = near.groupBy("v").agg(F.least(F.min("w"), F.first("v")).alias("m"))
-        large = near.filter("w > v").join(least, "v").filter("w <> m").select(F.col("m").alias("a"), F.col("w").alias("b"))
+        large = spread_join(near.filter("w > v"), least, "v", hot).filter("w <> m").select(F.col("m").alias("a"), F.col("w").alias("b"))
         large = scratch.save(large.union(least.filter("v <> m").select("m", "v")).distinct())
         down = large.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("w"))
         lowest = down.groupBy("v").agg(F.min("w").alias("m"))
-        small = down.join(lowest, "v").filter("w <> m").select(F.col("m").alias("a"), F.col("w").alias("b"))
+        small = spread_join(down, lowest, "v", hot_values(down, "v", large.count())).filter("w <> m").select(F.col("m").alias("a"), F.col("w").alias("b"))
         after = scratch.save(small.union(lowest.select("m", "v")).distinct())
         scratch.drop(large)
         sign = tuple(after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -41,23 +43,21 @@ def components(edges: DataFrame, max_rounds: int = 50, local_edges: int = local.
         if sign == mark:
             break
         mark = sign
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return vertices.join(now.select(F.col("b").alias("v"), F.col("a").alias("component")), "v", "left").select("v", F.coalesce("component", "v").alias("component"))
+    return vertices.join(shuffled(now.select(F.col("b").alias("v"), F.col("a").alias("component"))), "v", "left").select("v", F.coalesce("component", "v").alias("component"))
 
 
 def component_sizes(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """(component, n_nodes, n_edges, density), edges with their multiplicity."""
     nodes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
-    links = edges.join(labels.toDF("a", "component"), "a").groupBy("component").agg(F.sum("m").alias("n_edges"))
+    links = edges.join(shuffled(labels.toDF("a", "component")), "a").groupBy("component").agg(F.sum("m").alias("n_edges"))
     n = F.col("n_nodes")
-    return nodes.join(links, "component").select("component", "n_nodes", "n_edges", F.round(2 * F.col("n_edges") / (n * (n - 1)), 6).alias("density"))
+    return nodes.join(shuffled(links), "component").select("component", "n_nodes", "n_edges", F.round(2 * F.col("n_edges") / (n * (n - 1)), 6).alias("density"))
 
 
 def largest_component(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """The edges of the component with most nodes, the least label on a tie."""
     top = labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "component").limit(1).select("component")
-    return edges.join(labels.join(F.broadcast(top), "component", "left_semi").select(F.col("v").alias("a")), "a", "left_semi").select("a", "b", "m")
+    return edges.join(shuffled(labels.join(F.broadcast(top), "component", "left_semi").select(F.col("v").alias("a"))), "a", "left_semi").select("a", "b", "m")
 
 
 def distances(edges: DataFrame, start: str, max_depth: int | None = None, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
@@ -73,9 +73,9 @@ def distances(edges: DataFrame, start: str, max_depth: int | None = None, local_
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
     levels = [scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))]
     for depth in itertools.count(1):
-        reached = levels[-1].select("v").join(near, "v").select(F.col("w").alias("v")).distinct()
+        reached = near.join(shuffled(levels[-1].select("v")), "v").select(F.col("w").alias("v")).distinct()
         known = levels[-1].select("v") if depth == 1 else levels[-1].select("v").union(levels[-2].select("v"))
-        fresh = scratch.save(reached.join(known, "v", "left_anti").withColumn("distance", F.lit(depth)))
+        fresh = scratch.save(reached.join(shuffled(known), "v", "left_anti").withColumn("distance", F.lit(depth)))
         if fresh.isEmpty():
             break
         if max_depth is not None and depth > max_depth:
@@ -94,10 +94,10 @@ def pseudo_diameter(edges: DataFrame, start: str) -> int:
         best, start = far["distance"], far["v"]
 
 
-def core_numbers(edges: DataFrame, max_rounds: int = 200, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
+def core_numbers(edges: DataFrame, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, core) on distinct neighbours: the largest k of a subgraph in which all have k neighbours.
 
-    Every vertex takes the h-index of its neighbours' values, from their degrees on, until none changes. Values above its own
+    Every vertex takes the h-index of its neighbours' values, from their degrees on, until none changes, however many rounds that takes. Values above its own
     count as its own, so a hub has as many rows as its core is high, not as it has neighbours.
     """
     if local.is_small(edges, local_edges):
@@ -105,16 +105,16 @@ def core_numbers(edges: DataFrame, max_rounds: int = 200, local_edges: int = loc
     scratch = Scratch(edges.sparkSession, "cores")
     near = scratch.save(both_ways(edges).select("v", "w"))
     now = scratch.save(degrees(edges).select("v", F.col("neighbours").alias("core")))
-    for _ in range(max_rounds):
-        seen = near.join(now.toDF("w", "theirs"), "w").join(now, "v").groupBy("v", "core", F.least("theirs", "core").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_values(near, "v", near.count())
+    while True:
+        seen = spread_join(spread_join(near, now.toDF("w", "theirs"), "w", hot), now, "v", hot).groupBy("v", "core", F.least("theirs", "core").alias("x")).agg(F.count(F.lit(1)).alias("n"))
         above = F.sum("n").over(Window.partitionBy("v").orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, 0))
         after = scratch.save(seen.withColumn("above", above).groupBy("v").agg(F.max(F.least("x", "above")).alias("core")))
-        changed = after.join(now.toDF("v", "was"), "v").filter("core <> was").isEmpty()
+        settled = after.join(shuffled(now.toDF("v", "was")), "v").filter("core <> was").isEmpty()
         scratch.drop(now)
         now = after
-        if changed:
+        if settled:
             return now
-    raise RuntimeError(f"core numbers did not settle in {max_rounds} rounds")
 
 
 def core_composition(cores: DataFrame, types: DataFrame) -> DataFrame:

@@ -15,12 +15,19 @@ from pyspark.sql import types as T
 
 from ..functions.records import COUNTRY_ANSWER, coerce_country
 from ..functions.text import lead, strip_fence
+from .joins import shuffled
 
 NODE = "struct<standard_name:string,original_text_name:string,aliases:array<string>,type:string,context:string,time_period:string>"
 EDGE = "struct<source:string,target:string,relationship:string,detail:string,context:string,time_period:string>"
 EXTRACTION = f"nodes array<{NODE}>, edges array<{EDGE}>"
 #: Tokens a call may use at first, and after an answer that was cut off.
 TOKENS = (8192, 16384)
+#: What is asked of a text where the caller gives no instructions.
+INSTRUCTIONS = (
+    "List the criminal organizations that the text names as nodes, and as edges what it says of two of them. A node has standard_name, original_text_name, aliases, type, "
+    "context and time_period; an edge has source, target, relationship (alliance, rivalry or other), detail, context and time_period. State nothing that the text does not. "
+    'Answer with one JSON object: {"nodes": [...], "edges": [...]}.'
+)
 
 
 class Client(Protocol):
@@ -55,6 +62,17 @@ def ask(client: Client, prompt: str, tries: int = 3, wait: float = 10.0, sleep:
     return None
 
 
+def again(call: Callable[[], object], tries: int = 5, wait: float = 5.0, sleep: Callable[[float], None] = time.sleep):
+    """What a service call gives. A rate limit waits wait, then twice as long each time; any other failure, and the last, is raised."""
+    for attempt in range(tries):
+        try:
+            return call()
+        except Exception as e:
+            if attempt == tries - 1 or not rate_limited(e):
+                raise
+            sleep(wait * 2**attempt)
+
+
 def call_model(rows: DataFrame, prompt: str, make_client: Callable[[], Client], parallel: int | None = None, **options) -> DataFrame:
     """Adds `answer`, null where no try succeeded. One client a task; `parallel` tasks bound the calls at a time."""
     if parallel:
@@ -69,15 +87,16 @@ def call_model(rows: DataFrame, prompt: str, make_client: Callable[[], Client],
     return rows.mapInPandas(run, schema)
 
 
-def extraction_prompts(chunked: DataFrame, articles: DataFrame) -> DataFrame:
+def extraction_prompts(chunked: DataFrame, articles: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
     """Prompts for chunks (folder_name, chunk_no, text); articles of several chunks give each the beginning of the article.
 
     articles: (folder_name, title, url, content).
     """
     n = chunked.groupBy("folder_name").agg(F.count(F.lit(1)).alias("n_chunks"))
-    rows = chunked.join(n, "folder_name").join(articles.select("folder_name", "title", "url", lead(F.col("content")).alias("lead")), "folder_name")
-    context = F.when((F.col("n_chunks") > 1) & F.col("lead").isNotNull(), F.concat(F.lit("PAGE CONTEXT (for reference):\n"), "lead", F.lit("\n\n"))).otherwise(F.lit(""))
-    text = F.concat(F.lit("ARTICLE: "), F.coalesce("title", F.lit("")), F.lit("\nSOURCE: "), F.coalesce("url", F.lit("")), F.lit("\nSECTION: "), F.col("chunk_no").cast("string"), F.lit("/"), F.col("n_chunks").cast("string"), F.lit("\n\n"), context, F.lit("--- TEXT ---\n"), "text", F.lit("\n--- END ---"))
+    rows = chunked.join(shuffled(n), "folder_name").join(shuffled(articles.select("folder_name", "title", "url", lead(F.col("content")).alias("lead"))), "folder_name")
+    context = F.when(F.col("n_chunks") > 1, F.concat(F.lit("The article begins:\n"), "lead"))
+    place = F.concat_ws("\n", F.concat(F.lit("Title: "), "title"), F.concat(F.lit("Address: "), "url"), F.concat(F.lit("Part "), F.col("chunk_no").cast("string"), F.lit(" of "), F.col("n_chunks").cast("string")))
+    text = F.concat_ws("\n\n", F.lit(instructions), place, context, F.concat(F.lit("<text>\n"), "text", F.lit("\n</text>")))
     return rows.select("folder_name", "chunk_no", "n_chunks", text.alias("prompt"))
 
 
@@ -93,6 +112,13 @@ def extractions(answered: DataFrame) -> DataFrame:
     )
 
 
+def with_countries(entities: DataFrame, found: DataFrame, name: str = "name") -> DataFrame:
+    """Entities with the country columns of their results, Unknown and low where there is none. found: as of countries(), one row a name."""
+    columns = {"country": F.lit("Unknown"), "countries_active": F.array().cast("array<string>"), "country_confidence": F.lit("low"), "country_method": F.lit(None).cast("string")}
+    rows = entities.drop(*columns).join(shuffled(found.select(name, *columns)), name, "left")
+    return rows.select(*[c for c in rows.columns if c not in columns], *[F.coalesce(c, default).alias(c) for c, default in columns.items()])
+
+
 def countries(answered: DataFrame, name: str = "name", method: str = "method") -> DataFrame:
     """(name, country, countries_active, country_confidence, country_method); a failed answer is Unknown."""
     record = coerce_country(F.from_json(strip_fence(F.col("answer")), COUNTRY_ANSWER))
@@ -104,7 +130,7 @@ def model_chooser(make_client: Callable[[], Client]) -> Callable[[DataFrame], Da
 
     def choose(groups: DataFrame) -> DataFrame:
         text = F.array_join(F.transform("candidates", lambda c, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), F.to_json(c["r"]))), "\n")
-        prompt = F.concat(F.lit("Pair: "), "a", F.lit(" / "), "b", F.lit("\n"), text, F.lit('\nAnswer {"choice": index}'))
+        prompt = F.concat(F.lit("Which of these records of one pair says best how the two stand to each other now? "), "a", F.lit(" and "), "b", F.lit("\n"), text, F.lit('\nAnswer with one JSON object: {"choice": number}'))
         answered = call_model(groups.select("a", "b", F.size("candidates").alias("n"), prompt.alias("prompt")), "prompt", make_client)
         choice = F.from_json("answer", "choice int")["choice"]
         return answered.select("a", "b", F.when(choice.between(0, F.col("n") - 1), choice).otherwise(0).alias("choice"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.names import fold_name, strip_space
 from ..functions.periods import end_year
 from ..functions.urls import source_title, valid_urls
-from .entities import canonical_names, longest, null_words, small, union_sets
+from .entities import canonical_names, longest, null_words, small, with_sets
 
 #: Relationships that count, and what the published layers are called.
 RELATIONSHIPS = ("alliance", "rivalry", "other")
@@ -37,8 +37,9 @@ def merge_edges(edges: DataFrame, order: Column, lower_detail: bool = True) -> D
     merged = rows.groupBy("source_key", "target_key", "relationship", "detail_key").agg(
         F.min_by(first, "_o").alias("f"), longest(F.coalesce("context", F.lit("")), F.col("_o")).alias("context"),
         F.nullif(longest(F.coalesce("time_period", F.lit("")), F.col("_o")), F.lit("")).alias("time_period"),
-        union_sets(F.col("wikipedia_urls")).alias("wikipedia_urls"), F.count(F.lit(1)).alias("n_edges"),
+        F.count(F.lit(1)).alias("n_edges"),
     )
+    merged = with_sets(merged, rows, ["source_key", "target_key", "relationship", "detail_key"], {"wikipedia_urls": F.col("wikipedia_urls")})
     return merged.select("source_key", "target_key", "f.source", "f.target", "relationship", "f.detail", "detail_key", "context", "time_period", "wikipedia_urls", "n_edges")
 
 

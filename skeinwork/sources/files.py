@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.infobox import infobox_text
 from ..functions.names import strip_space
 from ..functions.urls import language, revision
-from ..operators.models import EDGE, NODE
+from ..operators.models import EDGE, NODE, again
 
 RECORD = f"nodes array<{NODE}>, edges array<{EDGE}>, source_file string, incomplete boolean, failed_chunks int, total_chunks int, _corrupt string"
 NETWORK = (
@@ -66,7 +67,11 @@ def tagged(records: DataFrame, urls: DataFrame | None = None) -> tuple[DataFrame
 
 
 def network(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of a network document."""
+    """Nodes and edges of a network, written as one document or as folders."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/nodes")
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        parts = spark.createDataFrame([], NETWORK).schema
+        return tuple(spark.read.schema(parts[name].dataType.elementType).json(f"{path}/{name}") for name in ("nodes", "edges"))
     doc = spark.read.option("multiLine", True).schema(NETWORK).json(path)
     return doc.select(F.explode("nodes").alias("n")).select("n.*"), doc.select(F.explode("edges").alias("e")).select("e.*")
 
@@ -97,32 +102,54 @@ class Wiki(Protocol):
     def html(self, lang: str, oldid: int) -> str | None: ...
 
 
-def resolve_revisions(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1) -> DataFrame:
-    """Adds oldid and reason to rows with lang and title; parallel bounds the calls at a time."""
+#: Reasons for a missing revision that another try will not change.
+LASTING = ("not found", "missing", "invalid title")
+
+
+def revision_of(client: Wiki, lang: str, title: str, tries: int = 5, wait: float = 3.0, sleep: Callable[[float], None] = time.sleep) -> tuple[int | None, str | None]:
+    """A revision, or why there is none. Rate limits wait longer each time, an empty answer is asked for again unless the page is not there."""
+    reason: str | None = None
+    for attempt in range(1, tries + 1):
+        try:
+            found, reason = again(lambda: client.oldid(lang, title), tries, sleep=sleep)
+        except Exception as e:
+            return None, str(e) or type(e).__name__
+        if found is not None or any(x in (reason or "") for x in LASTING):
+            return found, reason
+        if attempt < tries:
+            sleep(wait * attempt)
+    return None, reason
+
+
+def resolve_revisions(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1, **options) -> DataFrame:
+    """Adds oldid and reason to rows with lang and title; parallel bounds the calls at a time, options are those of revision_of."""
     schema = T.StructType([*rows.schema.fields, T.StructField("oldid", T.LongType()), T.StructField("reason", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for batch in batches:
-            found = [client.oldid(a, t) for a, t in zip(batch["lang"], batch["title"])]
+            found = [revision_of(client, a, t, **options) for a, t in zip(batch["lang"], batch["title"])]
             yield batch.assign(oldid=pd.array([i for i, _ in found], dtype="Int64"), reason=[r for _, r in found])
 
     return rows.repartition(parallel).mapInPandas(run, schema)
 
 
-def fetch_articles(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1) -> DataFrame:
-    """Adds content, infobox and error to rows with a versioned url. The text must come, the infobox may be empty."""
+def fetch_articles(rows: DataFrame, make_client: Callable[[], Wiki], parallel: int = 1, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Adds content, infobox and error to rows with a versioned url. The text must come, the infobox may be empty; a failure is a row with its error."""
     rows = rows.withColumn("_lang", language(F.col("url"))).withColumn("_id", revision(F.col("url")))
     schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.StringType()) for c in ("content", "infobox", "error"))])
 
     def one(client: Wiki, lang: str, oldid) -> tuple[str | None, str, str | None]:
         if pd.isna(oldid):
             return None, "", "no revision in the address"
-        text = client.extract(lang, int(oldid))
+        try:
+            text = again(lambda: client.extract(lang, int(oldid)), tries, sleep=sleep)
+        except Exception as e:
+            return None, "", str(e) or type(e).__name__
         if text is None:
             return None, "", "no text"
         try:
-            page = client.html(lang, int(oldid))
+            page = again(lambda: client.html(lang, int(oldid)), tries, sleep=sleep)
         except Exception:  # an infobox is optional
             page = None
         return text, infobox_text(page), None
