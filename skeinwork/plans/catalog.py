@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import census_queries, entity_queries, graph_queries, relation_queries, text_queries
+from . import census_queries, entity_queries, graph_queries, relation_queries, source_queries, text_queries
 
-_MODULES = (relation_queries, entity_queries, text_queries, census_queries, graph_queries)
+_MODULES = (relation_queries, entity_queries, text_queries, census_queries, graph_queries, source_queries)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

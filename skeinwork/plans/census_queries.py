@@ -9,8 +9,11 @@ from ..functions.names import fold_name, strip_space
 from ..functions.text import display_label
 from ..operators import census as C
 from ..operators.entities import strings
+from ..operators.graph import centrality as Z
 from ..operators.graph import layers as L
+from ..operators.joins import hot_values, shuffled, spread_join
 from .common import EDGES, Registry, both, degree, fold, layer, signed, table, vertex_types, TYPES
+from .graph_queries import RECORDS_SQL, VIEWS, betweenness, entities, published, published_sql, records
 
 _r = Registry()
 
@@ -98,12 +101,18 @@ def viewer_layer(spark: SparkSession, d: str) -> DataFrame:
 _SEARCH = "gang"
 
 
-@_r.query(f"WITH {EDGES}, {layer('l', None)}, {both('bw', 'l')}, {degree('dg', 'bw')}, {TYPES} SELECT v AS name, type, coalesce(neighbours, 0) AS neighbours FROM ty LEFT JOIN dg USING (v) WHERE contains(v, '{_SEARCH}') ORDER BY neighbours DESC, name")
+@_r.query(f"SELECT bw.v AS name, type, betweenness FROM ({published_sql('combined')}) bw JOIN (WITH {EDGES}, {TYPES} SELECT v, type FROM ty) USING (v) WHERE contains(bw.v, '{_SEARCH}') ORDER BY betweenness DESC, name")
 def viewer_search(spark: SparkSession, d: str) -> DataFrame:
-    """Names that hold a text, by connections; the published viewer ranks by stored betweenness, a column choice."""
-    deg = L.degrees(L.layer(signed(spark, d))).select("v", "neighbours")
-    rows = vertex_types(spark, d).filter(F.contains("v", F.lit(_SEARCH))).join(deg, "v", "left")
-    return rows.select(F.col("v").alias("name"), "type", F.coalesce("neighbours", F.lit(0)).alias("neighbours")).orderBy(F.desc("neighbours"), "name")
+    """Published organisations whose names hold a text, those most between others first."""
+    ranks = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness"))
+    rows = entities(spark, d).filter(F.contains("v", F.lit(_SEARCH))).join(shuffled(ranks), "v", "left")
+    return rows.select(F.col("v").alias("name"), "type", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")).orderBy(F.desc("betweenness"), "name")
+
+
+@_r.query(" UNION ALL ".join(f"SELECT view, v AS name, round(2 + 40 * betweenness, 4) AS size FROM ({published_sql(view)})" for view in VIEWS))
+def viewer_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """What a node is drawn with under each filter: a base and a multiple of its betweenness there."""
+    return betweenness(spark, d).select("view", F.col("v").alias("name"), F.round(2 + 40 * F.col("betweenness"), 4).alias("size"))
 
 
 _TOP = "(SELECT v FROM dg ORDER BY neighbours DESC, v LIMIT 1)"
@@ -116,14 +125,19 @@ def ego_network(spark: SparkSession, d: str) -> DataFrame:
     return L.ego(edges, top["v"] if top else "")
 
 
-@_r.query(f"""WITH {EDGES}, {TYPES}, o AS (SELECT s AS v, t AS w, edge_id, rel FROM e UNION ALL SELECT t, s, edge_id, rel FROM e)
-SELECT v AS name, type, edge_id, w AS other, rel AS relationship FROM ty LEFT JOIN o USING (v)""")
+@_r.query(f"""WITH {EDGES}, {TYPES}, {RECORDS_SQL}, o AS (SELECT s AS v, t AS w, edge_id, rel FROM e UNION ALL SELECT t, s, edge_id, rel FROM e)
+SELECT v AS name, type, description, edge_id, w AS other, rel AS relationship, x.context, x.evidence, coalesce(array_to_string(x.wikipedia_urls, '|'), '') AS sources FROM ty JOIN nd USING (v) LEFT JOIN o USING (v) LEFT JOIN global_network_edges x USING (edge_id)""")
 def entity_details(spark: SparkSession, d: str) -> DataFrame:
-    """The panel of every organisation: its record with each of its edges, a row an edge, so hubs are no single row."""
+    """The panel of every organisation: its record, and each of its edges with texts, evidence and sources; a row an edge, so hubs are no single row."""
     e = signed(spark, d).filter("source <> '' and target <> '' and source <> target")
     ends = F.explode(F.array(F.struct(F.col("source").alias("v"), F.col("target").alias("other")), F.struct(F.col("target").alias("v"), F.col("source").alias("other"))))
     rows = e.select(ends.alias("x"), "edge_id", "relationship").select("x.v", "x.other", "edge_id", "relationship")
-    return vertex_types(spark, d).join(rows, "v", "left").select(F.col("v").alias("name"), "type", "edge_id", "other", "relationship")
+    told = table(spark, d, "global_network_edges").select("edge_id", "context", "evidence", F.array_join("wikipedia_urls", "|").alias("sources"))
+    own = vertex_types(spark, d).join(shuffled(records(spark, d).select("v", "description")), "v")
+    panels = spread_join(rows.join(shuffled(told), "edge_id"), own, "v", hot_values(rows, "v", rows.count()))
+    alone = own.join(shuffled(rows.select("v").distinct()), "v", "left_anti")
+    out = panels.unionByName(alone, allowMissingColumns=True)
+    return out.select(F.col("v").alias("name"), "type", "description", "edge_id", "other", "relationship", "context", "evidence", F.coalesce("sources", F.lit("")).alias("sources"))
 
 
 QUERIES, SQL = _r.queries, _r.sql

@@ -206,15 +206,15 @@ def _betweenness_sql(edges: str, value: str, steps: int = 26) -> str:
     return ", ".join(ctes).replace("{e}", edges)
 
 
-def _entities(spark: SparkSession, d: str) -> DataFrame:
+def entities(spark: SparkSession, d: str) -> DataFrame:
     """(v, type) of the organisations of a canonical type: what is published."""
     return vertex_types(spark, d).filter("type <> 'other'")
 
 
-def _published(spark: SparkSession, d: str, name: str | None) -> DataFrame:
+def published(spark: SparkSession, d: str, name: str | None) -> DataFrame:
     """The simple edges of a layer, or of both, between published organisations."""
     rows = signed(spark, d).filter("relationship <> 'other'")
-    names = _entities(spark, d).select("v")
+    names = entities(spark, d).select("v")
     for end in ("source", "target"):
         rows = rows.join(shuffled(names.toDF(end)), end, "left_semi")
     return L.layer(rows, name)
@@ -222,27 +222,27 @@ def _published(spark: SparkSession, d: str, name: str | None) -> DataFrame:
 
 _PUBLISHED = f"""{EDGES}, {TYPES}, en AS MATERIALIZED (SELECT v FROM ty WHERE type <> 'other'),
 pe AS MATERIALIZED (SELECT DISTINCT least(s, t) AS a, greatest(s, t) AS b, rel FROM e WHERE rel <> 'other' AND s IN (SELECT v FROM en) AND t IN (SELECT v FROM en))"""
-_VIEWS = {"alliance": "rel = 'alliance'", "rivalry": "rel = 'rivalry'", "combined": "true"}
+VIEWS = {"alliance": "rel = 'alliance'", "rivalry": "rel = 'rivalry'", "combined": "true"}
 
 
-def _published_sql(view: str) -> str:
-    return f"WITH {_PUBLISHED}, px AS MATERIALIZED (SELECT DISTINCT a, b FROM pe WHERE {_VIEWS[view]}), pb AS MATERIALIZED (SELECT a AS v, b AS w, 1 AS m FROM px UNION ALL SELECT b, a, 1 FROM px), {_betweenness_sql('pb', 'betweenness')} SELECT '{view}' AS view, en.v, round(coalesce(betweenness, 0), 6) AS betweenness FROM en LEFT JOIN bt USING (v)"
+def published_sql(view: str) -> str:
+    return f"WITH {_PUBLISHED}, px AS MATERIALIZED (SELECT DISTINCT a, b FROM pe WHERE {VIEWS[view]}), pb AS MATERIALIZED (SELECT a AS v, b AS w, 1 AS m FROM px UNION ALL SELECT b, a, 1 FROM px), {_betweenness_sql('pb', 'betweenness')} SELECT '{view}' AS view, en.v, round(coalesce(betweenness, 0), 6) AS betweenness FROM en LEFT JOIN bt USING (v)"
 
 
-@_r.query(" UNION ALL ".join(f"SELECT * FROM ({_published_sql(view)})" for view in _VIEWS))
+@_r.query(" UNION ALL ".join(f"SELECT * FROM ({published_sql(view)})" for view in VIEWS))
 def betweenness(spark: SparkSession, d: str) -> DataFrame:
     """Of each published organisation, on the simple graphs between published ones; 0 where it has no edge."""
-    names, out = _entities(spark, d).select("v"), []
+    names, out = entities(spark, d).select("v"), []
     for view, name in (("alliance", "alliance"), ("rivalry", "rivalry"), ("combined", None)):
-        rows = names.join(shuffled(Z.betweenness(_published(spark, d, name))), "v", "left")
+        rows = names.join(shuffled(Z.betweenness(published(spark, d, name))), "v", "left")
         out.append(rows.select(F.lit(view).alias("view"), "v", F.round(F.coalesce("betweenness", F.lit(0.0)), 6).alias("betweenness")))
     return reduce(DataFrame.unionByName, out)
 
 
-@_r.query(f"SELECT v, betweenness FROM ({_published_sql('combined')}) ORDER BY betweenness DESC, v LIMIT 5")
+@_r.query(f"SELECT v, betweenness FROM ({published_sql('combined')}) ORDER BY betweenness DESC, v LIMIT 5")
 def top_betweenness(spark: SparkSession, d: str) -> DataFrame:
     """The five organisations that are most between others."""
-    rows = Z.betweenness(_published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness"))
+    rows = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness"))
     return C.top(rows, 5, F.desc("betweenness"), F.asc("v"))
 
 
@@ -287,13 +287,13 @@ def _metrics(spark: SparkSession, d: str, name: str = "alliance") -> DataFrame:
 _METRICS = _kcore_sql().replace(", c0 AS", f", {TYPES}, c0 AS", 1) + f", {_pagerank_sql('SELECT v FROM dg')}, {_betweenness_sql('bw', 'betweenness')}, mt AS (SELECT dg.v, coalesce(type, 'unknown') AS type, degree, round(betweenness, 6) AS betweenness, round(r, 7) AS pagerank, core FROM dg JOIN bt USING (v) JOIN r90 USING (v) JOIN core USING (v) LEFT JOIN ty USING (v))"
 
 
-def _records(spark: SparkSession, d: str) -> DataFrame:
+def records(spark: SparkSession, d: str) -> DataFrame:
     """(v, description, mentioned_in, time_period) of the nodes, those of the least id for a name."""
     n = table(spark, d, "global_network_nodes").select(fold_name(F.col("standard_name")).alias("v"), "node_id", F.coalesce("context", F.lit("")).alias("description"), F.size(F.coalesce("source_articles", F.array().cast("array<string>"))).alias("mentioned_in"), F.coalesce("time_period", F.lit("")).alias("time_period"))
     return n.filter("v <> ''").groupBy("v").agg(F.min_by(F.struct("description", "mentioned_in", "time_period"), "node_id").alias("n")).select("v", "n.*")
 
 
-_MASTER_RECORDS = f"nd AS (SELECT {fold('standard_name')} AS v, first(coalesce(context, '') ORDER BY node_id) AS description, first(coalesce(len(source_articles), 0) ORDER BY node_id) AS mentioned_in, first(coalesce(time_period, '') ORDER BY node_id) AS time_period FROM global_network_nodes WHERE {fold('standard_name')} <> '' GROUP BY 1)"
+RECORDS_SQL = f"nd AS (SELECT {fold('standard_name')} AS v, first(coalesce(context, '') ORDER BY node_id) AS description, first(coalesce(len(source_articles), 0) ORDER BY node_id) AS mentioned_in, first(coalesce(time_period, '') ORDER BY node_id) AS time_period FROM global_network_nodes WHERE {fold('standard_name')} <> '' GROUP BY 1)"
 _OWN = f"ow AS (SELECT DISTINCT {fold('standard_name')} AS v FROM global_network_nodes JOIN articles ON {fold('title')} = {fold('standard_name')} WHERE {fold('standard_name')} <> '')"
 
 
@@ -303,8 +303,8 @@ def _master_sql(betweenness_of: bool = True) -> str:
         k = name[0]
         parts.append(f"m{k} AS (SELECT * FROM ({_of(_METRICS, name)} SELECT v, degree, betweenness, pagerank FROM mt))")
     deg = "coalesce(ma.degree, 0)", "coalesce(mr.degree, 0)"
-    combined = _published_sql("combined")
-    return f"""WITH {EDGES}, {TYPES}, {_MASTER_RECORDS}, {_OWN}, {', '.join(parts)}, vs AS ({_ALL}), dt AS (SELECT v, count(*) AS n FROM (SELECT s AS v FROM e UNION ALL SELECT t FROM e) GROUP BY 1), bc AS ({combined})
+    combined = published_sql("combined")
+    return f"""WITH {EDGES}, {TYPES}, {RECORDS_SQL}, {_OWN}, {', '.join(parts)}, vs AS ({_ALL}), dt AS (SELECT v, count(*) AS n FROM (SELECT s AS v FROM e UNION ALL SELECT t FROM e) GROUP BY 1), bc AS ({combined})
 SELECT vs.v, coalesce(type, 'unknown') AS type, coalesce(description, '') AS description, CAST(ow.v IS NOT NULL AS INTEGER) AS has_own_source, coalesce(mentioned_in, 0) AS mentioned_in, coalesce(time_period, '') AS time_period,
 coalesce(ma.betweenness, 0) AS betweenness_alliance, coalesce(mr.betweenness, 0) AS betweenness_rivalry, coalesce(bc.betweenness, 0) AS betweenness_combined, {deg[0]} AS degree_alliance, {deg[1]} AS degree_rivalry, coalesce(dt.n, 0) AS degree_total,
 coalesce(ma.pagerank, 0) AS pagerank_alliance, coalesce(mr.pagerank, 0) AS pagerank_rivalry FROM vs LEFT JOIN ty USING (v) LEFT JOIN nd USING (v) LEFT JOIN ow USING (v) LEFT JOIN ma USING (v) LEFT JOIN mr USING (v) LEFT JOIN dt USING (v) LEFT JOIN bc USING (v)"""
@@ -314,10 +314,10 @@ coalesce(ma.pagerank, 0) AS pagerank_alliance, coalesce(mr.pagerank, 0) AS pager
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
     """One row per organisation: its record, and its metrics in both layers, 0 where it is not in one."""
     titles = table(spark, d, "articles").select(fold_name(F.col("title")).alias("v")).distinct().withColumn("own", F.lit(1))
-    records = _records(spark, d)
+    records = records(spark, d)
     own = records.select("v").join(shuffled(titles), "v").select("v", "own")
     out = _vertices(spark, d)
-    combined = Z.betweenness(_published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness_combined"))
+    combined = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness_combined"))
     total = L.degrees(_layer(spark, d, None)).select("v", F.col("degree").alias("degree_total"))
     for side in (vertex_types(spark, d), records, own, combined, total):
         out = out.join(shuffled(side), "v", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators import census as C
 from ..operators import models as M
 from ..operators.entities import final_entities as build_entities
 from ..operators.evidence import pick_text
+from ..operators.joins import hot_values, spread_join
 from ..scratch import Scratch
 from ..sources import files, sinks
 from ..streaming import ingest as S
@@ -107,12 +109,13 @@ def paragraph_explode(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("content_id", (F.col("at") + 1).cast("bigint").alias("paragraph_no"), "paragraph")
 
 
-@_r.query(f"""
-WITH RECURSIVE p AS (SELECT content_id, {_PARAS} AS ps FROM article_content),
+CHUNKED = f"""WITH RECURSIVE p AS (SELECT content_id, {_PARAS} AS ps FROM article_content),
 n AS (SELECT content_id, list_transform(ps, lambda x: {_words('x')}) AS ns FROM p WHERE len(ps) > 0),
 w AS (SELECT content_id, ns, 1 AS i, 1 AS chunk_no, ns[1] AS total FROM n
-  UNION ALL SELECT content_id, ns, i + 1, CASE WHEN total + ns[i + 1] > 2500 THEN chunk_no + 1 ELSE chunk_no END, CASE WHEN total + ns[i + 1] > 2500 THEN ns[i + 1] ELSE total + ns[i + 1] END FROM w WHERE i < len(ns))
-SELECT content_id, chunk_no, CAST(max(total) AS BIGINT) AS n_words FROM w GROUP BY 1, 2""")
+  UNION ALL SELECT content_id, ns, i + 1, CASE WHEN total + ns[i + 1] > 2500 THEN chunk_no + 1 ELSE chunk_no END, CASE WHEN total + ns[i + 1] > 2500 THEN ns[i + 1] ELSE total + ns[i + 1] END FROM w WHERE i < len(ns))"""
+
+
+@_r.query(CHUNKED + " SELECT content_id, chunk_no, CAST(max(total) AS BIGINT) AS n_words FROM w GROUP BY 1, 2")
 def chunk_pack(spark: SparkSession, d: str) -> DataFrame:
     return T.chunks(table(spark, d, "article_content"), "content_id", "content").select("content_id", "chunk_no", F.col("n_words").cast("bigint").alias("n_words"))
 
@@ -138,7 +141,8 @@ FROM (SELECT DISTINCT source_file, standard_name FROM extracted WHERE strip(stan
 def mention_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "extracted").select("source_file", "standard_name").filter(strip_space("standard_name") != "").distinct()
     texts = table(spark, d, "article_content").filter("content is not null").select(F.col("folder_name").alias("source_file"), "content_id", "content")
-    return names.join(texts, "source_file").select("source_file", "standard_name", "content_id", T.mentioning(F.col("content"), F.col("standard_name")).alias("passages"))
+    # an article that very many names are from is spread over tasks
+    return spread_join(names, texts, "source_file", hot_values(names, "source_file", names.count())).select("source_file", "standard_name", "content_id", T.mentioning(F.col("content"), F.col("standard_name")).alias("passages"))
 
 
 def _contents(spark: SparkSession, d: str) -> DataFrame:
@@ -168,7 +172,7 @@ class CountStub:
     """Stands in for a model where none can be asked: counts what it is given, the same each time."""
 
     def __call__(self, prompt: str, max_tokens: int) -> tuple[str, bool]:
-        name = prompt.split("\n", 1)[0].removeprefix("ARTICLE: ")
+        name = re.search("^Title: (.*)$", prompt, re.M)[1]
         node = {"standard_name": name, "original_text_name": name, "aliases": [], "type": "gang", "context": str(len(prompt)), "time_period": None}
         return "```json\n" + json.dumps({"nodes": [node], "edges": []}) + "\n```", False
 
