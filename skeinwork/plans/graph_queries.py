@@ -314,12 +314,12 @@ coalesce(ma.pagerank, 0) AS pagerank_alliance, coalesce(mr.pagerank, 0) AS pager
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
     """One row per organisation: its record, and its metrics in both layers, 0 where it is not in one."""
     titles = table(spark, d, "articles").select(fold_name(F.col("title")).alias("v")).distinct().withColumn("own", F.lit(1))
-    records = records(spark, d)
-    own = records.select("v").join(shuffled(titles), "v").select("v", "own")
+    own_records = records(spark, d)
+    own = own_records.select("v").join(shuffled(titles), "v").select("v", "own")
     out = _vertices(spark, d)
     combined = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness_combined"))
     total = L.degrees(_layer(spark, d, None)).select("v", F.col("degree").alias("degree_total"))
-    for side in (vertex_types(spark, d), records, own, combined, total):
+    for side in (vertex_types(spark, d), own_records, own, combined, total):
         out = out.join(shuffled(side), "v", "left")
     for name in LAYERS:
         m = _metrics(spark, d, name)
@@ -351,13 +351,14 @@ def layer_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _importance_sql(metrics: tuple[str, ...]) -> str:
-    cells = ", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_std, round(stddev_samp({m}) / sqrt(count(*)), 6) AS {m}_se, {f'CAST(sum({m}) AS BIGINT)' if m == 'degree' else f'round(sum({m}), 6)'} AS {m}_sum" for m in metrics)
+    cells = ", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_std, round(stddev_samp({m}) / sqrt(count(*)), 6) AS {m}_se, {f'CAST(sum({m}) AS BIGINT)' if m == 'degree' else f'round(sum({m}), {4 if m == "pagerank" else 6})'} AS {m}_sum" for m in metrics)
     return f"SELECT type, count(*) AS n, {cells} FROM mt GROUP BY 1"
 
 
 @_each_layer(f"{_METRICS} {_importance_sql(('degree', 'betweenness', 'pagerank'))}")
 def type_importance(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return S.importance(_metrics(spark, d, name), "type", ["degree", "betweenness", "pagerank"])
+    # ranks settle to a tolerance, so their sums are told in fewer digits
+    return S.importance(_metrics(spark, d, name), "type", ["degree", "betweenness", "pagerank"]).withColumn("pagerank_sum", F.round("pagerank_sum", 4))
 
 
 @_each_layer(f"{_A}, {TYPES} SELECT coalesce(type, 'unknown') AS type, count(*) AS n, round(avg(degree), 6) AS degree_mean, round(stddev_samp(degree), 6) AS degree_std, round(stddev_samp(degree) / sqrt(count(*)), 6) AS degree_se, CAST(sum(degree) AS BIGINT) AS degree_sum FROM dg LEFT JOIN ty USING (v) GROUP BY 1")

@@ -175,10 +175,29 @@ def test_pseudo_diameter_of_the_largest_component(spark, monkeypatch):
     from skeinwork.plans import graph_queries as Q
 
     monkeypatch.setattr(Q, "_layer", lambda *_: graph(spark, *STAR, "ef", "fg", "gh", "hi", "ij", "jk", "kl"))
-    assert [tuple(r) for r in Q.pseudo_diameter(spark, "").collect()] == [("alliance", 7)]
+    assert [tuple(r) for r in Q.pseudo_diameter(spark, "").collect()] == [("alliance", 7), ("rivalry", 7)]
 
 
 def test_pseudo_diameter_sweeps_to_the_end(spark, monkeypatch):
     far = iter([*range(1, 13), 12])
     monkeypatch.setattr(T, "distances", lambda edges, start: spark.createDataFrame([("v", next(far))], "v string, distance int"))
     assert T.pseudo_diameter(None, "a") == 12
+
+
+def test_long_chain_in_either_way(spark):
+    chain = spark.createDataFrame([(f"{i:05d}", f"{i + 1:05d}", 1) for i in range(1500)], "a string, b string, m int")
+    assert T.distances(chain, "00000").agg({"distance": "max"}).first()[0] == 1500
+    assert {r.core for r in T.core_numbers(chain).collect()} == {1}
+    assert T.components(chain, local_edges=0).select("component").distinct().count() == 1
+    short = chain.filter("a < '00012'")
+    assert T.distances(short, "00000", local_edges=0).agg({"distance": "max"}).first()[0] == 12
+    assert {r.core for r in T.core_numbers(short, local_edges=0).collect()} == {1}
+
+
+def test_ranks_of_both_ways_agree(spark):
+    rng = random.Random(9)
+    pairs = [(chr(97 + rng.randrange(20)), chr(97 + rng.randrange(20))) for _ in range(40)]
+    g = graph(spark, *[p for p in pairs if p[0] != p[1]])
+    one, two = (by_v(Z.pagerank(g, local_edges=n), "pagerank") for n in (0, 1000))
+    assert one == pytest.approx(two, abs=1e-7)
+

@@ -78,7 +78,7 @@ def test_chooser(spark):
 
     class Second:
         def __call__(self, prompt, max_tokens):
-            return ('{"choice": 1}' if "c / d" in prompt else '{"choice": 9}'), False
+            return ('{"choice": 1}' if "c and d" in prompt else '{"choice": 9}'), False
 
     kept = R.one_per_pair(e, F.col("edge_id"), 2030, M.model_chooser(Second))
     assert sorted((r.a, r.edge_id) for r in kept.collect()) == [("c", 5), ("m", 7)]
@@ -233,7 +233,11 @@ def test_countries_and_prompts(spark):
     got = {r.name: (r.country, r.countries_active, r.country_confidence, r.country_method) for r in M.countries(df).collect()}
     assert got == {"N": ("Peru", ["Peru", "Chile"], "high", "own_source"), "M": ("Unknown", [], "low", "name_only")}
     p = df.select(country_prompt(F.col("name"), F.lit(None).cast("string"), F.col("method"), F.lit("text"))).first()[0]
-    assert p.startswith("ORGANIZATION: N\nTYPE: unknown\n") and p.endswith("--- TEXT ---\ntext\n--- END ---")
+    assert "Name: N\nKind: not known\n" in p and p.endswith("<text>\ntext\n</text>")
+    own = df.select(country_prompt(F.col("name"), F.lit("gang"), F.col("method"), F.lit("text"), "Say it.")).first()[0]
+    assert own.startswith("Say it.\n\nName: N\nKind: gang\n")
+    left = M.with_countries(df.select("name").union(df.selectExpr("'Q'")), M.countries(df)).collect()
+    assert {r.name: (r.country, r.countries_active, r.country_confidence, r.country_method) for r in left}["Q"] == ("Unknown", [], "low", None)
 
 
 def test_final_tables(spark):
@@ -244,3 +248,58 @@ def test_final_tables(spark):
     e = edges(spark, [(1, "A", "C", "alliance", None, "t", None, ["https://x/?title=A_b", "https://x/"]), (2, "A", "B", "alliance"), (3, "A", "C", "other"), (4, "a", "C", "rivalry")])
     rel = R.final_relations(e, ents).collect()
     assert [(r.source, r.target, r.type, r.descriptions, [s.title for s in r.sources]) for r in rel] == [("A", "C", "allied_with", ["t"], ["A b", "Wikipedia"])]
+
+
+def test_retries_of_services(spark):
+    from skeinwork.operators.models import again
+    from skeinwork.sources.files import revision_of
+
+    waited, calls = [], iter([RuntimeError("429"), RuntimeError("HTTP 429 Too Many Requests"), "page"])
+
+    def call():
+        x = next(calls)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert again(call, sleep=waited.append) == "page" and waited == [5.0, 10.0]
+    with pytest.raises(ValueError):
+        again(lambda: int("x"), sleep=waited.append)
+
+    class Empty:
+        def __init__(self, answers):
+            self.answers = iter(answers)
+
+        def oldid(self, lang, title):
+            return next(self.answers)
+
+    waited.clear()
+    assert revision_of(Empty([(None, "empty"), (None, "empty"), (7, None)]), "en", "x", sleep=waited.append) == (7, None) and waited == [3.0, 6.0]
+    waited.clear()
+    assert revision_of(Empty([(None, "not found")]), "en", "x", sleep=waited.append) == (None, "not found") and not waited
+
+
+def test_sets_of_a_hot_group(spark):
+    from skeinwork.operators.entities import with_sets
+
+    rows = spark.createDataFrame([("a", ["x", None, ""]), ("a", ["y", "x"]), ("b", None), ("b", [])], "k string, s array<string>")
+    got = with_sets(rows.select("k").distinct(), rows, ["k"], {"s": rows["s"]})
+    assert {r.k: r.s for r in got.collect()} == {"a": ["x", "y"], "b": []}
+
+
+def test_network_beyond_one_document(spark, tmp_path):
+    from skeinwork.sources import files, sinks
+
+    nodes = spark.createDataFrame([("A", ["a"]), ("B", None)], "standard_name string, aliases array<string>")
+    edges = spark.createDataFrame([("A", "B")], "source string, target string")
+    for most, one in ((10, True), (2, False)):
+        path = f"file://{tmp_path}/n{most}"
+        assert sinks.write_network(nodes, edges, path, "d", most) is one
+        n, e = files.network(spark, path)
+        assert sorted(r.standard_name for r in n.collect()) == ["A", "B"] and [(r.source, r.target) for r in e.collect()] == [("A", "B")]
+
+
+def test_infobox_of_a_page_without_ends():
+    from skeinwork.functions.infobox import infobox_text
+
+    assert infobox_text("<div>" * 20_000 + "<table class=infobox><tr><th>K</th><td>v" + "<b>" * 20_000 + "w") == "K: v w"
