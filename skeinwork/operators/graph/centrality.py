@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 
 from ...scratch import Scratch
 from ..joins import hot_values, shuffled, spread_join
-from . import local
+from . import blocks, local
 from .layers import both_ways, degrees, positions
 
 #: A graph of up to so many edges and vertices is numbered by Spark and sent to every task: 24 bytes an edge, 48 MB at most.
 BROADCAST_EDGES = 2_000_000
+#: Edges that the searches of a task walk along at least, some seconds.
+TASK_EDGES = 50_000_000
 #: (source, vertex) pairs that the joins beyond keep at a time.
 BLOCK_PAIRS = 200_000_000
 
@@ -60,38 +62,12 @@ def _alone(damping: float, total: int, n_alone: int) -> float:
     return (1 - damping) / (total - damping * n_alone) if total else 0.0
 
 
-def _brandes(start: int, first: np.ndarray, to: np.ndarray, weight: np.ndarray, score: np.ndarray) -> None:
-    """Adds the dependencies of one source; levels are handled whole. weight: parallel edges."""
-    n = len(first) - 1
-    dist = np.full(n, -1, dtype=np.int32)
-    paths = np.zeros(n)
-    dist[start], paths[start] = 0, 1.0
-    level, steps = np.array([start]), []
-    while len(level):
-        sizes = first[level + 1] - first[level]
-        owner = np.repeat(level, sizes)
-        at = np.repeat(first[level] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        w = to[at]
-        fresh = dist[w] < 0
-        dist[w[fresh]] = dist[start] + len(steps) + 1
-        down = dist[w] == len(steps) + 1
-        o, w, m = owner[down], w[down], weight[at[down]]
-        paths += np.bincount(w, paths[o] * m, minlength=n) if len(w) else 0
-        steps.append((o, w, m))
-        level = np.unique(w)
-    need = np.zeros(n)
-    for o, w, m in reversed(steps):
-        if len(w):
-            need += np.bincount(o, paths[o] * m / paths[w] * (1 + need[w]), minlength=n)
-    need[start] = 0
-    score += need
-
-
 def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
     """(v, betweenness) of the vertices of edges, scaled to 0..1 for undirected graphs; 0 with fewer than three.
 
-    All sources are used: the exact measure takes vertices times edges steps, whatever computes it. Spark numbers the vertices; up to broadcast_edges edges, counted
-    before, the numbers go to every task as arrays, the sources are spread, and every task sends one partial sum per vertex.
+    All sources are used. Spark numbers the vertices; up to broadcast_edges edges, counted before, the numbers are split into biconnected blocks,
+    which go to every task as arrays: trees are summed up without a search, and inside a block of three or more the exact measure takes vertices
+    times edges steps. The sources of all blocks are spread by what they cost, and every task sends one partial sum per vertex.
     Beyond, levels of all sources advance together by joins, in blocks of sources.
     """
     scratch = Scratch(edges.sparkSession, "betweenness")
@@ -99,29 +75,30 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     size = edges.count()
     if size > broadcast_edges:
         return _betweenness_by_joins(edges, scratch)
-    spark = edges.sparkSession
+    context = edges.sparkSession.sparkContext
     listed = scratch.save(positions(both_ways(edges).select("v").distinct(), {"v": "id"}, "v").select("v", (F.col("id") - 1).alias("id")))
     n = listed.count()
     if n < 3:
         return listed.select("v", F.lit(0.0).alias("betweenness"))
     numbered = edges.join(shuffled(listed.toDF("a", "x")), "a").join(shuffled(listed.toDF("b", "y")), "b").select("x", "y", "m")
-    table = numbered.toPandas()  # three numbers an edge, at most broadcast_edges of them
-    a, b, m = (table[c].to_numpy() for c in ("x", "y", "m"))
-    src, dst, wt = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((m, m))
-    order = np.argsort(src, kind="stable")
-    first = np.concatenate(([0], np.cumsum(np.bincount(src, minlength=n))))
-    graph = spark.sparkContext.broadcast((first, dst[order], wt[order].astype(float)))
+    table = numbered.toArrow()  # three numbers an edge, at most broadcast_edges of them
+    graph = blocks.split(n, *(table[c].to_numpy() for c in ("x", "y", "m")))
+    reached = np.cumsum(blocks.costs(graph))
+    tasks = int(min(context.defaultParallelism * 4, 1 + (reached[-1] if len(reached) else 0) // TASK_EDGES))
+    cuts = np.concatenate(([0], np.searchsorted(reached, reached[-1] * np.arange(1, tasks) / tasks), [len(reached)])) if len(reached) else np.zeros(2, dtype=np.int64)
+    shared = context.broadcast((graph, cuts))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score = np.zeros(n)
         for batch in batches:
-            for s in batch["id"]:
-                _brandes(int(s), *graph.value, score)
-        at = np.flatnonzero(score)
-        yield pd.DataFrame({"id": at, "score": score[at]})
-
-    tasks = max(1, min(n, spark.sparkContext.defaultParallelism * 2))
-    sums = spark.range(0, n, 1, tasks).mapInPandas(run, "id bigint, score double").groupBy("id").agg(F.sum("score").alias("score"))
+            for task in batch["id"]:
+                g, at = shared.value
+                score = np.bincount(g.vertex, blocks.dependencies(g, int(at[task]), int(at[task + 1])), minlength=n)
+                if task == 0:
+                    score = score + g.base
+                ids = np.flatnonzero(score)
+                yield pd.DataFrame({"id": ids, "score": score[ids]})
+
+    sums = edges.sparkSession.range(0, tasks, 1, tasks).mapInPandas(run, "id bigint, score double").groupBy("id").agg(F.sum("score").alias("score"))
     return listed.join(shuffled(sums), "id", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
 
 

@@ -4,9 +4,11 @@ import inspect
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skeinwork.operators.graph import blocks as B
 from skeinwork.operators.graph import centrality as Z
 from skeinwork.operators.graph import clustering as K
 from skeinwork.operators.graph import layers as L
@@ -201,3 +203,54 @@ def test_ranks_of_both_ways_agree(spark):
     one, two = (by_v(Z.pagerank(g, local_edges=n), "pagerank") for n in (0, 1000))
     assert one == pytest.approx(two, abs=1e-7)
 
+
+
+def _brandes(n, pairs):
+    """By definition: shortest paths counted from every vertex, parallel edges as paths of their own."""
+    near = {v: {} for v in range(n)}
+    for (a, b), m in pairs.items():
+        near[a][b] = near[b][a] = m
+    score = [0.0] * n
+    for s in range(n):
+        far, paths, order = {s: 0}, {s: 1}, [s]
+        for v in order:
+            for w, m in near[v].items():
+                if w not in far:
+                    far[w], paths[w] = far[v] + 1, 0
+                    order.append(w)
+                if far[w] == far[v] + 1:
+                    paths[w] += paths[v] * m
+        need = dict.fromkeys(order, 0.0)
+        for w in reversed(order):
+            for v, m in near[w].items():
+                if far[v] == far[w] - 1:
+                    need[v] += paths[v] * m / paths[w] * (1 + need[w])
+            score[w] += need[w] * (w != s)
+    return score
+
+
+@pytest.mark.parametrize("together", [1, 20_000])
+def test_betweenness_by_blocks(monkeypatch, together):
+    monkeypatch.setattr(B, "_TOGETHER", together)
+    rng = random.Random(5)
+    for _ in range(60):
+        n = rng.randrange(1, 30)
+        pairs = {(a, b): rng.randrange(1, 4) for a, b in itertools.combinations(range(n), 2) if rng.random() < rng.choice((0.03, 0.08, 0.2))}
+        a, b, m = (np.array(x, dtype=np.int64) for x in ([p[0] for p in pairs], [p[1] for p in pairs], list(pairs.values())))
+        g = B.split(n, a, b, m)
+        cut = rng.randrange(len(g.vertex) + 1)
+        places = B.dependencies(g, 0, cut) + B.dependencies(g, cut, len(g.vertex))
+        assert g.base + np.bincount(g.vertex, places, minlength=n) == pytest.approx(_brandes(n, pairs))
+
+
+def test_betweenness_of_a_large_tree(spark):
+    # 60,000 sources of 60,000 vertices each, were they searched; the blocks of a tree are not
+    n = 60_000
+    tree = spark.range(1, n).select(F.format_string("%06d", F.floor((F.col("id") - 1) / 2)).alias("a"), F.format_string("%06d", "id").alias("b"), F.lit(1).alias("m"))
+    got = by_v(Z.betweenness(tree), "betweenness")
+    size = [1] * n
+    for v in range(n - 1, 0, -1):
+        size[(v - 1) // 2] += size[v]
+    for v in (0, 1, 2, 77, 20_000, n - 1):
+        branches = [size[c] for c in (2 * v + 1, 2 * v + 2) if c < n] + [n - size[v]]
+        assert got[f"{v:06d}"] == pytest.approx(((n - 1) ** 2 - sum(x * x for x in branches)) / ((n - 1) * (n - 2)))
