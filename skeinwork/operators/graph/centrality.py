@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from ...scratch import Scratch
 from ..joins import hot_values, shuffled, spread_join
 from . import blocks, local
-from .layers import both_ways, degrees, positions
+from .layers import both_ways, degrees
 
-#: A graph of up to so many edges and vertices is numbered by Spark and sent to every task: 24 bytes an edge, 48 MB at most.
-BROADCAST_EDGES = 2_000_000
+#: A graph of up to so many edges is numbered by Spark and sent to every task: 24 bytes an edge, 48 MB at most.
+BROADCAST_EDGES = local.NUMBERED_EDGES
 #: Edges that the searches of a task walk along at least, some seconds.
 TASK_EDGES = 50_000_000
 #: (source, vertex) pairs that the joins beyond keep at a time.
@@ -29,13 +29,18 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float
 
     Ranks join the edges on the sender, hubs salted, and are summed before the shuffle. Every round is written, which cuts the lineage, and the change is looked at every few rounds.
     """
-    if local.is_small(edges, local_edges):
+    if not vars(edges).get("_skein_numbers") and local.is_small(edges, local_edges):
         linked = both_ways(edges).select("v").distinct()
         alone = vertices.select("v").distinct().join(linked, "v", "left_anti") if vertices is not None else linked.limit(0)
         n_linked = linked.count()
         total = n_linked + alone.count()
         ranks = local.in_one_task(edges, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance, total))
         return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, total - n_linked)).alias("pagerank")))
+    if local_edges and (numbers := local.numbered(edges)):
+        alone = vertices.select("v").distinct().join(shuffled(numbers.vertices.select("v")), "v", "left_anti") if vertices is not None else numbers.vertices.select("v").limit(0)
+        total = numbers.n + (alone.count() if vertices is not None else 0)
+        ranks = local.by_numbers(numbers, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance, total))
+        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, total - numbers.n)).alias("pagerank")))
     scratch = Scratch(edges.sparkSession, "pagerank")
     d = degrees(edges).select("v", "degree")
     near = scratch.save(both_ways(edges).join(shuffled(d), "v").select("v", "w", (F.col("m") / F.col("degree")).alias("part")))
@@ -70,19 +75,16 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     times edges steps. The sources of all blocks are spread by what they cost, and every task sends one partial sum per vertex.
     Beyond, levels of all sources advance together by joins, in blocks of sources.
     """
-    scratch = Scratch(edges.sparkSession, "betweenness")
-    edges = scratch.save(edges.select("a", "b", (F.lit(1) if collapse_parallel else F.col("m")).cast("bigint").alias("m")))
-    size = edges.count()
-    if size > broadcast_edges:
-        return _betweenness_by_joins(edges, scratch)
-    context = edges.sparkSession.sparkContext
-    listed = scratch.save(positions(both_ways(edges).select("v").distinct(), {"v": "id"}, "v").select("v", (F.col("id") - 1).alias("id")))
-    n = listed.count()
+    numbers = local.numbered(edges, broadcast_edges)
+    if numbers is None:
+        scratch = Scratch(edges.sparkSession, "betweenness")
+        return _betweenness_by_joins(scratch.save(edges.select("a", "b", (F.lit(1) if collapse_parallel else F.col("m")).cast("bigint").alias("m"))), scratch)
+    context, listed, n = edges.sparkSession.sparkContext, numbers.vertices, numbers.n
     if n < 3:
         return listed.select("v", F.lit(0.0).alias("betweenness"))
-    numbered = edges.join(shuffled(listed.toDF("a", "x")), "a").join(shuffled(listed.toDF("b", "y")), "b").select("x", "y", "m")
-    table = numbered.toArrow()  # three numbers an edge, at most broadcast_edges of them
-    graph = blocks.split(n, *(table[c].to_numpy() for c in ("x", "y", "m")))
+    table = numbers.edges.toArrow()  # three numbers an edge, at most broadcast_edges of them
+    a, b, m = (table[c].to_numpy() for c in ("x", "y", "m"))
+    graph = blocks.split(n, a, b, np.ones_like(m) if collapse_parallel else m)
     reached = np.cumsum(blocks.costs(graph))
     tasks = int(min(context.defaultParallelism * 4, 1 + (reached[-1] if len(reached) else 0) // TASK_EDGES))
     cuts = np.concatenate(([0], np.searchsorted(reached, reached[-1] * np.arange(1, tasks) / tasks), [len(reached)])) if len(reached) else np.zeros(2, dtype=np.int64)

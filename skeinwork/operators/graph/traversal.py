@@ -20,8 +20,11 @@ def components(edges: DataFrame, local_edges: int = local.LOCAL_EDGES) -> DataFr
     Alternating stars: the larger neighbours of a vertex, then its smaller ones, are hung on the least of its neighbourhood.
     Rounds go on until nothing moves, logarithmically many in practice, whatever the diameter; minima aggregate before the shuffle, and the edges of hubs are salted.
     """
-    if local.is_small(edges, local_edges):
+    if not vars(edges).get("_skein_numbers") and local.is_small(edges, local_edges):
         return local.in_one_task(edges.filter("a <> b"), "component", edges.schema["a"].dataType, local.components)
+    if local_edges and (numbers := local.numbered(edges)):
+        least = local.by_numbers(numbers, "id", T.LongType(), local.components)
+        return least.join(shuffled(numbers.vertices.toDF("component", "id")), "id").select("v", "component")
     scratch = Scratch(edges.sparkSession, "components")
     now = scratch.save(edges.select("a", "b").filter("a <> b").distinct())
     vertices = both_ways(edges.select("a", "b", F.lit(1).alias("m"))).select("v").distinct()
@@ -67,8 +70,11 @@ def distances(edges: DataFrame, start: str, max_depth: int | None = None, local_
     neighbours of a level are in it, in the one before, or new. Rounds go on until nothing new is reached; where max_depth is
     given and something lies beyond, it raises.
     """
-    if local.is_small(edges, local_edges):
+    if not vars(edges).get("_skein_numbers") and local.is_small(edges, local_edges):
         return local.in_one_task(edges, "distance", T.IntegerType(), local.distances(start, max_depth))
+    if local_edges and (numbers := local.numbered(edges)):
+        at = numbers.vertices.filter(F.col("v") == start).first()
+        return local.by_numbers(numbers, "distance", T.IntegerType(), local.distances(at["id"] if at else -1, max_depth))
     scratch = Scratch(edges.sparkSession, "distances")
     near = scratch.save(both_ways(edges).select("v", "w").distinct())
     levels = [scratch.save(near.filter(F.col("v") == start).select("v").distinct().withColumn("distance", F.lit(0)))]
@@ -100,8 +106,10 @@ def core_numbers(edges: DataFrame, local_edges: int = local.LOCAL_EDGES) -> Data
     Every vertex takes the h-index of its neighbours' values, from their degrees on, until none changes, however many rounds that takes. Values above its own
     count as its own, so a hub has as many rows as its core is high, not as it has neighbours.
     """
-    if local.is_small(edges, local_edges):
+    if not vars(edges).get("_skein_numbers") and local.is_small(edges, local_edges):
         return local.in_one_task(edges, "core", T.LongType(), local.cores)
+    if local_edges and (numbers := local.numbered(edges)):
+        return local.by_numbers(numbers, "core", T.LongType(), local.cores)
     scratch = Scratch(edges.sparkSession, "cores")
     near = scratch.save(both_ways(edges).select("v", "w"))
     now = scratch.save(degrees(edges).select("v", F.col("neighbours").alias("core")))

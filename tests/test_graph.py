@@ -12,6 +12,7 @@ from skeinwork.operators.graph import blocks as B
 from skeinwork.operators.graph import centrality as Z
 from skeinwork.operators.graph import clustering as K
 from skeinwork.operators.graph import layers as L
+from skeinwork.operators.graph import local
 from skeinwork.operators.graph import traversal as T
 
 
@@ -254,3 +255,33 @@ def test_betweenness_of_a_large_tree(spark):
     for v in (0, 1, 2, 77, 20_000, n - 1):
         branches = [size[c] for c in (2 * v + 1, 2 * v + 2) if c < n] + [n - size[v]]
         assert got[f"{v:06d}"] == pytest.approx(((n - 1) ** 2 - sum(x * x for x in branches)) / ((n - 1) * (n - 2)))
+
+
+def test_ranks_and_cores_by_numbers(spark):
+    # more edges than one task takes with their names
+    rng = random.Random(4)
+    pairs = [(chr(97 + rng.randrange(20)), chr(97 + rng.randrange(20))) for _ in range(40)]
+    g = graph(spark, *[p for p in pairs if p[0] != p[1]])
+    more = spark.createDataFrame([("a",), ("zz",)], "v string")
+    want = by_v(Z.pagerank(g), "pagerank"), by_v(Z.pagerank(g, more), "pagerank"), by_v(T.core_numbers(g), "core")
+    g = g.select("*")
+    got = by_v(Z.pagerank(g, local_edges=1), "pagerank"), by_v(Z.pagerank(g, more, local_edges=1), "pagerank"), by_v(T.core_numbers(g, local_edges=1), "core")
+    assert [pytest.approx(x) for x in want] == list(got) and vars(g)["_skein_numbers"].size == g.count()
+
+
+def test_numbers_are_made_once(spark, monkeypatch):
+    # ranks, cores and betweenness of one frame share them
+    made = []
+    monkeypatch.setattr(local, "positions", lambda *x: made.append(x) or L.positions(*x))
+    g = graph(spark, *TRIANGLE, "cd")
+    Z.betweenness(g), Z.betweenness(g, collapse_parallel=False), Z.pagerank(g), T.core_numbers(g)
+    assert len(made) == 1
+
+
+def test_components_and_distances_by_numbers(spark):
+    g = graph(spark, *PATH, "xy", "yz", "ez")
+    assert by_v(T.components(g, local_edges=1), "component") == by_v(T.components(g.select("*")), "component") == {**dict.fromkeys("abcd", "a"), **dict.fromkeys("exyz", "e")}
+    assert by_v(T.distances(g, "b", local_edges=1), "distance") == {"a": 1, "b": 0, "c": 1, "d": 2}
+    assert T.distances(g, "none", local_edges=1).count() == 0 and vars(g)["_skein_numbers"].n == 8
+    with pytest.raises(Exception, match="beyond 1 steps"):
+        T.distances(g, "b", max_depth=1, local_edges=1).collect()
