@@ -100,6 +100,18 @@ def pseudo_diameter(edges: DataFrame, start: str) -> int:
         best, start = far["distance"], far["v"]
 
 
+def diameter(edges: DataFrame, start: str, local_edges: int = local.LOCAL_EDGES) -> int:
+    """As pseudo_diameter; of a graph that one task solves, that task makes all the sweeps."""
+    if not vars(edges).get("_skein_numbers") and local.is_small(edges, local_edges):
+        found = local.in_one_task(edges, "far", T.IntegerType(), local.diameter(start)).first()
+        return found["far"] if found else 0
+    if local_edges and (numbers := local.numbered(edges)):
+        at = numbers.vertices.filter(F.col("v") == start).first()
+        found = local.by_numbers(numbers, "far", T.IntegerType(), local.diameter(at["id"])).first() if at else None
+        return found["far"] if found else 0
+    return pseudo_diameter(edges, start)
+
+
 def core_numbers(edges: DataFrame, local_edges: int = local.LOCAL_EDGES) -> DataFrame:
     """(v, core) on distinct neighbours: the largest k of a subgraph in which all have k neighbours.
 

@@ -13,7 +13,7 @@ from ..operators.graph import centrality as Z
 from ..operators.graph import layers as L
 from ..operators.joins import hot_values, shuffled, spread_join
 from .common import EDGES, Registry, both, degree, fold, layer, signed, table, vertex_types, TYPES
-from .graph_queries import RECORDS_SQL, VIEWS, betweenness, entities, published, published_sql, records
+from .graph_queries import RECORDS_SQL, VIEWS, betweenness, entities, folded, published_sql, records
 
 _r = Registry()
 
@@ -104,8 +104,9 @@ _SEARCH = "gang"
 @_r.query(f"SELECT bw.v AS name, type, betweenness FROM ({published_sql('combined')}) bw JOIN (WITH {EDGES}, {TYPES} SELECT v, type FROM ty) USING (v) WHERE contains(bw.v, '{_SEARCH}') ORDER BY betweenness DESC, name")
 def viewer_search(spark: SparkSession, d: str) -> DataFrame:
     """Published organisations whose names hold a text, those most between others first."""
-    ranks = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness"))
-    rows = entities(spark, d).filter(F.contains("v", F.lit(_SEARCH))).join(shuffled(ranks), "v", "left")
+    f = folded(spark, d)
+    ranks = Z.betweenness(f.published(None)).select("v", F.round("betweenness", 6).alias("betweenness"))
+    rows = entities(f.types).filter(F.contains("v", F.lit(_SEARCH))).join(shuffled(ranks), "v", "left")
     return rows.select(F.col("v").alias("name"), "type", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")).orderBy(F.desc("betweenness"), "name")
 
 

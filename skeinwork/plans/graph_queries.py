@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from ..operators.graph import layers as L
 from ..operators.graph import traversal as T
 from ..functions.names import fold_name
 from ..operators.joins import shuffled
+from ..scratch import Scratch
 from .common import EDGES, TYPES, Registry, both, degree, fold, layer, signed, table, vertex_types
 
 _r = Registry()
@@ -31,12 +33,13 @@ def _of(sql: str, name: str) -> str:
     return sql.replace("rel = 'alliance'", f"rel = '{name}'")
 
 
-def _each_layer(sql: str | None = None):
-    """Registers a query of one layer for both, a column `layer` first; its SQL is that of the alliance layer."""
+def _each_layer(sql: str | None = None, shared: bool = False):
+    """Registers a query of one layer for both, a column `layer` first; its SQL is that of the alliance layer. shared: it takes Folded tables, not a folder."""
 
-    def add(f: Callable[[SparkSession, str, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def add(f: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, d: str) -> DataFrame:
-            parts = [f(spark, d, name) for name in LAYERS]
+            of = folded(spark, d) if shared else d
+            parts = [f(spark, of, name) for name in LAYERS]
             return reduce(DataFrame.unionByName, [p.select(F.lit(name).alias("layer"), *p.columns) for name, p in zip(LAYERS, parts)])
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
@@ -60,6 +63,31 @@ def _vertices(spark: SparkSession, d: str) -> DataFrame:
     return vertex_types(spark, d).select("v").union(ends).distinct()
 
 
+@dataclass
+class Folded:
+    """The edges and types of a folder by folded names, written once for all the layers that a query takes from them."""
+
+    scratch: Scratch
+    edges: DataFrame
+    types: DataFrame
+
+    def layer(self, name: str | None) -> DataFrame:
+        return self._kept(L.layer(self.edges, name))
+
+    def published(self, name: str | None) -> DataFrame:
+        return self._kept(_between_published(self.edges, self.types, name))
+
+    def _kept(self, layer: DataFrame) -> DataFrame:
+        saved = self.scratch.save(layer)
+        saved._skein_rows = saved  # what is numbered later is these rows
+        return saved
+
+
+def folded(spark: SparkSession, d: str) -> Folded:
+    scratch = Scratch(spark, "folded")
+    return Folded(scratch, scratch.save(signed(spark, d)), scratch.save(vertex_types(spark, d)))
+
+
 @_each_layer(f"{_A} SELECT a, b, m FROM l")
 def layer_edges(spark: SparkSession, d: str, name: str) -> DataFrame:
     return _layer(spark, d, name)
@@ -206,15 +234,15 @@ def _betweenness_sql(edges: str, value: str, steps: int = 26) -> str:
     return ", ".join(ctes).replace("{e}", edges)
 
 
-def entities(spark: SparkSession, d: str) -> DataFrame:
+def entities(types: DataFrame) -> DataFrame:
     """(v, type) of the organisations of a canonical type: what is published."""
-    return vertex_types(spark, d).filter("type <> 'other'")
+    return types.filter("type <> 'other'")
 
 
-def published(spark: SparkSession, d: str, name: str | None) -> DataFrame:
-    """The simple edges of a layer, or of both, between published organisations."""
-    rows = signed(spark, d).filter("relationship <> 'other'")
-    names = entities(spark, d).select("v")
+def _between_published(edges: DataFrame, types: DataFrame, name: str | None) -> DataFrame:
+    """The edges of a layer, or of both, between published organisations."""
+    rows = edges.filter("relationship <> 'other'")
+    names = entities(types).select("v")
     for end in ("source", "target"):
         rows = rows.join(shuffled(names.toDF(end)), end, "left_semi")
     return L.layer(rows, name)
@@ -232,9 +260,10 @@ def published_sql(view: str) -> str:
 @_r.query(" UNION ALL ".join(f"SELECT * FROM ({published_sql(view)})" for view in VIEWS))
 def betweenness(spark: SparkSession, d: str) -> DataFrame:
     """Of each published organisation, on the simple graphs between published ones; 0 where it has no edge."""
-    names, out = entities(spark, d).select("v"), []
+    f, out = folded(spark, d), []
+    names = entities(f.types).select("v")
     for view, name in (("alliance", "alliance"), ("rivalry", "rivalry"), ("combined", None)):
-        rows = names.join(shuffled(Z.betweenness(published(spark, d, name))), "v", "left")
+        rows = names.join(shuffled(Z.betweenness(f.published(name))), "v", "left")
         out.append(rows.select(F.lit(view).alias("view"), "v", F.round(F.coalesce("betweenness", F.lit(0.0)), 6).alias("betweenness")))
     return reduce(DataFrame.unionByName, out)
 
@@ -242,7 +271,7 @@ def betweenness(spark: SparkSession, d: str) -> DataFrame:
 @_r.query(f"SELECT v, betweenness FROM ({published_sql('combined')}) ORDER BY betweenness DESC, v LIMIT 5")
 def top_betweenness(spark: SparkSession, d: str) -> DataFrame:
     """The five organisations that are most between others."""
-    rows = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness"))
+    rows = Z.betweenness(folded(spark, d).published(None)).select("v", F.round("betweenness", 6).alias("betweenness"))
     return C.top(rows, 5, F.desc("betweenness"), F.asc("v"))
 
 
@@ -277,11 +306,16 @@ def innermost_core(spark: SparkSession, d: str, name: str) -> DataFrame:
     return members.select("v", "core", F.round("betweenness", 6).alias("betweenness")).orderBy(F.desc("betweenness"), "v")
 
 
-def _metrics(spark: SparkSession, d: str, name: str = "alliance") -> DataFrame:
-    """(v, type, degree, betweenness, pagerank, core) of a layer."""
-    edges = _layer(spark, d, name)
+def _measures(edges: DataFrame) -> DataFrame:
+    """(v, degree, betweenness, pagerank, core) of the edges of a layer."""
     rows = L.degrees(edges).select("v", "degree").join(shuffled(Z.betweenness(edges, collapse_parallel=False)), "v").join(shuffled(Z.pagerank(edges)), "v").join(shuffled(T.core_numbers(edges)), "v")
-    return rows.join(shuffled(vertex_types(spark, d)), "v", "left").select("v", F.coalesce("type", F.lit("unknown")).alias("type"), "degree", F.round("betweenness", 6).alias("betweenness"), F.round("pagerank", 7).alias("pagerank"), "core")
+    return rows.select("v", "degree", F.round("betweenness", 6).alias("betweenness"), F.round("pagerank", 7).alias("pagerank"), "core")
+
+
+def _metrics(f: Folded, name: str) -> DataFrame:
+    """(v, type, degree, betweenness, pagerank, core) of a layer."""
+    rows = _measures(f.layer(name)).join(shuffled(f.types), "v", "left")
+    return rows.select("v", F.coalesce("type", F.lit("unknown")).alias("type"), "degree", "betweenness", "pagerank", "core")
 
 
 _METRICS = _kcore_sql().replace(", c0 AS", f", {TYPES}, c0 AS", 1) + f", {_pagerank_sql('SELECT v FROM dg')}, {_betweenness_sql('bw', 'betweenness')}, mt AS (SELECT dg.v, coalesce(type, 'unknown') AS type, degree, round(betweenness, 6) AS betweenness, round(r, 7) AS pagerank, core FROM dg JOIN bt USING (v) JOIN r90 USING (v) JOIN core USING (v) LEFT JOIN ty USING (v))"
@@ -313,16 +347,17 @@ coalesce(ma.pagerank, 0) AS pagerank_alliance, coalesce(mr.pagerank, 0) AS pager
 @_r.query(_master_sql())
 def master_frame(spark: SparkSession, d: str) -> DataFrame:
     """One row per organisation: its record, and its metrics in both layers, 0 where it is not in one."""
+    f = folded(spark, d)
     titles = table(spark, d, "articles").select(fold_name(F.col("title")).alias("v")).distinct().withColumn("own", F.lit(1))
-    own_records = records(spark, d)
+    own_records = f.scratch.save(records(spark, d))
     own = own_records.select("v").join(shuffled(titles), "v").select("v", "own")
-    out = _vertices(spark, d)
-    combined = Z.betweenness(published(spark, d, None)).select("v", F.round("betweenness", 6).alias("betweenness_combined"))
-    total = L.degrees(_layer(spark, d, None)).select("v", F.col("degree").alias("degree_total"))
-    for side in (vertex_types(spark, d), own_records, own, combined, total):
+    total = f.scratch.save(L.degrees(L.layer(f.edges)).select("v", F.col("degree").alias("degree_total")))
+    out = f.types.select("v").union(total.select("v")).distinct()  # nodes, and ends of edges that are no node
+    combined = Z.betweenness(f.published(None)).select("v", F.round("betweenness", 6).alias("betweenness_combined"))
+    for side in (f.types, own_records, own, combined, total):
         out = out.join(shuffled(side), "v", "left")
     for name in LAYERS:
-        m = _metrics(spark, d, name)
+        m = _measures(f.layer(name))
         out = out.join(shuffled(m.select("v", *[F.col(c).alias(f"{c}_{name}") for c in ("degree", "betweenness", "pagerank")])), "v", "left")
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("mentioned_in", *(f"{m}_{n}" for m in ("betweenness", "degree", "pagerank") for n in LAYERS), "betweenness_combined", "degree_total")}
     text = {c: F.coalesce(c, F.lit("")) for c in ("description", "time_period")}
@@ -335,15 +370,15 @@ def master_frame(spark: SparkSession, d: str) -> DataFrame:
 @_r.query()
 def layer_metrics(spark: SparkSession, d: str) -> DataFrame:
     """The table of metrics of both layers, a row per layer and metric."""
-    out = None
-    for name in ("alliance", "rivalry"):
-        edges = _layer(spark, d, name)
-        labels = T.components(edges)
+    f, out = folded(spark, d), None
+    for name in LAYERS:
+        edges = f.layer(name)
+        labels = f.scratch.save(T.components(edges))
         sizes = T.component_sizes(edges, labels)
         parts = sizes.agg(F.count(F.lit(1)).alias("components"), F.max_by(F.struct("n_nodes", "n_edges", "density"), F.col("n_nodes")).alias("g")).select("components", F.col("g.n_nodes").alias("lcc_nodes"), F.col("g.n_edges").alias("lcc_edges"), F.col("g.density").alias("lcc_density"))
         giant = T.largest_component(edges, labels)
-        most = _metrics(spark, d, name).agg(F.max("betweenness").alias("max_betweenness"), F.max("pagerank").alias("max_pagerank"), F.max("core").alias("max_core"))
-        rows = L.degree_summary(edges).crossJoin(parts).crossJoin(K.clustering_summary(edges)).crossJoin(K.degree_assortativity(edges)).crossJoin(most).withColumn("pseudo_diameter", F.lit(T.pseudo_diameter(giant, _hub(giant))))  # one row each
+        most = _measures(edges).agg(F.max("betweenness").alias("max_betweenness"), F.max("pagerank").alias("max_pagerank"), F.max("core").alias("max_core"))
+        rows = L.degree_summary(edges).crossJoin(parts).crossJoin(K.clustering_summary(edges)).crossJoin(K.degree_assortativity(edges)).crossJoin(most).withColumn("pseudo_diameter", F.lit(T.diameter(edges, _hub(giant))))  # one row each; sweeps do not leave the component of the hub
         cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in rows.columns])).alias("x")
         part = rows.select(F.lit(name).alias("layer"), cells).select("layer", "x.metric", "x.value")
         out = part if out is None else out.unionByName(part)
@@ -355,10 +390,10 @@ def _importance_sql(metrics: tuple[str, ...]) -> str:
     return f"SELECT type, count(*) AS n, {cells} FROM mt GROUP BY 1"
 
 
-@_each_layer(f"{_METRICS} {_importance_sql(('degree', 'betweenness', 'pagerank'))}")
-def type_importance(spark: SparkSession, d: str, name: str) -> DataFrame:
+@_each_layer(f"{_METRICS} {_importance_sql(('degree', 'betweenness', 'pagerank'))}", shared=True)
+def type_importance(spark: SparkSession, f: Folded, name: str) -> DataFrame:
     # ranks settle to a tolerance, so their sums are told in fewer digits
-    return S.importance(_metrics(spark, d, name), "type", ["degree", "betweenness", "pagerank"]).withColumn("pagerank_sum", F.round("pagerank_sum", 4))
+    return S.importance(_metrics(f, name), "type", ["degree", "betweenness", "pagerank"]).withColumn("pagerank_sum", F.round("pagerank_sum", 4))
 
 
 @_each_layer(f"{_A}, {TYPES} SELECT coalesce(type, 'unknown') AS type, count(*) AS n, round(avg(degree), 6) AS degree_mean, round(stddev_samp(degree), 6) AS degree_std, round(stddev_samp(degree) / sqrt(count(*)), 6) AS degree_se, CAST(sum(degree) AS BIGINT) AS degree_sum FROM dg LEFT JOIN ty USING (v) GROUP BY 1")
@@ -367,10 +402,10 @@ def type_degree_importance(spark: SparkSession, d: str, name: str) -> DataFrame:
     return S.importance(rows, "type", ["degree"])
 
 
-@_each_layer(f"{_METRICS}, rk AS (SELECT v, row_number() OVER (ORDER BY pagerank DESC, v) AS rank_p, row_number() OVER (ORDER BY betweenness DESC, v) AS rank_b FROM mt) SELECT v, rank_p, rank_b, rank_p + rank_b AS combined FROM rk ORDER BY combined, v LIMIT 11")
-def combined_rank(spark: SparkSession, d: str, name: str) -> DataFrame:
+@_each_layer(f"{_METRICS}, rk AS (SELECT v, row_number() OVER (ORDER BY pagerank DESC, v) AS rank_p, row_number() OVER (ORDER BY betweenness DESC, v) AS rank_b FROM mt) SELECT v, rank_p, rank_b, rank_p + rank_b AS combined FROM rk ORDER BY combined, v LIMIT 11", shared=True)
+def combined_rank(spark: SparkSession, f: Folded, name: str) -> DataFrame:
     """The eleven organisations with the least sum of their ranks by PageRank and betweenness."""
-    ranked = L.positions(_metrics(spark, d, name), {"pagerank": "rank_p", "betweenness": "rank_b"})
+    ranked = L.positions(_metrics(f, name), {"pagerank": "rank_p", "betweenness": "rank_b"})
     return ranked.select("v", "rank_p", "rank_b", (F.col("rank_p") + F.col("rank_b")).alias("combined")).orderBy("combined", "v").limit(11)
 
 

@@ -285,3 +285,40 @@ def test_components_and_distances_by_numbers(spark):
     assert T.distances(g, "none", local_edges=1).count() == 0 and vars(g)["_skein_numbers"].n == 8
     with pytest.raises(Exception, match="beyond 1 steps"):
         T.distances(g, "b", max_depth=1, local_edges=1).collect()
+
+
+@BOTH_WAYS
+def test_one_task_makes_all_sweeps(spark, monkeypatch, local_edges):
+    rng = random.Random(8)
+    for _ in range(3):
+        pairs = [(chr(97 + rng.randrange(18)), chr(97 + rng.randrange(18))) for _ in range(18)]
+        g = graph(spark, *[p for p in pairs if p[0] != p[1]])
+        start = g.first()["a"]
+        want = T.pseudo_diameter(g.select("*"), start)
+        with monkeypatch.context() as m:
+            if local_edges:
+                m.setattr(T, "distances", None)
+            assert T.diameter(g, start, local_edges=local_edges) == want
+    assert T.diameter(g, "none", local_edges=local_edges) == 0
+
+
+def test_sweeps_by_numbers(spark, monkeypatch):
+    monkeypatch.setattr(T, "distances", None)
+    g = graph(spark, *PATH, "be", "xy")
+    assert [T.diameter(g, v, local_edges=1) for v in ("b", "x", "none")] == [3, 1, 0] and vars(g)["_skein_numbers"].n == 7
+
+
+@pytest.mark.parametrize("name", ["layer_metrics"])
+def test_tables_are_folded_once(spark, sf, monkeypatch, name):
+    """Edges and types are folded and written once, and each graph of a query once before it is measured."""
+    from skeinwork.plans import catalog
+    from skeinwork.plans import graph_queries as Q
+
+    folds, graphs = [], []
+    signed, types, measure = Q.signed, Q.vertex_types, Z.betweenness
+    monkeypatch.setattr(Q, "signed", lambda *x: folds.append("edges") or signed(*x))
+    monkeypatch.setattr(Q, "vertex_types", lambda *x: folds.append("types") or types(*x))
+    monkeypatch.setattr(Z, "betweenness", lambda edges, **x: graphs.append(edges) or measure(edges, **x))
+    catalog.QUERIES[name](spark, sf)
+    assert sorted(folds) == ["edges", "types"]
+    assert graphs and not [f for g in graphs for f in g.inputFiles() if f.startswith(f"file://{sf}")]
