@@ -308,7 +308,7 @@ def test_sweeps_by_numbers(spark, monkeypatch):
     assert [T.diameter(g, v, local_edges=1) for v in ("b", "x", "none")] == [3, 1, 0] and vars(g)["_skein_numbers"].n == 7
 
 
-@pytest.mark.parametrize("name", ["layer_metrics", "viewer_sizes", "top_betweenness", "viewer_search", "type_importance", "combined_rank"])
+@pytest.mark.parametrize("name", ["layer_metrics", "viewer_sizes", "top_betweenness", "viewer_search", "type_importance", "combined_rank", "master_frame"])
 def test_tables_are_folded_once(spark, sf, monkeypatch, name):
     """Edges and types are folded and written once, and each graph of a query once before it is measured."""
     from skeinwork.plans import catalog
