@@ -2,6 +2,7 @@
 
 Every path between two blocks passes the vertices that cut them apart, so what a vertex gets is told block by block: inside a block
 by Brandes, its vertices weighted by how many others hang on them, and across blocks by the sizes of the branches at the vertex.
+Inside a large block, what goes by its hub is told by one search from the hub, so that the search from each source stays around it.
 Trees, which are most of a sparse graph, have blocks of two vertices and need no search at all; the sum is the exact one.
 """
 
@@ -12,8 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Blocks of fewer places than this are searched from many of their places at once.
-_TOGETHER = 20_000
+#: Searches that go on at the same time have so many places together: four bytes each.
+_TOGETHER = 4_000_000
+#: They walk along about so many edges, which stay near the processor.
+_WALKED = 100_000
+#: A block of at most so many places is searched as a whole from each of them.
+_SMALL = 100
 
 
 @dataclass
@@ -128,57 +133,144 @@ def costs(g: Blocks) -> np.ndarray:
 
 
 def dependencies(g: Blocks, low: int, high: int) -> np.ndarray:
-    """What the places low to high - 1 as sources add to every place, weighted by what hangs on both ends."""
+    """What the places low to high - 1 as sources add to every place, weighted by what hangs on both ends.
+
+    In a large block most shortest paths pass its hub, the place with the most edges: see _by_hub.
+    """
     score = np.zeros(len(g.vertex))
     at = low
     while at < high:
         start, end = int(g.start[at]), int(g.end[at])
-        n, stop = end - start, min(end, high)
         begin, finish = int(g.first[start]), int(g.first[end])
-        sizes, to, weight, hangs = np.diff(g.first[start : end + 1]), g.to[begin:finish] - start, g.weight[begin:finish], g.hangs[start:end]
-        most = max(1, min(_TOGETHER // n, stop - at))
-        # one copy of the block for each source that is searched from at the same time
-        copies = np.repeat(np.arange(most) * n, finish - begin)
-        to, sizes = np.tile(to, most) + copies, np.tile(sizes, most)
-        owner = np.repeat(np.arange(most * n), sizes)
-        part = (sizes, np.concatenate(([0], np.cumsum(sizes))), owner, to, None if (weight == 1).all() else np.tile(weight, most), np.tile(hangs, most))
-        while at < stop:
-            sources = np.arange(at, min(at + most, stop)) - start
-            need = _from(sources + np.arange(len(sources)) * n, *part).reshape(most, n)[: len(sources)]
-            need[np.arange(len(sources)), sources] = 0
-            score[start:end] += hangs[sources] @ need
-            at += len(sources)
+        weight = g.weight[begin:finish]
+        part = _Part(g.first[start : end + 1] - begin, np.diff(g.first[start : end + 1]), g.to[begin:finish] - start, None if (weight == 1).all() else weight)
+        sources = np.arange(at, min(end, high)) - start
+        score[start:end] += (_by_hub if end - start > _SMALL else _whole)(part, g.hangs[start:end], sources)
+        at = min(end, high)
     return score
 
 
-def _from(level: np.ndarray, sizes: np.ndarray, first: np.ndarray, owner: np.ndarray, to: np.ndarray, weight: np.ndarray | None, hangs: np.ndarray) -> np.ndarray:
-    """Brandes from vertices of parts without edges between them, by whole levels; owner: by edge, where it begins."""
-    n = len(sizes)
-    seen, paths, mark, need = np.zeros(n, dtype=bool), np.zeros(n), np.empty(n, dtype=np.int64), np.zeros(n)
-    seen[level], paths[level] = True, 1.0
-    steps = []
+@dataclass
+class _Part:
+    """The edges of one block by the places in it: first and sizes by place, to and weight (None: 1 everywhere) by edge."""
+
+    first: np.ndarray
+    sizes: np.ndarray
+    to: np.ndarray
+    weight: np.ndarray | None
+
+
+@dataclass
+class _Level:
+    """What searches reach at one distance. up, down, share: the edges that lead there, by number in the level before and in this one, and the paths along them."""
+
+    search: np.ndarray
+    place: np.ndarray
+    paths: np.ndarray
+    up: np.ndarray | None = None
+    down: np.ndarray | None = None
+    share: np.ndarray | None = None
+
+
+def _levels(part: _Part, sources: np.ndarray, slot: np.ndarray, bound: np.ndarray | None = None, reach: np.ndarray | None = None) -> list[_Level]:
+    """Searches from all sources at the same time, level by level. slot: -1 for every place of every search, and so again at the end.
+
+    With bound, a search keeps only places that are no farther than their bound and the reach of the search together.
+    """
+    n = len(part.sizes)
+    levels = [_Level(np.arange(len(sources)), sources, np.ones(len(sources)))]
+    cells = [levels[0].search * n + sources]
+    slot[cells[0]] = 0
     while True:
-        # the edges of the level's vertices, each of which has some: steps of one, and a jump where a vertex ends
-        begin, ends = first[level], np.cumsum(sizes[level])
-        edge = np.ones(ends[-1], dtype=np.int64)
-        edge[0] = begin[0]
-        edge[ends[:-1]] = begin[1:] - begin[:-1] - sizes[level[:-1]] + 1
-        edge = np.cumsum(edge)
-        down = to[edge]
-        fresh = np.flatnonzero(~seen[down])
+        last = levels[-1]
+        sizes = part.sizes[last.place]
+        ends = np.cumsum(sizes)
+        up = np.repeat(np.arange(len(sizes)), sizes)
+        edge = np.arange(ends[-1]) + (part.first[last.place] - ends + sizes)[up]
+        place, search = part.to[edge], last.search[up]
+        cell = search * n + place
+        fresh = slot[cell] < 0
+        if bound is not None:
+            fresh &= bound[place] + reach[search] >= len(levels)
+        fresh = np.flatnonzero(fresh)
         if not len(fresh):
             break
-        edge, down = edge[fresh], down[fresh]
-        up = owner[edge]
-        share = paths[up] if weight is None else paths[up] * weight[edge]
-        count = np.arange(len(down))
-        mark[down] = count
-        once = mark[down] == count
-        level, rest = down[at := np.flatnonzero(once)], np.flatnonzero(~once)
-        seen[level], paths[level] = True, share[at]
-        if len(rest):
-            np.add.at(paths, down[rest], share[rest])
-        steps.append((up, down, share))
-    for up, down, share in reversed(steps):
-        np.add.at(need, up, share * ((hangs[down] + need[down]) / paths[down]))
-    return need
+        up, cell = up[fresh], cell[fresh]
+        share = last.paths[up] if part.weight is None else last.paths[up] * part.weight[edge[fresh]]
+        count = np.arange(len(cell))
+        slot[cell] = count
+        once = np.flatnonzero(slot[cell] == count)
+        new = cell[once]
+        slot[new] = np.arange(len(new))
+        down = slot[cell]
+        cells.append(new)
+        levels.append(_Level(search[fresh[once]], place[fresh[once]], np.bincount(down, share, minlength=len(new)), up, down, share))
+    for c in cells:
+        slot[c] = -1
+    return levels
+
+
+def _needs(levels: list[_Level], loads: list[np.ndarray]) -> list[np.ndarray]:
+    """By level: what lies beyond each place on the paths to others; loads: what there is to reach at the places of the levels after the first."""
+    needs = [np.zeros(len(levels[-1].place))]
+    for k in range(len(levels) - 1, 0, -1):
+        at, beyond = levels[k], (loads[k - 1] + needs[-1]) / levels[k].paths
+        needs.append(np.bincount(at.up, at.share * beyond[at.down], minlength=len(levels[k - 1].place)))
+    return needs[::-1]
+
+
+def _whole(part: _Part, hangs: np.ndarray, sources: np.ndarray) -> np.ndarray:
+    """Brandes from each source over the whole block."""
+    n, score = len(hangs), np.zeros(len(hangs))
+    most = max(1, min(_TOGETHER // n, _WALKED // len(part.to), len(sources)))
+    slot = np.full(most * n, -1, dtype=np.int32)
+    for at in range(0, len(sources), most):
+        some = sources[at : at + most]
+        levels = _levels(part, some, slot)
+        needs = _needs(levels, [hangs[x.place] for x in levels[1:]])
+        for x, need in zip(levels[1:], needs[1:]):
+            score += np.bincount(x.place, hangs[some[x.search]] * need, minlength=n)
+    return score
+
+
+def _by_hub(part: _Part, hangs: np.ndarray, sources: np.ndarray) -> np.ndarray:
+    """The same sums, in which a source searches only around itself.
+
+    A shortest path passes the hub or avoids it. Those that pass it are the paths from the source to the hub followed by the paths
+    from there to the target, both told by one search from the hub. Those that avoid it are found by a search without the hub; it goes
+    on only to places that it reaches no later than the way by the hub does, and the places before such a place are such places too.
+    What goes by the hub is all there is to reach less what is reached around the source, and is handed down the levels of the
+    hub for all sources together. It is counted for both ends there, as every pair is met from either.
+    """
+    n, score, by_hub = len(hangs), np.zeros(len(hangs)), np.zeros(len(hangs))
+    hub = int(np.argmax(part.sizes))
+    from_hub = _levels(part, np.array([hub]), np.full(n, -1, dtype=np.int32))
+    far, ways = np.zeros(n, dtype=np.int64), np.ones(n)
+    for k, x in enumerate(from_hub):
+        far[x.place], ways[x.place] = k, x.paths
+    bound = far.copy()
+    bound[hub] = -2 * n  # no search around a source enters it
+    sources, all_of_them = sources[sources != hub], hangs.sum() - hangs[hub]
+    most = max(1, min(_TOGETHER // n, len(sources)))
+    slot, at, together = np.full(most * n, -1, dtype=np.int32), 0, min(most, 8)
+    while at < len(sources):
+        some = sources[at : at + together]
+        levels = _levels(part, some, slot, bound, far[some])
+        loads, near = [], hangs[some].astype(np.float64)
+        for k, x in enumerate(levels[1:], 1):
+            s = some[x.search]
+            load = hangs[x.place] * (x.paths / (x.paths + np.where(far[x.place] + far[s] == k, ways[x.place] * ways[s], 0.0)))
+            near += np.bincount(x.search, load, minlength=len(some))
+            loads.append(load)
+        for x, need in zip(levels[1:], _needs(levels, loads)[1:]):
+            np.add.at(score, x.place, hangs[some[x.search]] * need)
+        by_hub[some] = hangs[some] * np.maximum(all_of_them - near, 0.0)
+        at += len(some)
+        walked = sum(part.sizes[x.place].sum() for x in levels) / len(some)
+        together = int(max(1, min(most, _WALKED // walked)))
+    ends = np.zeros(n)
+    ends[sources] = 2 * (by_hub[sources] + hangs[sources] * hangs[hub])  # the hub as an end of its own, too
+    for x, need in zip(from_hub[1:], _needs(from_hub, [ends[x.place] for x in from_hub[1:]])[1:]):
+        score[x.place] += need
+    score[hub] = by_hub.sum()
+    return score

@@ -71,8 +71,8 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     """(v, betweenness) of the vertices of edges, scaled to 0..1 for undirected graphs; 0 with fewer than three.
 
     All sources are used. Spark numbers the vertices; up to broadcast_edges edges, counted before, the numbers are split into biconnected blocks,
-    which go to every task as arrays: trees are summed up without a search, and inside a block of three or more the exact measure takes vertices
-    times edges steps. The sources of all blocks are spread by what they cost, and every task sends one partial sum per vertex.
+    which go to every task as arrays: trees are summed up without a search, and inside a large block a source searches around itself, up to where
+    the ways by the block's hub are shorter; without such a hub the exact measure takes vertices times edges steps. The sources of all blocks are spread by what they cost, and every task sends one partial sum per vertex.
     Beyond, levels of all sources advance together by joins, in blocks of sources.
     """
     numbers = local.numbered(edges, broadcast_edges)

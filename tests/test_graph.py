@@ -244,6 +244,32 @@ def test_betweenness_by_blocks(monkeypatch, together):
         assert g.base + np.bincount(g.vertex, places, minlength=n) == pytest.approx(_brandes(n, pairs))
 
 
+@pytest.mark.parametrize("small", [2, 5])
+def test_betweenness_by_the_hub_of_a_block(monkeypatch, small):
+    monkeypatch.setattr(B, "_SMALL", small)
+    rng = random.Random(7)
+    for _ in range(60):
+        n, hub = rng.randrange(3, 30), rng.choice((0.2, 0.6))
+        pairs = {(a, b): rng.randrange(1, 4) for a, b in itertools.combinations(range(n), 2) if rng.random() < (hub if a == 0 else rng.choice((0.03, 0.1)))}
+        a, b, m = (np.array(x, dtype=np.int64) for x in ([p[0] for p in pairs], [p[1] for p in pairs], list(pairs.values())))
+        g = B.split(n, a, b, m)
+        cut = rng.randrange(len(g.vertex) + 1)
+        places = B.dependencies(g, 0, cut) + B.dependencies(g, cut, len(g.vertex))
+        assert g.base + np.bincount(g.vertex, places, minlength=n) == pytest.approx(_brandes(n, pairs))
+
+
+def test_searches_stay_around_their_sources(monkeypatch):
+    """A wheel: on the rim two steps are tied with the way by the hub, and farther places are told by the hub alone."""
+    rim, reached, levels = 20_000, [], B._levels
+    monkeypatch.setattr(B, "_levels", lambda *x: reached.append(out := levels(*x)) or out)
+    ring = np.arange(1, rim + 1)
+    a, b = np.concatenate((np.zeros(rim, dtype=np.int64), ring)), np.concatenate((ring, np.roll(ring, 1)))
+    g = B.split(rim + 1, a, b, np.ones_like(a))
+    score = g.base + np.bincount(g.vertex, B.dependencies(g, 0, len(g.vertex)), minlength=rim + 1)
+    assert score[0] == rim * (rim - 1) - 3 * rim and (score[1:] == 1).all()
+    assert sum(len(x.place) for x in itertools.chain(*reached)) <= 6 * (rim + 1)  # 400 million places, were each search over the whole
+
+
 def test_betweenness_of_a_large_tree(spark):
     # 60,000 sources of 60,000 vertices each, were they searched; the blocks of a tree are not
     n = 60_000
