@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from ...scratch import Scratch
 from ..joins import hot_values, shuffled, spread_join
 from . import blocks, local
 from .layers import both_ways, degrees
+from .traversal import core_numbers
 
 #: A graph of up to so many edges is numbered by Spark and sent to every task: 24 bytes an edge, 48 MB at most.
 BROADCAST_EDGES = local.NUMBERED_EDGES
@@ -79,9 +81,15 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     if numbers is None:
         scratch = Scratch(edges.sparkSession, "betweenness")
         return _betweenness_by_joins(scratch.save(edges.select("a", "b", (F.lit(1) if collapse_parallel else F.col("m")).cast("bigint").alias("m"))), scratch)
-    context, listed, n = edges.sparkSession.sparkContext, numbers.vertices, numbers.n
+    return numbers.vertices.join(shuffled(_sums(numbers, collapse_parallel)), "id", "left").select("v", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+
+
+def _sums(numbers: local.Numbered, collapse_parallel: bool) -> DataFrame:
+    """(id, betweenness) of the vertices between others."""
+    spark, n = numbers.edges.sparkSession, numbers.n
+    context = spark.sparkContext
     if n < 3:
-        return listed.select("v", F.lit(0.0).alias("betweenness"))
+        return spark.range(0).select("id", F.lit(0.0).alias("betweenness"))
     table = numbers.edges.toArrow()  # three numbers an edge, at most broadcast_edges of them
     a, b, m = (table[c].to_numpy() for c in ("x", "y", "m"))
     graph = blocks.split(n, a, b, np.ones_like(m) if collapse_parallel else m)
@@ -100,8 +108,28 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
                 ids = np.flatnonzero(score)
                 yield pd.DataFrame({"id": ids, "score": score[ids]})
 
-    sums = edges.sparkSession.range(0, tasks, 1, tasks).mapInPandas(run, "id bigint, score double").groupBy("id").agg(F.sum("score").alias("score"))
-    return listed.join(shuffled(sums), "id", "left").select("v", (F.coalesce("score", F.lit(0.0)) / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
+    sums = spark.range(0, tasks, 1, tasks).mapInPandas(run, "id bigint, score double")
+    return sums.groupBy("id").agg((F.sum("score") / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
+
+
+def measures(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
+    """(v, degree, betweenness, pagerank, core) of the vertices of edges, parallel ones as paths of their own.
+
+    Where the graph is numbered, what one task solves comes from one task, and all of it is joined by numbers: names are joined once.
+    """
+    numbers = local.numbered(edges)
+    if numbers is None:
+        parts = degrees(edges).select("v", "degree"), betweenness(edges, collapse_parallel=False), pagerank(edges, None, damping, tolerance), core_numbers(edges)
+        return reduce(lambda x, y: x.join(shuffled(y), "v"), parts)
+    ranks = local.pagerank(damping, tolerance, numbers.n)
+
+    def solve(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, names: np.ndarray) -> dict[str, np.ndarray]:
+        degree = np.bincount(a, m, minlength=n) + np.bincount(b, m, minlength=n)
+        return {"degree": degree.astype(np.int64), "pagerank": ranks(n, a, b, m, names), "core": local.cores(n, a, b, m, names)}
+
+    own = local.solved(numbers, {"degree": T.LongType(), "pagerank": T.DoubleType(), "core": T.LongType()}, solve)
+    rows = numbers.vertices.join(shuffled(own), "id").join(shuffled(_sums(numbers, collapse_parallel=False)), "id", "left")
+    return rows.select("v", "degree", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"), "pagerank", "core")
 
 
 def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int | None = None, max_depth: int | None = None) -> DataFrame:

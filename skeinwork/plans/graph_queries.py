@@ -308,8 +308,7 @@ def innermost_core(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def _measures(edges: DataFrame) -> DataFrame:
     """(v, degree, betweenness, pagerank, core) of the edges of a layer."""
-    rows = L.degrees(edges).select("v", "degree").join(shuffled(Z.betweenness(edges, collapse_parallel=False)), "v").join(shuffled(Z.pagerank(edges)), "v").join(shuffled(T.core_numbers(edges)), "v")
-    return rows.select("v", "degree", F.round("betweenness", 6).alias("betweenness"), F.round("pagerank", 7).alias("pagerank"), "core")
+    return Z.measures(edges).select("v", "degree", F.round("betweenness", 6).alias("betweenness"), F.round("pagerank", 7).alias("pagerank"), "core")
 
 
 def _metrics(f: Folded, name: str) -> DataFrame:

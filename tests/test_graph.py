@@ -270,6 +270,22 @@ def test_searches_stay_around_their_sources(monkeypatch):
     assert sum(len(x.place) for x in itertools.chain(*reached)) <= 6 * (rim + 1)  # 400 million places, were each search over the whole
 
 
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_measures_are_joined_by_numbers(spark, monkeypatch, limit):
+    g = graph(spark, *PATH, *STAR, *TRIANGLE, "ab")
+    want = {v: {} for v in "abcdx"}
+    for c, frame in (("degree", L.degrees(g)), ("betweenness", Z.betweenness(g, collapse_parallel=False)), ("pagerank", Z.pagerank(g)), ("core", T.core_numbers(g))):
+        for v, value in by_v(frame, c).items():
+            want[v][c] = value
+    h = graph(spark, *PATH, *STAR, *TRIANGLE, "ab")
+    if not limit:
+        monkeypatch.setattr(Z.local, "numbered", lambda *x: None)
+    got = Z.measures(h)
+    assert dict(got.dtypes) == {"v": "string", "degree": "bigint", "betweenness": "double", "pagerank": "double", "core": "bigint"}
+    rows = {r.v: r.asDict() for r in got.collect()}
+    assert rows.keys() == want.keys() and all(rows[v][c] == pytest.approx(want[v][c]) for v in want for c in want[v])
+
+
 def test_betweenness_of_a_large_tree(spark):
     # 60,000 sources of 60,000 vertices each, were they searched; the blocks of a tree are not
     n = 60_000
