@@ -39,10 +39,14 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, damping: float
         ranks = local.in_one_task(edges, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance, total))
         return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, total - n_linked)).alias("pagerank")))
     if local_edges and (numbers := local.numbered(edges)):
-        alone = vertices.select("v").distinct().join(shuffled(numbers.vertices.select("v")), "v", "left_anti") if vertices is not None else numbers.vertices.select("v").limit(0)
-        total = numbers.n + (alone.count() if vertices is not None else 0)
+        if vertices is None:
+            return local.by_numbers(numbers, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance))
+        linked = both_ways(numbers.edges.toDF("a", "b", "m")).select(F.col("v").alias("id")).distinct()
+        alone = vertices.select("v").distinct().join(shuffled(numbers.vertices.join(shuffled(linked), "id", "left_semi").select("v")), "v", "left_anti")
+        n_alone = alone.count()
+        total = linked.count() + n_alone
         ranks = local.by_numbers(numbers, "pagerank", T.DoubleType(), local.pagerank(damping, tolerance, total))
-        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, total - numbers.n)).alias("pagerank")))
+        return ranks.unionByName(alone.select("v", F.lit(_alone(damping, total, n_alone)).alias("pagerank")))
     scratch = Scratch(edges.sparkSession, "pagerank")
     d = degrees(edges).select("v", "degree")
     near = scratch.save(both_ways(edges).join(shuffled(d), "v").select("v", "w", (F.col("m") / F.col("degree")).alias("part")))
@@ -81,35 +85,37 @@ def betweenness(edges: DataFrame, collapse_parallel: bool = True, broadcast_edge
     if numbers is None:
         scratch = Scratch(edges.sparkSession, "betweenness")
         return _betweenness_by_joins(scratch.save(edges.select("a", "b", (F.lit(1) if collapse_parallel else F.col("m")).cast("bigint").alias("m"))), scratch)
-    return numbers.vertices.join(shuffled(_sums(numbers, collapse_parallel)), "id", "left").select("v", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+    return numbers.vertices.join(shuffled(_sums(numbers, collapse_parallel)), "id").select("v", "betweenness")
 
 
 def _sums(numbers: local.Numbered, collapse_parallel: bool) -> DataFrame:
-    """(id, betweenness) of the vertices between others."""
-    spark, n = numbers.edges.sparkSession, numbers.n
+    """(id, betweenness) of the vertices of edges."""
+    spark = numbers.edges.sparkSession
     context = spark.sparkContext
-    if n < 3:
-        return spark.range(0).select("id", F.lit(0.0).alias("betweenness"))
     table = numbers.edges.toArrow()  # three numbers an edge, at most broadcast_edges of them
     a, b, m = (table[c].to_numpy() for c in ("x", "y", "m"))
+    named, a, b = local.dense(a, b)
+    n = len(named)
     graph = blocks.split(n, a, b, np.ones_like(m) if collapse_parallel else m)
     reached = np.cumsum(blocks.costs(graph))
     tasks = int(min(context.defaultParallelism * 4, 1 + (reached[-1] if len(reached) else 0) // TASK_EDGES))
     cuts = np.concatenate(([0], np.searchsorted(reached, reached[-1] * np.arange(1, tasks) / tasks), [len(reached)])) if len(reached) else np.zeros(2, dtype=np.int64)
-    shared = context.broadcast((graph, cuts))
+    shared, scale = context.broadcast((graph, cuts, named)), float(max((n - 1) * (n - 2), 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for task in batch["id"]:
-                g, at = shared.value
-                score = np.bincount(g.vertex, blocks.dependencies(g, int(at[task]), int(at[task + 1])), minlength=n)
-                if task == 0:
+                g, at, named = shared.value
+                score = np.bincount(g.vertex, blocks.dependencies(g, int(at[task]), int(at[task + 1])), minlength=len(named))
+                ids = np.arange(len(named))
+                if task == 0:  # has a row for each
                     score = score + g.base
-                ids = np.flatnonzero(score)
-                yield pd.DataFrame({"id": ids, "score": score[ids]})
+                else:
+                    ids = np.flatnonzero(score)
+                yield pd.DataFrame({"id": named[ids], "score": score[ids]})
 
     sums = spark.range(0, tasks, 1, tasks).mapInPandas(run, "id bigint, score double")
-    return sums.groupBy("id").agg((F.sum("score") / F.lit(float((n - 1) * (n - 2)))).alias("betweenness"))
+    return sums.groupBy("id").agg((F.sum("score") / F.lit(scale)).alias("betweenness"))
 
 
 def measures(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -> DataFrame:
@@ -121,15 +127,15 @@ def measures(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-9) -
     if numbers is None:
         parts = degrees(edges).select("v", "degree"), betweenness(edges, collapse_parallel=False), pagerank(edges, None, damping, tolerance), core_numbers(edges)
         return reduce(lambda x, y: x.join(shuffled(y), "v"), parts)
-    ranks = local.pagerank(damping, tolerance, numbers.n)
+    ranks = local.pagerank(damping, tolerance)
 
     def solve(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, names: np.ndarray) -> dict[str, np.ndarray]:
         degree = np.bincount(a, m, minlength=n) + np.bincount(b, m, minlength=n)
         return {"degree": degree.astype(np.int64), "pagerank": ranks(n, a, b, m, names), "core": local.cores(n, a, b, m, names)}
 
     own = local.solved(numbers, {"degree": T.LongType(), "pagerank": T.DoubleType(), "core": T.LongType()}, solve)
-    rows = numbers.vertices.join(shuffled(own), "id").join(shuffled(_sums(numbers, collapse_parallel=False)), "id", "left")
-    return rows.select("v", "degree", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"), "pagerank", "core")
+    rows = numbers.vertices.join(shuffled(own.withColumnRenamed("_id", "id")), "id").join(shuffled(_sums(numbers, collapse_parallel=False)), "id")
+    return rows.select("v", "degree", "betweenness", "pagerank", "core")
 
 
 def _betweenness_by_joins(edges: DataFrame, scratch: Scratch, blocks: int | None = None, max_depth: int | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from ..operators import stats as S
 from ..operators.graph import centrality as Z
 from ..operators.graph import clustering as K
 from ..operators.graph import layers as L
+from ..operators.graph import local as N
 from ..operators.graph import traversal as T
 from ..functions.names import fold_name
 from ..operators.joins import shuffled
@@ -65,22 +66,41 @@ def _vertices(spark: SparkSession, d: str) -> DataFrame:
 
 @dataclass
 class Folded:
-    """The edges and types of a folder by folded names, written once for all the layers that a query takes from them."""
+    """The edges and types of a folder by folded names, written once for all the layers that a query takes from them; names are numbered once for all of them."""
 
     scratch: Scratch
     edges: DataFrame
     types: DataFrame
 
-    def layer(self, name: str | None) -> DataFrame:
-        return self._kept(L.layer(self.edges, name))
+    def layer(self, name: str | None, kept: bool = True) -> DataFrame:
+        """kept: the rows are written as well, for those that read them by names."""
+        return self._numbered(L.layer(self.edges, name), F.col("relationship") == name if name else F.lit(True), kept)
 
     def published(self, name: str | None) -> DataFrame:
-        return self._kept(_between_published(self.edges, self.types, name))
-
-    def _kept(self, layer: DataFrame) -> DataFrame:
-        saved = self.scratch.save(layer)
-        saved._skein_rows = saved  # what is numbered later is these rows
-        return saved
+        return self._numbered(_between_published(self.edges, self.types, name), F.col("published") & (F.col("relationship") == name if name else F.col("relationship") != "other"), False)
+
+    def _numbered(self, layer: DataFrame, of: Column, kept: bool) -> DataFrame:
+        if self._ends is None or kept:
+            layer = self.scratch.save(layer)
+            layer._skein_rows = layer  # what is numbered later is these rows
+        if self._ends is not None:
+            names, n, ends = self._ends
+            edges = self.scratch.save(ends.filter(of).groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("m")))
+            layer._skein_numbers = N.Numbered(names, edges, n, edges.count())
+        return layer
+
+    @cached_property
+    def _ends(self) -> tuple[DataFrame, int, DataFrame] | None:
+        """(v, id) of the ends of edges, how many there are, and the edges by numbers (x, y, relationship, published: whether both ends are); none where there are too many for one task."""
+        rows = self.edges.filter("source <> '' and target <> '' and source <> target").select("source", "target", "relationship")
+        if not N.is_small(rows, N.NUMBERED_EDGES):
+            return None
+        names = L.both_ways(rows.select(F.col("source").alias("a"), F.col("target").alias("b"), F.lit(1).alias("m"))).select("v").distinct()
+        names = self.scratch.save(names.join(shuffled(entities(self.types).select("v", F.lit(True).alias("own"))), "v", "left").select("v", F.coalesce("own", F.lit(False)).alias("own")))
+        n = names.count()
+        listed = self.scratch.save(N.numbers_of(names, n).select("v", "id", "own"))
+        ends = rows.join(shuffled(listed.toDF("source", "x", "own_x")), "source").join(shuffled(listed.toDF("target", "y", "own_y")), "target")
+        return listed.select("v", "id"), n, self.scratch.save(ends.select("x", "y", "relationship", (F.col("own_x") & F.col("own_y")).alias("published")))
 
 
 def folded(spark: SparkSession, d: str) -> Folded:
@@ -271,7 +291,8 @@ def betweenness(spark: SparkSession, d: str) -> DataFrame:
 @_r.query(f"SELECT v, betweenness FROM ({published_sql('combined')}) ORDER BY betweenness DESC, v LIMIT 5")
 def top_betweenness(spark: SparkSession, d: str) -> DataFrame:
     """The five organisations that are most between others."""
-    rows = Z.betweenness(folded(spark, d).published(None)).select("v", F.round("betweenness", 6).alias("betweenness"))
+    f = folded(spark, d)
+    rows = entities(f.types).select("v").join(shuffled(Z.betweenness(f.published(None))), "v", "left").select("v", F.round(F.coalesce("betweenness", F.lit(0.0)), 6).alias("betweenness"))
     return C.top(rows, 5, F.desc("betweenness"), F.asc("v"))
 
 
@@ -313,7 +334,7 @@ def _measures(edges: DataFrame) -> DataFrame:
 
 def _metrics(f: Folded, name: str) -> DataFrame:
     """(v, type, degree, betweenness, pagerank, core) of a layer."""
-    rows = _measures(f.layer(name)).join(shuffled(f.types), "v", "left")
+    rows = _measures(f.layer(name, kept=False)).join(shuffled(f.types), "v", "left")
     return rows.select("v", F.coalesce("type", F.lit("unknown")).alias("type"), "degree", "betweenness", "pagerank", "core")
 
 
@@ -356,7 +377,7 @@ def master_frame(spark: SparkSession, d: str) -> DataFrame:
     for side in (f.types, own_records, own, combined, total):
         out = out.join(shuffled(side), "v", "left")
     for name in LAYERS:
-        m = _measures(f.layer(name))
+        m = _measures(f.layer(name, kept=False))
         out = out.join(shuffled(m.select("v", *[F.col(c).alias(f"{c}_{name}") for c in ("degree", "betweenness", "pagerank")])), "v", "left")
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("mentioned_in", *(f"{m}_{n}" for m in ("betweenness", "degree", "pagerank") for n in LAYERS), "betweenness_combined", "degree_total")}
     text = {c: F.coalesce(c, F.lit("")) for c in ("description", "time_period")}

@@ -14,6 +14,7 @@ from skeinwork.operators.graph import clustering as K
 from skeinwork.operators.graph import layers as L
 from skeinwork.operators.graph import local
 from skeinwork.operators.graph import traversal as T
+from skeinwork.plans import census_queries, graph_queries
 
 
 def graph(spark, *pairs):
@@ -286,6 +287,29 @@ def test_measures_are_joined_by_numbers(spark, monkeypatch, limit):
     assert rows.keys() == want.keys() and all(rows[v][c] == pytest.approx(want[v][c]) for v in want for c in want[v])
 
 
+def _folder(spark, at, edges):
+    nodes = [(k, f"Org {c}", "gang") for k, c in enumerate("abcdef")] + [(9, "Org z", "no such type")]
+    spark.createDataFrame(nodes, "node_id long, standard_name string, type string").write.parquet(f"{at}/global_network_nodes.parquet")
+    rows = [(k, *e) for k, e in enumerate(edges)]
+    spark.createDataFrame(rows, "edge_id long, source string, target string, relationship string").write.parquet(f"{at}/global_network_edges.parquet")
+    return str(at)
+
+
+def test_names_are_numbered_once_for_all_views(spark, sf, tmp_path, monkeypatch):
+    calls, positions = [], local.positions
+    monkeypatch.setattr(local, "positions", lambda *x: calls.append(x) or positions(*x))
+    d = _folder(spark, tmp_path, [("Org a", "Org b", "alliance"), ("Org b", "org  C", "Rivalry"), ("Org c", "Org z", "alliance"), ("Org b", "Org d", "other"), ("Org a", "Org a", "alliance"), (None, "Org a", "rivalry"), ("", "Org b", "rivalry")])
+    got = {(r.view, r.name): r.size for r in census_queries.QUERIES["viewer_sizes"](spark, d).collect()}
+    assert got == {(view, f"org {c}"): 42.0 if (view, c) == ("combined", "b") else 2.0 for view in ("alliance", "rivalry", "combined") for c in "abcdef"}
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("edges", [[("Org e", "Org f", "alliance")], []])
+def test_top_betweenness_has_organisations_without_edges(spark, tmp_path, edges):
+    rows = graph_queries.QUERIES["top_betweenness"](spark, _folder(spark, tmp_path, edges)).collect()
+    assert [(r.v, r.betweenness) for r in rows] == [(f"org {c}", 0.0) for c in "abcde"]
+
+
 def test_betweenness_of_a_large_tree(spark):
     # 60,000 sources of 60,000 vertices each, were they searched; the blocks of a tree are not
     n = 60_000
