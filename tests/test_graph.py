@@ -304,6 +304,14 @@ def test_names_are_numbered_once_for_all_views(spark, sf, tmp_path, monkeypatch)
     assert len(calls) == 1
 
 
+def test_layers_of_the_master_frame_share_their_numbers(spark, sf, monkeypatch):
+    # combined, alliance and rivalry were numbered apart
+    calls, positions = [], local.positions
+    monkeypatch.setattr(local, "positions", lambda *x: calls.append(x) or positions(*x))
+    graph_queries.QUERIES["master_frame"](spark, sf)
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize("edges", [[("Org e", "Org f", "alliance")], []])
 def test_top_betweenness_has_organisations_without_edges(spark, tmp_path, edges):
     rows = graph_queries.QUERIES["top_betweenness"](spark, _folder(spark, tmp_path, edges)).collect()
