@@ -87,3 +87,39 @@ def test_empty(spark):
 def test_one_organisation_with_most_rows(spark):
     rows = [("Pinichovili Syndicate", "pinichovili syndicate", ["Pinichovili Syndicate"])] * 3000 + [("Other Ramo Crew",)]
     assert groups(spark, rows)[0] == [["other ramo crew"], ["pinichovili syndicate"]]
+
+
+def test_pairs_are_those_that_share_a_key(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    from skeinwork.llm import edits, resolution
+
+    monkeypatch.setattr(resolution, "_KEYS_A_TASK", 500)
+    draw = random.Random(1)
+    names = ["".join(draw.choice("abk") for _ in range(draw.randint(3, 9))) for _ in range(60)]
+    rows = spark.createDataFrame([(7 * i, [n], "") for i, n in enumerate(names)], "id bigint, words array<string>, which string").repartition(3)
+    n_keys = int(rows.agg({"id": "count"}).first()[0] * 40)
+    got = sorted(map(tuple, resolution._pairs(rows, resolution._name_keys, n_keys).collect()))
+    owner, keys = edits.edit_keys(names, np.array([2 if len(n) >= 6 else 1 if len(n) >= 4 else 0 for n in names]))
+    held = {}
+    for o, k in zip(owner.tolist(), keys.tolist()):
+        held.setdefault(k, set()).add(7 * o)
+    assert got == sorted({(a, b) for ids in held.values() for a in ids for b in ids if a < b}) and got
+
+
+def test_later_rounds_match_only_what_a_merge_touched(spark, monkeypatch):
+    # the second name gets its initials by a merge, after which it matches a profile that no merge touched; the third one is alone
+    from skeinwork.llm import resolution
+
+    fresh, real = [], resolution._rematch
+
+    def seen(forms, groups, *more):
+        fresh.append(groups.filter("fresh").count())
+        return real(forms, groups, *more)
+
+    monkeypatch.setattr(resolution, "_rematch", seen)
+    rows = [("Tarokevi Mosulibe Syndicate", None, ["TMS"]), ("Tarokevi Nosukibd Syndicate",), ("Tarokevi Nosukxbd Syndicate", None, ["TMS"]), ("Velogu Drabi Society",)]
+    assert groups(spark, rows)[0] == [sorted(r[0].lower() for r in rows[:3]), ["velogu drabi society"]]
+    assert fresh == [4, 2, 3]
