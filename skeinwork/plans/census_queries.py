@@ -104,7 +104,7 @@ _SEARCH = "gang"
 @_r.query(f"SELECT bw.v AS name, type, betweenness FROM ({published_sql('combined')}) bw JOIN (WITH {EDGES}, {TYPES} SELECT v, type FROM ty) USING (v) WHERE contains(bw.v, '{_SEARCH}') ORDER BY betweenness DESC, name")
 def viewer_search(spark: SparkSession, d: str) -> DataFrame:
     """Published organisations whose names hold a text, those most between others first."""
-    f = folded(spark, d)
+    f = folded(spark, d, in_order=False)
     ranks = Z.betweenness(f.published(None)).select("v", F.round("betweenness", 6).alias("betweenness"))
     rows = entities(f.types).filter(F.contains("v", F.lit(_SEARCH))).join(shuffled(ranks), "v", "left")
     return rows.select(F.col("v").alias("name"), "type", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness")).orderBy(F.desc("betweenness"), "name")

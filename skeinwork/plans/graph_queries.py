@@ -66,11 +66,15 @@ def _vertices(spark: SparkSession, d: str) -> DataFrame:
 
 @dataclass
 class Folded:
-    """The edges and types of a folder by folded names, written once for all the layers that a query takes from them; names are numbered once for all of them."""
+    """The edges and types of a folder by folded names, written once for all the layers that a query takes from them; names are numbered once for all of them.
+
+    in_order: numbers follow the names, which components and sweeps need and centralities do not.
+    """
 
     scratch: Scratch
     edges: DataFrame
     types: DataFrame
+    in_order: bool = True
 
     def layer(self, name: str | None, kept: bool = True) -> DataFrame:
         """kept: the rows are written as well, for those that read them by names."""
@@ -96,16 +100,18 @@ class Folded:
         if not N.is_small(rows, N.NUMBERED_EDGES):
             return None
         names = L.both_ways(rows.select(F.col("source").alias("a"), F.col("target").alias("b"), F.lit(1).alias("m"))).select("v").distinct()
-        names = self.scratch.save(names.join(shuffled(entities(self.types).select("v", F.lit(True).alias("own"))), "v", "left").select("v", F.coalesce("own", F.lit(False)).alias("own")))
-        n = names.count()
-        listed = self.scratch.save(N.numbers_of(names, n).select("v", "id", "own"))
+        names = names.join(shuffled(entities(self.types).select("v", F.lit(True).alias("own"))), "v", "left").select("v", F.monotonically_increasing_id().alias("id"), F.coalesce("own", F.lit(False)).alias("own"))
+        listed = self.scratch.save(names)  # written once, so the numbers stay
+        n = listed.count()
+        if self.in_order:
+            listed = self.scratch.save(N.numbers_of(listed.drop("id"), n).select("v", "id", "own"))
         ends = rows.join(shuffled(listed.toDF("source", "x", "own_x")), "source").join(shuffled(listed.toDF("target", "y", "own_y")), "target")
         return listed.select("v", "id"), n, self.scratch.save(ends.select("x", "y", "relationship", (F.col("own_x") & F.col("own_y")).alias("published")))
 
 
-def folded(spark: SparkSession, d: str) -> Folded:
+def folded(spark: SparkSession, d: str, in_order: bool = True) -> Folded:
     scratch = Scratch(spark, "folded")
-    return Folded(scratch, scratch.save(signed(spark, d)), scratch.save(vertex_types(spark, d)))
+    return Folded(scratch, scratch.save(signed(spark, d)), scratch.save(vertex_types(spark, d)), in_order)
 
 
 @_each_layer(f"{_A} SELECT a, b, m FROM l")

@@ -312,6 +312,12 @@ def test_layers_of_the_master_frame_share_their_numbers(spark, sf, monkeypatch):
     assert len(calls) == 1
 
 
+def test_search_of_the_viewer_needs_no_order_of_names(spark, sf, monkeypatch):
+    # numbers followed the names, which took a sort of all of them
+    monkeypatch.setattr(local, "positions", lambda *x: pytest.fail("names were put in order"))
+    census_queries.QUERIES["viewer_search"](spark, sf)
+
+
 @pytest.mark.parametrize("edges", [[("Org e", "Org f", "alliance")], []])
 def test_top_betweenness_has_organisations_without_edges(spark, tmp_path, edges):
     rows = graph_queries.QUERIES["top_betweenness"](spark, _folder(spark, tmp_path, edges)).collect()
